@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayline.sources import files
 
@@ -28,8 +28,9 @@ def snapshot_path(base: str, execution_date: date) -> str:
 
 def union_by_keys(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows with different keys under the sorted union of their keys, all text."""
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return merged.select(*[merged[c].cast("string").alias(c) for c in sorted(merged.columns)])
+    text = [df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) for df in frames]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text)
+    return merged.select(*sorted(merged.columns))
 
 
 def write_snapshot(frames: Sequence[DataFrame], base: str, execution_date: date) -> str:

@@ -8,7 +8,6 @@ from wayline.functions import geo, matching, parsing, scoring, text
 from wayline.operators.documents import required_key
 from wayline.operators.keywords import min_frequency
 from wayline.operators.normalize import region_alias_expand
-from wayline.operators.popularity import popularity_join  # noqa: F401
 from wayline.suite.base import Data, query
 
 # Raw text cells with the faults real feeds have.
