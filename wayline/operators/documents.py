@@ -67,10 +67,11 @@ def reachable_pages(docs: DataFrame, query_keys: Sequence[str], page: str = "pag
     # Pages 1..p-1 were all full exactly when their bits are all set; at most
     # 50 pages, so one number per query carries the whole history.
     full = capped.groupBy(*keys, page).agg(F.count("*").alias("_n")).where(F.col("_n") >= size)
-    history = full.groupBy(*keys).agg(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.col(page) - 1)).alias("_full"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col(page) - 1).cast("int"))
+    history = full.groupBy(*keys).agg(F.bit_or(bit).alias("_full"))
     history = history.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_full")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    needed = F.shiftleft(F.lit(1).cast("bigint"), F.col(page) - 1) - 1
+    needed = bit - 1
     have = F.coalesce(F.col("_full"), F.lit(0).cast("bigint"))
     return capped.join(history, same, "left").where(have.bitwiseAND(needed) == needed).select(*docs.columns)
 

@@ -33,18 +33,23 @@ def cosine_top_k(
     are not bounded. Every Arrow batch is one matrix product that leaves only
     its own best `k` per query, so the shuffle carries those, not the pairs.
     """
+    # Nested so that workers need nothing but numpy and pandas.
+    def unit(rows: np.ndarray) -> np.ndarray:
+        norms = np.linalg.norm(rows, axis=1, keepdims=True)
+        return rows / np.where(norms == 0, 1.0, norms)
+
     rows = queries.select(query_id, vector).limit(max_queries + 1).collect()
     if len(rows) > max_queries:
         raise ValueError(f"more than {max_queries} query vectors; send them in several requests")
     names = [r[0] for r in rows]
-    matrix = _unit(np.array([r[1] for r in rows], dtype="float64")) if rows else None
+    matrix = unit(np.array([r[1] for r in rows], dtype="float64")) if rows else None
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty or matrix is None:
                 continue
             ids = batch[item_id].to_numpy()
-            scores = _unit(np.stack(batch[vector].to_numpy()).astype("float64")) @ matrix.T
+            scores = unit(np.stack(batch[vector].to_numpy()).astype("float64")) @ matrix.T
             for j, name in enumerate(names):
                 best = np.lexsort((ids, -scores[:, j]))[:k]
                 yield pd.DataFrame({"query_id": name, "item_id": ids[best], "similarity": scores[best, j]})
@@ -55,8 +60,3 @@ def cosine_top_k(
     return top_n_per_group(
         partial, ["query_id"], [F.col("similarity").desc(), F.col("item_id").asc()], k, rank="rank"
     )
-
-
-def _unit(rows: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norms == 0, 1.0, norms)

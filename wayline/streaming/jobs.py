@@ -108,8 +108,9 @@ def stream_change_feed(
 ) -> DataFrame:
     """Changed entities of every arriving snapshot, against the state left by the earlier ones.
 
-    Snapshots must arrive in order, one per batch. The feed of a batch is
-    published before the state and both carry the batch id as token.
+    Snapshots must arrive in order and a call must work off one before the
+    next lands, as the daily schedule does. The feed of a batch is published
+    before the state and both carry the batch id.
     """
     spark = arrivals.sparkSession
     tables = Tables(spark, f"{base}/tables")
