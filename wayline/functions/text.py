@@ -8,14 +8,16 @@ from pyspark.sql import Column, functions as F
 
 from wayline import constants as K
 
-# (?U) makes \s the Unicode white-space class; the four separators are added
-# because Java does not count them as white space.
-_BLANK = r"[\s\x1c-\x1f]"
+# The characters that count as white space around and inside text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean_text(c: Column) -> Column:
-    """Text without surrounding Unicode white space; blank becomes NULL."""
-    return F.nullif(F.regexp_replace(c.cast("string"), rf"(?U)^{_BLANK}+|{_BLANK}+$", ""), F.lit(""))
+    """Text without surrounding white space; blank becomes NULL."""
+    return F.nullif(F.btrim(c.cast("string"), F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def truncate_text(c: Column, width: int) -> Column:
@@ -30,14 +32,25 @@ def normalize_name_strict(c: Column, alphabet: str = K.NAME_ALPHABET) -> Column:
 
 def normalize_name_ws(c: Column) -> Column:
     """Lower case without any white space."""
-    return F.regexp_replace(F.lower(c), rf"(?U){_BLANK}+", "")
+    return F.regexp_replace(F.lower(c), f"[{WHITE_SPACE}]+", "")
+
+
+def strip_markup(c: Column) -> Column:
+    """Tags and entities become spaces; text without any skips the pattern."""
+    without_tags = F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, K.TAG_PATTERN, " ")).otherwise(c)
+    return F.when(
+        F.contains(without_tags, F.lit("&")), F.regexp_replace(without_tags, K.ENTITY_PATTERN, " ")
+    ).otherwise(without_tags)
 
 
 def strip_markup_keep_script(c: Column, keep: str = K.HANGUL) -> Column:
     """Tags, entities and every character outside the kept script become spaces."""
-    without_tags = F.regexp_replace(c, K.TAG_PATTERN, " ")
-    without_entities = F.regexp_replace(without_tags, K.ENTITY_PATTERN, " ")
-    return F.regexp_replace(without_entities, f"[^{keep} ]", " ")
+    return F.regexp_replace(strip_markup(c), f"[^{keep} ]", " ")
+
+
+def script_words(c: Column, keep: str = K.HANGUL) -> Column:
+    """Words of the kept script: what splitting the stripped text at spaces gives, in one pass."""
+    return F.regexp_extract_all(strip_markup(c), F.lit(f"[{keep}]+"), F.lit(0))
 
 
 def document_text(title: Column, contents: Column) -> Column:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wayline import constants as K
 from wayline.operators.ordering import before_first
+from wayline.session import union_rows
 
 
 def required_key(docs: DataFrame, url: str = "url") -> DataFrame:
@@ -51,7 +52,7 @@ def except_seen(docs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> Data
 def union_channels(channels: dict[str, DataFrame], out: str = "channel") -> DataFrame:
     """Documents of all channels in one frame, labelled by channel."""
     labelled = [df.withColumn(out, F.lit(name)) for name, df in channels.items()]
-    return reduce(lambda a, b: a.unionByName(b), labelled)
+    return union_rows(*labelled)
 
 
 def reachable_pages(docs: DataFrame, query_keys: Sequence[str], page: str = "page",

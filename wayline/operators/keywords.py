@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wayline import constants as K
 from wayline.functions.scoring import diversity_score
-from wayline.functions.text import strip_markup_keep_script
+from wayline.functions.text import script_words, strip_markup_keep_script
 from wayline.operators.ordering import top_n_per_group
 
 TOKENS = T.ArrayType(T.StructType([T.StructField("form", T.StringType()), T.StructField("tag", T.StringType())]))
@@ -41,20 +41,18 @@ def analyser_udf(load: Callable[[], Analyser]):
     return F.pandas_udf(run, TOKENS)
 
 
-def split_tokens(cleaned: Column, tag: str = K.PROPER_NOUN_TAGS[0]) -> Column:
-    """Built-in tokenizer: words between spaces, all carrying the same tag."""
-    words = F.filter(F.split(cleaned, " +"), lambda w: w != "")
-    return F.transform(words, lambda w: F.struct(w.alias("form"), F.lit(tag).alias("tag")))
-
-
 def tokenize(
     docs: DataFrame, text: Column, keys: Sequence[str], keep: str = K.HANGUL,
     load: Callable[[], Analyser] | None = None,
 ) -> DataFrame:
-    """One row per token occurrence: `keys`, form, tag. The whole text is read."""
-    cleaned = strip_markup_keep_script(text, keep)
-    tokens = analyser_udf(load)(cleaned) if load else split_tokens(cleaned)
-    return docs.select(*keys, F.inline(tokens))
+    """One row per token occurrence: `keys`, form, tag. The whole text is read.
+
+    Without an analyser every word of the kept script counts as a proper noun.
+    """
+    if load:
+        return docs.select(*keys, F.inline(analyser_udf(load)(strip_markup_keep_script(text, keep))))
+    words = docs.select(*keys, F.explode(script_words(text, keep)).alias("form"))
+    return words.withColumn("tag", F.lit(K.PROPER_NOUN_TAGS[0]))
 
 
 def token_filter(

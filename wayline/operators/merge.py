@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayline.session import union_rows
+
 
 def _on(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
@@ -79,7 +81,7 @@ def merge_upsert(
             value = F.lit(None)
         fresh.append(value.cast(field.dataType).alias(field.name))
     updated = update_from(target, source, keys, update, set_on_match)
-    return updated.unionByName(new_keys_only(target, source, keys).select(*fresh))
+    return union_rows(updated, new_keys_only(target, source, keys).select(*fresh))
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -124,7 +126,7 @@ def state_upsert(state: DataFrame, changed: DataFrame, now: Column) -> DataFrame
 def replace_children(children: DataFrame, parents: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Drop all rows of the listed parents, then add their new rows (none deletes)."""
     kept = children.join(parents.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(new.select(*children.columns))
+    return union_rows(kept, new.select(*children.columns))
 
 
 def fill_if_null(target: DataFrame, source: DataFrame, key: str, column: str, value: str) -> DataFrame:

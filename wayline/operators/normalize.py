@@ -11,6 +11,7 @@ from wayline.functions.parsing import in_range, parse_datetime14, safe_decimal,
 from wayline.functions.scoring import classify_category, content_hash
 from wayline.functions.text import clean_text, region_aliases, truncate_text
 from wayline.operators.ordering import distributed_row_number
+from wayline.session import union_rows
 
 
 def _field(df: DataFrame, name: str) -> Column:
@@ -130,5 +131,5 @@ def region_alias_expand(names: DataFrame, column: str, extra: DataFrame | None =
     """Distinct region names with their short forms, joined by further fixed names."""
     aliases = names.select(F.explode(region_aliases(F.col(column))).alias("name"))
     if extra is not None:
-        aliases = aliases.unionByName(extra.select(F.col(extra.columns[0]).alias("name")))
+        aliases = union_rows(aliases, extra.select(F.col(extra.columns[0]).alias("name")))
     return aliases.where("name <> ''").distinct()

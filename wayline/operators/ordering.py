@@ -10,17 +10,32 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wayline.session import materialize
 
 
+# A window task may hold this many rows of one group; beyond it rows are sliced.
+MAX_GROUP_ROWS = 2_000_000
+
+
 def distributed_row_number(
-    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """`row_number()` per group without gathering a group in one task.
-
-    `order_by` must be a total order within a group. Rows are range-partitioned
-    by (group, order) and stored once, numbered inside each (slice, group), and
-    shifted by the rows of the same group in earlier slices. A group larger
-    than one slice therefore spreads over several tasks. The stored copy makes
-    the slice borders one fact for both branches.
+    """`row_number()` per group that never gathers a large group in one task.
+
+    `order_by` must be a total order within a group. The largest group is
+    counted first (a map-side combined count per key). Small groups take a plain
+    window. Otherwise rows are range-partitioned by (group, order) and stored
+    once, numbered inside each (slice, group), and shifted by the rows of the
+    same group in earlier slices, so a large group spreads over several tasks.
+    The stored copy makes the slice borders one fact for both branches.
     """
+    sizes = df.groupBy(*partition_by).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= max_group_rows:
+        window = Window.partitionBy(*partition_by).orderBy(*order_by)
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    return _sliced_row_number(df, partition_by, order_by, out)
+
+
+def _sliced_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str) -> DataFrame:
     keys = list(partition_by)
     sliced = df.repartitionByRange(*[F.col(k) for k in keys], *order_by).withColumn(
         "_slice", F.spark_partition_id()

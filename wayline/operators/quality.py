@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayline.operators.merge import merge_upsert, update_from
+from wayline.session import union_rows
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,10 +90,13 @@ def category_tree(codes: DataFrame) -> DataFrame:
     two = mid.join(top, F.col("b_parent") == F.col("a_code"))
     three = low.join(two, F.col("c_parent") == F.col("b_code"))
     path = lambda *names: F.concat_ws(" > ", *names).alias("path")
-    return (
-        top.select(F.col("a_code").alias("code"), F.lit(1).alias("depth"), F.col("a_code").alias("root"), path("a_name"))
-        .unionByName(two.select(F.col("b_code").alias("code"), F.lit(2).alias("depth"), F.col("a_code").alias("root"), path("a_name", "b_name")))
-        .unionByName(three.select(F.col("c_code").alias("code"), F.lit(3).alias("depth"), F.col("a_code").alias("root"), path("a_name", "b_name", "c_name")))
+    row = lambda df, code, depth, *names: df.select(
+        F.col(code).alias("code"), F.lit(depth).alias("depth"), F.col("a_code").alias("root"), path(*names)
+    )
+    return union_rows(
+        row(top, "a_code", 1, "a_name"),
+        row(two, "b_code", 2, "a_name", "b_name"),
+        row(three, "c_code", 3, "a_name", "b_name", "c_name"),
     )
 
 

@@ -11,6 +11,7 @@ from wayline.functions.geo import cells_within, great_circle_distance, lat_cell,
 from wayline.functions.matching import address_has_token, address_in_city, best_address, name_score
 from wayline.functions.text import normalize_name_strict, strip_region_suffix
 from wayline.operators.ordering import first_per_group
+from wayline.session import union_rows
 
 # Names are blocked on at most this many characters; longer ones are checked
 # in full after the join.
@@ -104,10 +105,12 @@ def place_match(
     entity lies within `radius` or has no coordinates. Preferred: equal name,
     coordinates present, smaller distance in whole metres, smaller id.
 
-    All pairs come from equi joins on city, grid cell and a name block: the
-    contained name's first characters meet every substring of that length in
-    the other. Copies are folded first: one entity per city, name and spot
-    (the smallest id would win anyway) and one probe per city, name and spot.
+    Names are paired first, each distinct name of a city once, by equi joins:
+    the contained name's first characters meet every substring of that length
+    in the other. Only names that pair are then brought together with their
+    spots, by city, title and grid cell. Copies are folded before: one entity
+    per city, title and spot, as the smallest id would win anyway, and one probe
+    per city, name and spot.
     """
     both = F.col("map_x").isNotNull() & F.col("map_y").isNotNull()
     spot = lambda name: F.when(both, F.col(name).cast("double"))
@@ -132,6 +135,10 @@ def place_match(
             "_lat": F.col("latitude").cast("double"),
         }
     ).where("_name <> ''")
+    asks = named.select("city_name", "_name", "_lon", "_lat").distinct()
+    pairs = _name_pairs(
+        asks.select("city_name", "_name").distinct(), titles.select("city_name", "_title").distinct(), min_length
+    )
     near = F.transform(
         F.coalesce(
             cells_within(F.col("_lat"), F.col("_lon"), radius),
@@ -139,36 +146,12 @@ def place_match(
         ),
         lambda c: _cell_key(c["lat_cell"], c["lon_cell"]),
     )
-    asks = (
-        named.select("city_name", "_name", "_lon", "_lat")
-        .distinct()
-        .withColumn("_cell", F.explode(F.array_append(near, F.lit(-1).cast("bigint"))))
-    )
-
-    # Each fitting pair comes out of exactly one of the three joins.
-    same_place = ["city_name", "_cell"]
-    long_ask = F.length("_name") >= min_length
-    equal = asks.where(~long_ask).withColumn("_block", F.col("_name")).join(
-        titles.withColumn("_block", F.col("_title")), same_place + ["_block"]
-    )
-    inside_title = (
-        asks.where(long_ask)
-        .withColumn("_block", _head(F.col("_name")))
-        .join(
-            titles.withColumn("_block", F.explode(_substrings(F.col("_title"), min(min_length, _BLOCK), _BLOCK))),
-            same_place + ["_block"],
-        )
-        .where(F.contains(F.col("_title"), F.col("_name")))
-    )
-    inside_name = (
-        asks.where(long_ask)
-        .withColumn("_block", F.explode(_substrings(F.col("_name"), 1, _BLOCK)))
-        .join(titles.withColumn("_block", _head(F.col("_title"))), same_place + ["_block"])
-        .where(F.contains(F.col("_name"), F.col("_title")) & (F.length("_title") < F.length("_name")))
+    around = asks.join(pairs, ["city_name", "_name"]).withColumn(
+        "_cell", F.explode(F.array_append(near, F.lit(-1).cast("bigint")))
     )
-    pairs = equal.unionByName(inside_title).unionByName(inside_name)
+    met = around.join(titles, ["city_name", "_title", "_cell"])
     distance = great_circle_distance(F.col("_lat"), F.col("_lon"), F.col("_y"), F.col("_x"))
-    fitting = pairs.withColumn("_distance", distance).where(
+    fitting = met.withColumn("_distance", distance).where(
         within_radius(F.col("_distance"), F.col("_y"), F.col("_x"), radius)
     )
     best = first_per_group(
@@ -193,6 +176,30 @@ def place_match(
     return named.join(best, back).select(*probes.columns, "content_id", "category")
 
 
+def _name_pairs(names: DataFrame, titles: DataFrame, min_length: int) -> DataFrame:
+    """(city_name, _name, _title) that are equal or contain each other; each pair from one join."""
+    long_name = F.length("_name") >= min_length
+    block = ["city_name", "_block"]
+    equal = names.where(~long_name).withColumn("_block", F.col("_name")).join(
+        titles.withColumn("_block", F.col("_title")), block
+    )
+    inside_title = (
+        names.where(long_name)
+        .withColumn("_block", _head(F.col("_name")))
+        .join(
+            titles.withColumn("_block", F.explode(_substrings(F.col("_title"), min(min_length, _BLOCK), _BLOCK))), block
+        )
+        .where(F.contains(F.col("_title"), F.col("_name")))
+    )
+    inside_name = (
+        names.where(long_name)
+        .withColumn("_block", F.explode(_substrings(F.col("_name"), 1, _BLOCK)))
+        .join(titles.withColumn("_block", _head(F.col("_title"))), block)
+        .where(F.contains(F.col("_name"), F.col("_title")) & (F.length("_title") < F.length("_name")))
+    )
+    return union_rows(equal, inside_title, inside_name).drop("_block")
+
+
 def _cell_key(row: Column, column: Column) -> Column:
     """One non-negative number per grid cell; -1 stays free for 'nowhere'."""
     return ((row + 100_000) * 100_000 + column).cast("bigint")

@@ -12,7 +12,7 @@ from wayline.operators.merge import insert_ignore
 from wayline.operators.normalize import region_alias_expand
 from wayline.operators.popularity import accumulate_score, category_dimension, decay_scores, popularity_rank
 from wayline.operators.resolve import best_candidate, candidate_filter, dim_lookup_skip, place_match, tag_cities
-from wayline.session import materialize
+from wayline.session import materialize, union_rows
 from wayline.sources.tables import Tables
 
 _QUERY = ["city_name", "channel", "query"]
@@ -28,7 +28,7 @@ def stop_list(spark: SparkSession, regions: DataFrame | None = None) -> DataFram
     words = spark.createDataFrame([(w,) for w in K.STOPWORDS], "name string")
     provinces = spark.createDataFrame([(p,) for p in K.PROVINCES], "name string")
     names = provinces if regions is None else region_alias_expand(regions, "name", provinces)
-    return words.unionByName(names.select("name"))
+    return union_rows(words, names.select("name"))
 
 
 def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAGE_SIZE, max_pages: int = K.MAX_PAGES) -> DataFrame:
@@ -50,7 +50,7 @@ def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAG
         F.col("datetime").try_cast("timestamp").alias("published_at"), F.lit(run_id).alias("first_run_id"),
     )
     added = insert_ignore(ledger, rows, ["city_name", "channel", "source_url"])
-    tables.write("source_document", ledger.unionByName(added), token=run_id)
+    tables.write("source_document", union_rows(ledger, added), token=run_id)
     return unique
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "wayline", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +25,18 @@ def build_session(app_name: str = "wayline", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def union_rows(first: DataFrame, *others: DataFrame, allow_missing: bool = False) -> DataFrame:
+    """Rows of all frames, matched by column name.
+
+    Spark 4.1 lets a union of equally partitioned inputs pass as partitioned
+    itself. Under adaptive execution the inputs may be read differently, and an
+    aggregate or join planned on that claim then sees one key twice. The
+    setting is turned off for the session wherever rows are united.
+    """
+    first.sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), others, first)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's `spark.checkpoint.dir`.
 
@@ -47,7 +60,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/wayline/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str):
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and return the stored rows.
 
     Used where one result feeds several branches that must agree, or where a

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayline.session import union_rows
 from wayline.sources import files
 
 EMPTY_HEADER = "_empty"
@@ -29,7 +29,7 @@ def snapshot_path(base: str, execution_date: date) -> str:
 def union_by_keys(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows with different keys under the sorted union of their keys, all text."""
     text = [df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) for df in frames]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), text)
+    merged = union_rows(*text, allow_missing=True)
     return merged.select(*sorted(merged.columns))
 
 

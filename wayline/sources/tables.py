@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from wayline.schemas import TABLES
 from wayline.sources import files
@@ -45,23 +46,33 @@ class Tables:
         """Latest version; a known table never written yet reads as empty."""
         versions = self._versions(name)
         if versions:
-            return self.spark.read.parquet(versions[-1][2])
+            return self._load(name, versions[-1][2])
         if name not in TABLES:
             raise KeyError(f"no table {name}")
         return self.spark.createDataFrame([], TABLES[name])
 
+    def _load(self, name: str, path: str) -> DataFrame:
+        reader = self.spark.read
+        return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(path)
+
     def write(self, name: str, df: DataFrame, token: str | None = None) -> DataFrame:
-        """Publish `df` as the new version and return it as stored."""
+        """Publish `df` as the new version and return it as stored.
+
+        A table with a declared schema is written with its columns and types.
+        """
         versions = self._versions(name)
         if token is not None:
             token = re.sub(r"[^0-9A-Za-z_.=-]", "_", token)
             for _, seen, path in versions:
                 if seen == token:
-                    return self.spark.read.parquet(path)
+                    return self._load(name, path)
         number = versions[-1][0] + 1 if versions else 1
         path = f"{self.base}/{name}/v{number:08d}" + (f"-{token}" if token else "")
+        if name in TABLES:
+            fields = StructType.fromDDL(TABLES[name]).fields
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._load(name, path)
 
     def expire(self, name: str, keep: int = 2) -> int:
         """Delete all but the newest `keep` versions; returns how many went."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayline.operators.changes import dedup_last_wins, detect_changes
 from wayline.operators.merge import merge_upsert
-from wayline.session import materialize
+from wayline.session import materialize, union_rows
 from wayline.sources.tables import Tables
 
 
@@ -64,7 +64,7 @@ def fold_scores(state: DataFrame, mentions: DataFrame, factor: float) -> DataFra
     so it is kept together with the run it is valued at and only touched rows
     change: the fold gives the same result in any order of arrival.
     """
-    rows = state.unionByName(mentions.select("content_id", "mention_score", F.col("run_no").alias("as_of")))
+    rows = union_rows(state, mentions.select("content_id", "mention_score", F.col("run_no").alias("as_of")))
     latest = rows.groupBy("content_id").agg(F.max("as_of").alias("_latest"))
     aged = F.col("mention_score") * F.pow(F.lit(factor), F.col("_latest") - F.col("as_of"))
     return (
@@ -97,7 +97,7 @@ def stream_mention_scores(arrivals: DataFrame, base: str, factor: float) -> Data
         # The touched entities are folded; all others pass through unchanged.
         touched = mentions.select("content_id").distinct()
         folded = fold_scores(state.join(touched, "content_id", "left_semi"), mentions, factor)
-        tables.write("scores", state.join(touched, "content_id", "left_anti").unionByName(folded), token)
+        tables.write("scores", union_rows(state.join(touched, "content_id", "left_anti"), folded), token)
 
     _run(arrivals, base, "scores", fold)
     return tables.read("scores")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wayline.operators import changes as C, merge as M, queues as Q
 from wayline.operators.quality import bootstrap_needed, category_tree, parent_code
 from wayline.operators.resolve import dim_lookup_skip
+from wayline.session import union_rows
 from wayline.suite.base import Data, query
 from wayline.suite.sources import READY_SQL, order_flags
 
@@ -241,7 +242,7 @@ SELECT c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)
 def _(d: Data):
     dim = d.supplier.where("s_acctbal > 5000").select(F.col("s_nationkey").alias("c_nationkey"))
     known, skipped = dim_lookup_skip(d.customer.select("c_custkey", "c_nationkey"), dim, "c_nationkey")
-    both = known.withColumn("known", F.lit(True)).unionByName(skipped.withColumn("known", F.lit(False)))
+    both = union_rows(known.withColumn("known", F.lit(True)), skipped.withColumn("known", F.lit(False)))
     return both.groupBy("known").agg(F.count("*").alias("customers"))
 
 
@@ -254,12 +255,15 @@ UNION ALL SELECT p_type || p_brand || '/' || p_size, 3, p_type, p_type || ' > '
 def _(d: Data):
     level1, level2 = F.col("p_type"), F.concat("p_type", "p_brand")
     none = F.lit(None).cast("string")
-    codes = (
-        d.part.select(level1.alias("code"), level1.alias("name"), F.lit(1).alias("depth"), parent_code(none, none).alias("parent_code"))
-        .unionByName(d.part.where("p_size > 5").select(level2.alias("code"), F.col("p_brand").alias("name"), F.lit(2).alias("depth"), parent_code(level1, none).alias("parent_code")))
-        .unionByName(d.part.select(F.concat("p_type", "p_brand", F.lit("/"), "p_size").alias("code"), F.col("p_size").cast("string").alias("name"), F.lit(3).alias("depth"), parent_code(level1, level2).alias("parent_code")))
-        .distinct()
+    row = lambda rows, code, name, depth, parent: rows.select(
+        code.alias("code"), name.alias("name"), F.lit(depth).alias("depth"), parent.alias("parent_code")
     )
+    level3 = F.concat(level2, F.lit("/"), "p_size")
+    codes = union_rows(
+        row(d.part, level1, level1, 1, parent_code(none, none)),
+        row(d.part.where("p_size > 5"), level2, F.col("p_brand"), 2, parent_code(level1, none)),
+        row(d.part, level3, F.col("p_size").cast("string"), 3, parent_code(level1, level2)),
+    ).distinct()
     return category_tree(codes)
 
 

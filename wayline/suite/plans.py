@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wayline.plans import entity_load as L, trend as T
-from wayline.session import scratch_path
+from wayline.session import scratch_path, union_rows
 from wayline.sources.tables import Tables
 from wayline.suite.base import Data, query
 from wayline.suite.sources import NORMAL_SQL, RAW_SPARK
@@ -32,7 +32,7 @@ def _two_days(d: Data):
     again = raw.where("c_mktsegment = 'FURNITURE'").withColumns(
         {"firstimage": F.concat(F.lit("http://new/"), "c_custkey"), "seq": F.col("seq") + 1_000_000_000_000}
     )
-    second = raw.unionByName(again).drop("c_mktsegment", "c_custkey")
+    second = union_rows(raw, again).drop("c_mktsegment", "c_custkey")
     return tables, L.daily_entity_load(second, tables, _at(DAY2), "seq")
 
 
@@ -73,9 +73,9 @@ def _(d: Data):
     tables = _new_tables(d)
     old = F.when(F.col("o_orderstatus") == "F", "http://old")
     ids = d.orders.select(F.col("o_orderkey").alias("content_id"), old.alias("first_image"))
-    tables.write("entity", tables.read("entity").unionByName(ids, allowMissingColumns=True))
+    tables.write("entity", union_rows(tables.read("entity"), ids, allow_missing=True))
     flags = ids.select("content_id", F.lit(True).alias("image_pending"), F.lit(False).alias("image_absent"))
-    tables.write("etl_state", tables.read("etl_state").unionByName(flags, allowMissingColumns=True))
+    tables.write("etl_state", union_rows(tables.read("etl_state"), flags, allow_missing=True))
     tables.write("entity_image", ids.where("first_image IS NOT NULL").select("content_id", F.lit(1).alias("order"), F.col("first_image").alias("image_url")))
     lines = d.lineitem.where("l_returnflag <> 'N'").select("l_orderkey", "l_partkey").distinct()
     item = lambda p: F.create_map(F.lit("originimgurl"), F.concat(F.lit("http://"), p.cast("string")), F.lit("smallimageurl"), F.lit(""))
@@ -123,7 +123,7 @@ def _(d: Data):
         (x + 127.0).cast("decimal(13,10)").alias("map_x"), (y + 37.0).cast("decimal(13,10)").alias("map_y"), category.alias("category"),
         F.col("p_size").alias("like_count"), F.lit(2).alias("review_count"), F.lit(4.5).cast("decimal(3,2)").alias("avg_rating"),
     )
-    tables.write("entity", tables.read("entity").unionByName(entities, allowMissingColumns=True))
+    tables.write("entity", union_rows(tables.read("entity"), entities, allow_missing=True))
 
     channel = F.when(F.col("p_type").isin("ECONOMY", "LARGE", "SMALL"), "blog").otherwise("cafe")
     found = d.part.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wayline.operators import normalize as N
 from wayline.operators.ordering import distributed_row_number
 from wayline.operators.queues import outbox_batches, ready_filter
-from wayline.session import scratch_path
+from wayline.session import scratch_path, union_rows
 from wayline.sources import pages as P, snapshots as S, trend_json as J
 from wayline.sources.outbox import write_outbox
 from wayline.sources.tables import Tables, code_table_scan
@@ -65,7 +65,7 @@ SELECT seq, CASE WHEN content_id IS NULL THEN 'missing_id' WHEN title IS NULL TH
   WHEN category IS NULL THEN 'unsupported_category' ELSE 'valid' END AS verdict FROM ({NORMAL_SQL})""")
 def _(d: Data):
     good, bad = N.quarantine_split(N.normalize_entity(raw_items(d), keep=["seq"]), N.entity_rules())
-    return good.select("seq", F.lit("valid").alias("verdict")).unionByName(bad.select("seq", F.col("_reason").alias("verdict")))
+    return union_rows(good.select("seq", F.lit("valid").alias("verdict")), bad.select("seq", F.col("_reason").alias("verdict")))
 
 
 @query("normalize_codes", """
@@ -219,7 +219,7 @@ def landed_pages(d: Data):
         F.lit('{"response":{"header":{"resultCode":"'), code, F.lit('","resultMsg":"-"},"body":{"items":'),
         F.col("items"), F.lit(',"totalCount":'), F.col("total"), F.lit("}}}"),
     )
-    return filled.unionByName(blank).join(totals, "c_nationkey").select(
+    return union_rows(filled, blank).join(totals, "c_nationkey").select(
         F.col("c_nationkey").alias("request"), F.col("page_no").cast("int").alias("page_no"),
         F.lit(PER_PAGE).alias("num_rows"), body.alias("body"),
     )
