@@ -151,8 +151,10 @@ def test_streams_equal_batches(spark, tmp_path):
     tables = Tables(spark, f"{base}/tables")
     versions = len(tables._versions("scores"))
     assert tables.applied("scores", "batch=0") and versions == 3
-    assert rows(jobs.stream_mention_scores(stream(), base, 0.5)) == rows(state)
+    before = rows(state)
+    assert rows(jobs.stream_mention_scores(stream(), base, 0.5)) == before
     assert len(tables._versions("scores")) == versions
+    assert rows(jobs.compact_scores(tables, 0.5)) == before and tables.read("scores").count() == 3
 
 
 def test_cluster_sessions_need_a_shared_folder(spark):

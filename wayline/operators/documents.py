@@ -40,8 +40,13 @@ def search_plan(cities: DataFrame, short_name: str = "short_name",
 
 
 def seen_semi_join(docs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming keys that an earlier run has recorded, each once."""
-    return docs.select(*keys).distinct().join(ledger.select(*keys), list(keys), "left_semi")
+    """Incoming keys that an earlier run has recorded, each once.
+
+    The ledger is filtered by the incoming keys, not the other way round: a
+    run's keys are few and can be broadcast, the ledger only grows.
+    """
+    incoming = docs.select(*keys).distinct()
+    return ledger.select(*keys).join(incoming, list(keys), "left_semi").distinct()
 
 
 def except_seen(docs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wayline import constants as K
 from wayline.functions.scoring import diversity_score
@@ -92,11 +92,18 @@ def min_frequency(df: DataFrame, total: str = "total_frequency", floor: int = K.
     return df.where(F.col(total) >= floor)
 
 
-def max_normalize(df: DataFrame, group: str, score: str, out: str = "normalized_score") -> DataFrame:
+def max_normalize(
+    df: DataFrame, group: str, score: str, out: str = "normalized_score", small_groups: bool = False
+) -> DataFrame:
     """Score over the group's maximum, 0 when that is not positive.
 
-    The maximum is an aggregate joined back, so a group of any size stays spread.
+    The maximum is an aggregate joined back, so a group of any size stays
+    spread. Groups already cut to their first n (`small_groups`) take a window,
+    which reads the input once.
     """
+    if small_groups:
+        best = F.max(score).over(Window.partitionBy(group))
+        return df.withColumn(out, F.when(best > 0, F.col(score) / best).otherwise(0.0))
     top = df.groupBy(F.col(group).alias("_group")).agg(F.max(score).alias("_max"))
     value = F.when(F.col("_max") > 0, F.col(score) / F.col("_max")).otherwise(0.0)
     return df.join(top, F.col(group).eqNullSafe(F.col("_group")), "left").select(*df.columns, value.alias(out))
@@ -118,4 +125,4 @@ def keyword_scores(
         "raw_score", diversity_score(F.col("total_frequency"), F.col("multi_channel"), bonus)
     )
     best = top_n_per_group(scored, [city], [F.col("raw_score").desc(), F.col("keyword").asc()], top_n)
-    return max_normalize(best, city, "raw_score").drop("total_frequency")
+    return max_normalize(best, city, "raw_score", small_groups=True).drop("total_frequency")

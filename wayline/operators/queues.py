@@ -16,8 +16,10 @@ def ordered_limit(df: DataFrame, order_by: Sequence[Column], limit: int) -> Data
     return df.orderBy(*order_by).limit(limit)
 
 
-def pending_queue(state: DataFrame, flag: str, key: str = "content_id", limit: int = K.DETAIL_BATCH_LIMIT) -> DataFrame:
-    return ordered_limit(state.where(F.col(flag)).select(key), [F.col(key)], limit)
+def pending_queue(state: DataFrame, flag: str, key: str = "content_id", limit: int | None = K.DETAIL_BATCH_LIMIT) -> DataFrame:
+    """Ids whose flag is set: the first `limit` in id order, or all of them."""
+    due = state.where(F.col(flag)).select(key)
+    return due if limit is None else ordered_limit(due, [F.col(key)], limit)
 
 
 def ready_filter(

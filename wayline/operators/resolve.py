@@ -107,27 +107,21 @@ def place_match(
 
     Names are paired first, each distinct name of a city once, by equi joins:
     the contained name's first characters meet every substring of that length
-    in the other. Only names that pair are then brought together with their
-    spots, by city, title and grid cell. Copies are folded before: one entity
+    in the other. Only entities whose title pairs go on; they and the probes
+    meet by city, title and grid cell. Copies are folded before that: one entity
     per city, title and spot, as the smallest id would win anyway, and one probe
     per city, name and spot.
     """
     both = F.col("map_x").isNotNull() & F.col("map_y").isNotNull()
     spot = lambda name: F.when(both, F.col(name).cast("double"))
-    titles = (
-        entities.select(
-            "city_name",
-            normalize_name_strict(F.col("title")).alias("_title"),
-            spot("map_x").alias("_x"),
-            spot("map_y").alias("_y"),
-            "content_id",
-            "category",
-        )
-        .where("_title <> ''")
-        .groupBy("city_name", "_title", "_x", "_y")
-        .agg(F.min("content_id").alias("content_id"), F.min_by("category", "content_id").alias("category"))
-        .withColumn("_cell", F.when(F.col("_x").isNotNull(), _cell_key(lat_cell(F.col("_y")), lon_cell(F.col("_x")))).otherwise(-1))
-    )
+    titles = entities.select(
+        "city_name",
+        normalize_name_strict(F.col("title")).alias("_title"),
+        spot("map_x").alias("_x"),
+        spot("map_y").alias("_y"),
+        "content_id",
+        "category",
+    ).where("_title <> ''")
     named = probes.withColumns(
         {
             "_name": normalize_name_strict(F.col("place_name")),
@@ -139,6 +133,13 @@ def place_match(
     pairs = _name_pairs(
         asks.select("city_name", "_name").distinct(), titles.select("city_name", "_title").distinct(), min_length
     )
+    cell = F.when(F.col("_x").isNotNull(), _cell_key(lat_cell(F.col("_y")), lon_cell(F.col("_x")))).otherwise(-1)
+    spots = (
+        titles.join(pairs.select("city_name", "_title").distinct(), ["city_name", "_title"], "left_semi")
+        .groupBy("city_name", "_title", "_x", "_y")
+        .agg(F.min("content_id").alias("content_id"), F.min_by("category", "content_id").alias("category"))
+        .withColumn("_cell", cell)
+    )
     near = F.transform(
         F.coalesce(
             cells_within(F.col("_lat"), F.col("_lon"), radius),
@@ -149,7 +150,7 @@ def place_match(
     around = asks.join(pairs, ["city_name", "_name"]).withColumn(
         "_cell", F.explode(F.array_append(near, F.lit(-1).cast("bigint")))
     )
-    met = around.join(titles, ["city_name", "_title", "_cell"])
+    met = around.join(spots, ["city_name", "_title", "_cell"])
     distance = great_circle_distance(F.col("_lat"), F.col("_lon"), F.col("_y"), F.col("_x"))
     fitting = met.withColumn("_distance", distance).where(
         within_radius(F.col("_distance"), F.col("_y"), F.col("_x"), radius)

@@ -31,11 +31,12 @@ def daily_entity_load(
     """Load one snapshot; returns the stage counters.
 
     Quarantine comes before the duplicate rule, so a bad later copy never
-    replaces a good earlier one. The judged rows and the changed rows are each
-    stored once, because both tables and the counters are built from them. The
-    state is published last: a run lost in between loads the same rows again.
+    replaces a good earlier one. Only the changed rows are stored in between,
+    as both tables are built from them; the counters read the snapshot's few
+    deciding columns once more. The state is published last: a run lost in
+    between loads the same rows again.
     """
-    judged = materialize(with_reason(normalize_entity(raw, rules, version, keep=[seq]), entity_rules()), "judged")
+    judged = with_reason(normalize_entity(raw, rules, version, keep=[seq]), entity_rules())
     valid = judged.where("_reason IS NULL")
     unique = dedup_last_wins(valid, ["content_id"], [seq])
     state, entities = tables.read("etl_state"), tables.read("entity")
@@ -80,7 +81,7 @@ def _fields(items: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return items.select(F.col("content_id").cast("string").alias("contentid"), "pos", *columns)
 
 
-def enrich(kind: str, responses: DataFrame, tables: Tables, now: Column, limit: int = K.DETAIL_BATCH_LIMIT) -> DataFrame:
+def enrich(kind: str, responses: DataFrame, tables: Tables, now: Column, limit: int | None = K.DETAIL_BATCH_LIMIT) -> DataFrame:
     """Apply landed detail responses (`content_id`, `status`, `items`) of one kind to the pending queue.
 
     `kind`: detail_common, detail_intro, detail_info or image. Returns counters.
@@ -145,7 +146,7 @@ def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
     tables.write("entity", new)
 
 
-def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int = K.IMAGE_RECOVERY_LIMIT) -> DataFrame:
+def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int | None = K.IMAGE_RECOVERY_LIMIT) -> DataFrame:
     """Ask again for entities without images; those without any at the source are marked absent."""
     state = tables.read("etl_state")
     targets = missing_children(tables.read("entity"), state, tables.read("entity_image"), limit=limit)

@@ -50,7 +50,7 @@ def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAG
         F.col("datetime").try_cast("timestamp").alias("published_at"), F.lit(run_id).alias("first_run_id"),
     )
     added = insert_ignore(ledger, rows, ["city_name", "channel", "source_url"])
-    tables.write("source_document", union_rows(ledger, added), token=run_id)
+    tables.append("source_document", added, token=run_id)
     return unique
 
 

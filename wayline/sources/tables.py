@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from wayline.schemas import TABLES
 from wayline.sources import files
 
-_VERSION = re.compile(r"v(\d{8})(?:-(.+))?$")
+_VERSION = re.compile(r"([va])(\d{8})(?:-(.+))?$")
 
 
 class Tables:
@@ -18,56 +18,70 @@ class Tables:
 
     Each write makes a new version and never touches the files being read; a
     version counts once Spark's commit marker is there, so a lost job leaves
-    the table as it was. A `token` names the run or batch that made a version:
-    writing the same token again changes nothing. One writer per table at a
-    time, as the schedules allow one active run.
+    the table as it was. A version holds the whole table (`v`) or rows added to
+    the one before (`a`), so growing ledgers are never rewritten. A `token`
+    names the run or batch that made a version: writing the same token again
+    changes nothing. One writer per table at a time, as the schedules allow one
+    active run.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
-    def _versions(self, name: str) -> list[tuple[int, str | None, str]]:
+    def _versions(self, name: str) -> list[tuple[int, str, str | None, str]]:
+        """(number, kind, token, path) of every committed version, in order."""
         found = []
         for child in files.children(self.spark, f"{self.base}/{name}"):
             match = _VERSION.match(child)
             path = f"{self.base}/{name}/{child}"
             if match and files.committed(self.spark, path):
-                found.append((int(match.group(1)), match.group(2), path))
+                found.append((int(match.group(2)), match.group(1), match.group(3), path))
         return sorted(found)
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
 
     def applied(self, name: str, token: str) -> bool:
-        return any(seen == token for _, seen, _ in self._versions(name))
+        return any(seen == _clean(token) for _, _, seen, _ in self._versions(name))
 
     def read(self, name: str) -> DataFrame:
         """Latest version; a known table never written yet reads as empty."""
         versions = self._versions(name)
         if versions:
-            return self._load(name, versions[-1][2])
+            return self._load(name, *self._current(versions))
         if name not in TABLES:
             raise KeyError(f"no table {name}")
         return self.spark.createDataFrame([], TABLES[name])
 
-    def _load(self, name: str, path: str) -> DataFrame:
+    def _load(self, name: str, *paths: str) -> DataFrame:
         reader = self.spark.read
-        return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(path)
+        return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(*paths)
+
+    @staticmethod
+    def _current(versions: list[tuple[int, str, str | None, str]]) -> list[str]:
+        """Paths of the last whole version and of what was added since."""
+        whole = [i for i, v in enumerate(versions) if v[1] == "v"]
+        return [v[3] for v in versions[whole[-1] if whole else 0 :]]
 
     def write(self, name: str, df: DataFrame, token: str | None = None) -> DataFrame:
-        """Publish `df` as the new version and return it as stored.
+        """Publish `df` as the whole table; returns the table as stored."""
+        return self._publish("v", name, df, token)
+
+    def append(self, name: str, df: DataFrame, token: str | None = None) -> DataFrame:
+        """Add the rows of `df`; returns the added rows as stored."""
+        return self._publish("a", name, df, token)
 
-        A table with a declared schema is written with its columns and types.
-        """
+    def _publish(self, kind: str, name: str, df: DataFrame, token: str | None) -> DataFrame:
+        """Write one version; a declared table gets its declared columns and types."""
         versions = self._versions(name)
         if token is not None:
-            token = re.sub(r"[^0-9A-Za-z_.=-]", "_", token)
-            for _, seen, path in versions:
+            token = _clean(token)
+            for _, _, seen, path in versions:
                 if seen == token:
                     return self._load(name, path)
         number = versions[-1][0] + 1 if versions else 1
-        path = f"{self.base}/{name}/v{number:08d}" + (f"-{token}" if token else "")
+        path = f"{self.base}/{name}/{kind}{number:08d}" + (f"-{token}" if token else "")
         if name in TABLES:
             fields = StructType.fromDDL(TABLES[name]).fields
             df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
@@ -75,13 +89,19 @@ class Tables:
         return self._load(name, path)
 
     def expire(self, name: str, keep: int = 2) -> int:
-        """Delete all but the newest `keep` versions; returns how many went."""
-        old = self._versions(name)[: -max(1, keep)]
-        for _, _, path in old:
+        """Delete versions older than the newest `keep` whole ones; returns how many went."""
+        versions = self._versions(name)
+        whole = [i for i, v in enumerate(versions) if v[1] == "v"]
+        old = versions[: whole[-keep]] if len(whole) >= max(1, keep) else []
+        for *_, path in old:
             files.delete(self.spark, path)
         return len(old)
 
 
+def _clean(token: str) -> str:
+    return re.sub(r"[^0-9A-Za-z_.=-]", "_", token)
+
+
 def code_table_scan(codes: DataFrame, columns: list[str], order_by: list[str], where=None) -> DataFrame:
     """Ordered, filtered key read of a code table."""
     rows = codes if where is None else codes.where(where)

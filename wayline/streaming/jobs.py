@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayline.operators.changes import dedup_last_wins, detect_changes
 from wayline.operators.merge import merge_upsert
-from wayline.session import materialize, union_rows
+from wayline.session import materialize
 from wayline.sources.tables import Tables
 
 
@@ -54,21 +54,17 @@ def stream_new_documents(arrivals: DataFrame, base: str, keys: Sequence[str]) ->
     return spark.read.schema(fresh.schema).parquet(out)
 
 
-SCORE_STATE = "content_id BIGINT, mention_score DOUBLE, as_of BIGINT"
+def fold_scores(parts: DataFrame, factor: float) -> DataFrame:
+    """All recorded scores of an entity as one, valued at its latest run.
 
-
-def fold_scores(state: DataFrame, mentions: DataFrame, factor: float) -> DataFrame:
-    """Stored scores with new mentions, each valued at its entity's latest run.
-
-    `mentions`: content_id, run_no, mention_score. A score decays once per run,
-    so it is kept together with the run it is valued at and only touched rows
-    change: the fold gives the same result in any order of arrival.
+    A score decays once per run, so it is kept together with the run it is
+    valued at. The fold gives the same result in any order and grouping, so
+    parts can be recorded as they come and folded when read.
     """
-    rows = union_rows(state, mentions.select("content_id", "mention_score", F.col("run_no").alias("as_of")))
-    latest = rows.groupBy("content_id").agg(F.max("as_of").alias("_latest"))
+    latest = parts.groupBy("content_id").agg(F.max("as_of").alias("_latest"))
     aged = F.col("mention_score") * F.pow(F.lit(factor), F.col("_latest") - F.col("as_of"))
     return (
-        rows.join(latest, "content_id")
+        parts.join(latest, "content_id")
         .groupBy("content_id")
         .agg(F.sum(aged).alias("mention_score"), F.max("_latest").cast("bigint").alias("as_of"))
     )
@@ -80,27 +76,24 @@ def scores_at(state: DataFrame, run_no: Column, factor: float) -> DataFrame:
 
 
 def stream_mention_scores(arrivals: DataFrame, base: str, factor: float) -> DataFrame:
-    """Fold arriving mentions into the score table; returns the stored state.
+    """Record arriving mentions in the score table; returns the folded state.
 
-    The batch id is the version token, so a replayed batch is not added twice.
+    A batch adds one row per entity and run and rewrites nothing. Its id is the
+    version token, so a replayed batch is not added twice.
     """
-    spark = arrivals.sparkSession
-    tables = Tables(spark, f"{base}/tables")
+    tables = Tables(arrivals.sparkSession, f"{base}/tables")
 
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        token = f"batch={batch_id}"
-        if tables.applied("scores", token):
-            return
-        mentions = batch.groupBy("content_id", "run_no").agg(F.sum("mention_score").alias("mention_score"))
-        known = tables.exists("scores")
-        state = tables.read("scores") if known else spark.createDataFrame([], SCORE_STATE)
-        # The touched entities are folded; all others pass through unchanged.
-        touched = mentions.select("content_id").distinct()
-        folded = fold_scores(state.join(touched, "content_id", "left_semi"), mentions, factor)
-        tables.write("scores", union_rows(state.join(touched, "content_id", "left_anti"), folded), token)
-
-    _run(arrivals, base, "scores", fold)
-    return tables.read("scores")
+    def record(batch: DataFrame, batch_id: int) -> None:
+        sums = batch.groupBy("content_id", F.col("run_no").alias("as_of")).agg(F.sum("mention_score").alias("mention_score"))
+        tables.append("scores", sums, f"batch={batch_id}")
+
+    _run(arrivals, base, "scores", record)
+    return fold_scores(tables.read("scores"), factor)
+
+
+def compact_scores(tables: Tables, factor: float) -> DataFrame:
+    """Rewrite the score table as its fold, one row per entity."""
+    return tables.write("scores", fold_scores(tables.read("scores"), factor))
 
 
 def stream_change_feed(

@@ -84,7 +84,7 @@ def _(d: Data):
         F.col("o_orderkey").alias("content_id"), F.expr(IMAGE_STATUS).alias("status"),
         F.coalesce(F.transform("_ps", item), F.array().cast("array<map<string,string>>")).alias("items"),
     )
-    L.image_recovery(answers, tables, _at(DAY2), limit=d.orders.count())
+    L.image_recovery(answers, tables, _at(DAY2), limit=None)
     state = tables.read("etl_state").select("content_id", "image_absent")
     return tables.read("entity").select("content_id", "first_image").join(state, "content_id")
 
