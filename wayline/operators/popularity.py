@@ -10,10 +10,11 @@ from wayline import constants as K
 from wayline.functions.scoring import popularity_score, rank_tag
 from wayline.operators.merge import merge_upsert, update_from
 from wayline.operators.ordering import distributed_row_number
+from wayline.session import constant_rows
 
 
 def category_dimension(spark: SparkSession, names: Sequence[tuple[int, str]] = K.CATEGORY_NAMES) -> DataFrame:
-    return spark.createDataFrame(list(names), "category int, category_name string")
+    return constant_rows(spark, names, ["category", "category_name"])
 
 
 def accumulate_score(state: DataFrame, mentions: DataFrame, key: str = "content_id", score: str = "mention_score") -> DataFrame:

@@ -11,7 +11,7 @@ from wayline.functions.geo import cells_within, great_circle_distance, lat_cell,
 from wayline.functions.matching import address_has_token, address_in_city, best_address, name_score
 from wayline.functions.text import normalize_name_strict, strip_region_suffix
 from wayline.operators.ordering import first_per_group
-from wayline.session import union_rows
+from wayline.session import materialize, union_rows
 
 # Names are blocked on at most this many characters; longer ones are checked
 # in full after the join.
@@ -130,8 +130,12 @@ def place_match(
         }
     ).where("_name <> ''")
     asks = named.select("city_name", "_name", "_lon", "_lat").distinct()
-    pairs = _name_pairs(
-        asks.select("city_name", "_name").distinct(), titles.select("city_name", "_title").distinct(), min_length
+    # Read twice below; stored, it also has a size the joins can plan with.
+    pairs = materialize(
+        _name_pairs(
+            asks.select("city_name", "_name").distinct(), titles.select("city_name", "_title").distinct(), min_length
+        ),
+        "name-pairs",
     )
     cell = F.when(F.col("_x").isNotNull(), _cell_key(lat_cell(F.col("_y")), lon_cell(F.col("_x")))).otherwise(-1)
     spots = (

@@ -12,7 +12,7 @@ from wayline.operators.merge import insert_ignore
 from wayline.operators.normalize import region_alias_expand
 from wayline.operators.popularity import accumulate_score, category_dimension, decay_scores, popularity_rank
 from wayline.operators.resolve import best_candidate, candidate_filter, dim_lookup_skip, place_match, tag_cities
-from wayline.session import materialize, union_rows
+from wayline.session import constant_rows, materialize, union_rows
 from wayline.sources.tables import Tables
 
 _QUERY = ["city_name", "channel", "query"]
@@ -20,13 +20,13 @@ _DOC = ["city_name", "channel", "url"]
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(K.CITIES), "city_name string, short_name string, longitude double, latitude double")
+    return constant_rows(spark, K.CITIES, ["city_name", "short_name", "longitude", "latitude"])
 
 
 def stop_list(spark: SparkSession, regions: DataFrame | None = None) -> DataFrame:
     """Travel stop words and region names; names below province level come from the code table."""
-    words = spark.createDataFrame([(w,) for w in K.STOPWORDS], "name string")
-    provinces = spark.createDataFrame([(p,) for p in K.PROVINCES], "name string")
+    words = constant_rows(spark, [(w,) for w in K.STOPWORDS], ["name"])
+    provinces = constant_rows(spark, [(p,) for p in K.PROVINCES], ["name"])
     names = provinces if regions is None else region_alias_expand(regions, "name", provinces)
     return union_rows(words, names.select("name"))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(app_name: str = "wayline", master: str | None = None, **conf: str) -> SparkSession:
@@ -37,6 +38,17 @@ def union_rows(first: DataFrame, *others: DataFrame, allow_missing: bool = False
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), others, first)
 
 
+def constant_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A fixed list as a frame whose size the optimizer can see.
+
+    A frame made from Python objects has no size estimate and would be
+    shuffled; this one is a projection of one row, small enough by its own
+    estimate to be broadcast.
+    """
+    entries = [F.struct(*[F.lit(v).alias(c) for v, c in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's `spark.checkpoint.dir`.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wayline.functions.scoring import diversity_score
 from wayline.operators import keywords as W, popularity as R, resolve as E, vectors as V
 from wayline.operators.ordering import first_per_group, top_n_per_group
+from wayline.session import constant_rows
 from wayline.suite.base import Data, query
 from wayline.suite.scalars import FEEDBACK_SQL, feedback
 
@@ -33,7 +34,7 @@ def docs(d: Data):
 
 
 def stop_words(d: Data):
-    return d.spark.createDataFrame([(w,) for w in STOP], "word string")
+    return constant_rows(d.spark, [(w,) for w in STOP], ["word"])
 
 
 def tokens(d: Data):
