@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from wayline.plans import entity_load, trend
-from wayline.session import shared_root
+from wayline.plans import entity_load, landing, trend
+from wayline.session import drop_scratch, scratch_path, shared_root
+from wayline.sources import files, snapshots
 from wayline.sources.tables import Tables
 from wayline.streaming import jobs
 
@@ -168,3 +169,56 @@ def test_cluster_sessions_need_a_shared_folder(spark):
     with pytest.raises(RuntimeError):
         shared_root(Cluster)
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def page(request, no, items, total, code="00"):
+    body = {"response": {"header": {"resultCode": code}, "body": {"items": {"item": items} if items else "", "totalCount": total}}}
+    return (request, no, 2, json.dumps(body))
+
+
+def test_listing_lands_once_and_loads(spark, tables, tmp_path):
+    import datetime as dt
+
+    entry = lambda i, title: {"contentid": str(i), "title": title, "lclsSystm1": "NA"}
+    ddl = "request string, page_no int, num_rows int, body string"
+    rows_ = [page("1", 1, [entry(1, "a"), entry(2, "b")], 3), page("1", 2, [entry(3, "c")], 3), page("2", 1, [{**entry(1, "z"), "addr1": "x"}], 1)]
+    day = dt.date(2024, 1, 1)
+    with pytest.raises(landing.ListingFailed):
+        landing.land_listing(spark.createDataFrame([*rows_, page("3", 1, None, 0, "22")], ddl), str(tmp_path / "s"), day)
+    path = landing.land_listing(spark.createDataFrame(rows_, ddl), str(tmp_path / "s"), day)
+    assert landing.land_listing(spark.createDataFrame([], ddl), str(tmp_path / "s"), day) == path
+    raw = snapshots.read_snapshot(spark, path)
+    assert raw.columns == ["addr1", "contentid", "lclsSystm1", "seq", "title"]
+    assert stats(entity_load.daily_entity_load(raw, tables, now(), "seq")) == {"processed": 3, "changed": 3, "quarantined": 0, "duplicated": 1}
+    # The later request's copy of entity 1 wins.
+    assert rows(tables.read("entity").select("content_id", "title")) == [(1, "z"), (2, "b"), (3, "c")]
+
+
+def test_codes_and_feedback(spark, tables):
+    assert landing.codes_missing(tables, "51")
+    areas = spark.createDataFrame([("51", "강원"), (" ", "x"), ("52", None)], "code string, name string")
+    districts = spark.createDataFrame([("51", "150", " 강릉시 ")], "area_code string, code string, name string")
+    kinds = spark.createDataFrame([("NA", "n", 1, None, None), ("NA01", "m", 2, "NA", None), ("NA0101", "s", 3, "NA", "NA01")],
+                                  "code string, name string, depth int, level1 string, level2 string")
+    for _ in range(2):
+        landing.sync_codes(areas, districts, kinds, tables)
+    assert not landing.codes_missing(tables, "51")
+    assert rows(tables.read("area_code")) == [("51", "강원")]
+    assert rows(tables.read("sigungu_code")) == [("51", "150", "강릉시")]
+    assert rows(tables.read("category").select("code", "parent_code")) == [("NA", None), ("NA01", "NA"), ("NA0101", "NA01")]
+
+    entity_load.daily_entity_load(items(spark), tables, now(), "seq")
+    tables.write("entity_like", spark.createDataFrame([(7, 1, None), (8, 1, None)], "user_id long, content_id long, created_at timestamp_ntz"))
+    review = "review_id long, content_id long, user_id long, rating int, is_deleted boolean, created_at timestamp_ntz"
+    tables.write("review", spark.createDataFrame([(1, 1, 7, 5, False, None), (2, 1, 8, 4, False, None), (3, 1, 9, 1, True, None)], review))
+    landing.refresh_feedback(tables)
+    got = tables.read("entity").select("content_id", "like_count", "review_count", F.col("avg_rating").cast("double"))
+    assert rows(got) == [(1, 2, 2, 4.5), (2, 0, 0, 0.0)]
+
+
+def test_scratch_is_dropped_as_a_whole(spark):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert files.exists(spark, path)
+    drop_scratch(spark)
+    assert not files.exists(spark, path)

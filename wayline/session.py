@@ -9,6 +9,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wayline.sources import files
+
+
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "wayline", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution and UTC wall-clock time; `conf` keys use `__` for dots."""
@@ -18,6 +23,8 @@ def build_session(app_name: str = "wayline", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Stream state that outgrows executor memory stays on disk.
+        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     if master:
         builder = builder.master(master)
@@ -67,9 +74,18 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/wayline/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, never reused path below the shared root."""
-    return f"{shared_root(spark)}/wayline/{label}-{uuid.uuid4().hex}"
+    """A new, never reused path in this application's part of the shared root."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored in between; call it when its results are written."""
+    files.delete(spark, _scratch(spark))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -69,6 +69,17 @@ def page_items(assembled: DataFrame, request: Sequence[str], page_no: str = "pag
     return assembled.select(*request, page_no, F.posexplode("items").alias("item_no", "item"))
 
 
+def items_to_columns(items: DataFrame, keep: Sequence[str] = (), max_fields: int = 1000) -> DataFrame:
+    """Items of dynamic keys as one text column per key.
+
+    The keys are the field names of an API, gathered as a distinct list.
+    """
+    names = items.select(F.explode(F.map_keys("item")).alias("name")).distinct().limit(max_fields + 1).collect()
+    if len(names) > max_fields:
+        raise ValueError(f"more than {max_fields} different field names")
+    return items.select(*keep, *[F.col("item")[r["name"]].alias(r["name"]) for r in sorted(names)])
+
+
 def first_item(parsed: DataFrame, request: Sequence[str], page_no: str = "page_no") -> DataFrame:
     """Single-row lookup: first item of the first page."""
     first_page = first_per_group(parsed, request, [F.col(page_no).asc()])

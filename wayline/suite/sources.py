@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wayline.operators import normalize as N
 from wayline.operators.ordering import distributed_row_number
 from wayline.operators.queues import outbox_batches, ready_filter
+from wayline.plans.landing import land_listing
 from wayline.session import scratch_path, union_rows
 from wayline.sources import pages as P, snapshots as S, trend_json as J
 from wayline.sources.outbox import write_outbox
@@ -197,7 +198,7 @@ PER_PAGE = 20
 CODE = "CASE n.n_nationkey WHEN 3 THEN '22' WHEN 7 THEN ' 03 ' WHEN 11 THEN '' WHEN 13 THEN '00' WHEN 17 THEN '99' ELSE '0000' END"
 
 
-def landed_pages(d: Data):
+def landed_pages(d: Data, code: str = CODE):
     """Customers of each nation as pages of a listing, with a blank page after the last."""
     numbered = distributed_row_number(
         d.customer.select("c_nationkey", "c_custkey", "c_name"), ["c_nationkey"], [F.col("c_custkey").asc()], "rn"
@@ -214,7 +215,7 @@ def landed_pages(d: Data):
     blank = totals.select(
         "c_nationkey", (F.ceil(F.col("total") / PER_PAGE) + 1).alias("page_no"), F.lit('""').alias("items")
     )
-    code = F.expr(CODE.replace("n.n_nationkey", "c_nationkey"))
+    code = F.expr(code.replace("n.n_nationkey", "c_nationkey"))
     body = F.concat(
         F.lit('{"response":{"header":{"resultCode":"'), code, F.lit('","resultMsg":"-"},"body":{"items":'),
         F.col("items"), F.lit(',"totalCount":'), F.col("total"), F.lit("}}}"),
@@ -260,6 +261,15 @@ def _(d: Data):
     return first.select("request", F.col("item")["contentid"].alias("contentid"))
 
 
+@query("land_listing", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS contentid, c_name AS title,
+  printf('%d|%010d|%06d', c_nationkey, CAST(floor((rn - 1) / {PER_PAGE}) + 1 AS BIGINT), CAST((rn - 1) % {PER_PAGE} AS BIGINT)) AS seq
+FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn FROM customer)""")
+def _(d: Data):
+    path = land_listing(landed_pages(d, "'0000'"), scratch_path(d.spark, "landing"), DAY)
+    return S.read_snapshot(d.spark, path).select("contentid", "title", "seq")
+
+
 # --- tables and outbox -------------------------------------------------------------
 
 
