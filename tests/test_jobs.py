@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from wayline.plans import entity_load, landing, trend
+from wayline.plans import audit, entity_load, landing, trend
 from wayline.session import drop_scratch, scratch_path, shared_root
 from wayline.sources import files, snapshots
 from wayline.sources.tables import Tables
@@ -222,3 +222,30 @@ def test_scratch_is_dropped_as_a_whole(spark):
     assert files.exists(spark, path)
     drop_scratch(spark)
     assert not files.exists(spark, path)
+
+
+def test_audit_reports_each_broken_rule(spark, tables):
+    entity_load.daily_entity_load(items(spark), tables, now(), "seq")
+    review = "review_id long, content_id long, user_id long, rating int, is_deleted boolean, created_at timestamp_ntz"
+    tables.write("review", spark.createDataFrame([(1, 1, 7, 6, False, None), (2, 9, 7, 1, False, None), (3, 9, 7, 1, False, None)], review))
+    broken = {(r["table"], r["rule"]): r["violations"] for r in audit.audit(tables).collect() if r["violations"]}
+    assert broken == {("review", "unique_key"): 1, ("review", "rating_1_to_5"): 1, ("review", "content_id_in_entity"): 2}
+
+
+def test_trend_snapshots_round_trip(spark, tmp_path):
+    import datetime as dt
+
+    from wayline.sources.trend_json import flatten_trend, read_nested
+
+    day = dt.date(2024, 1, 1)
+    docs = spark.createDataFrame(
+        [("강릉시", "blog", "u", "2024-01-01T00:00:00+09:00", "t", 'c "q"', ["a", "a", "b"])],
+        "city_name string, channel string, url string, datetime string, title string, contents string, matched_queries array<string>",
+    )
+    path = trend.export_documents(docs, str(tmp_path), day, "run-00001")
+    assert rows(flatten_trend(read_nested(spark, path))) == rows(docs.select("city_name", "channel", "url", "datetime", "title", "contents", "matched_queries"))
+    scored = spark.createDataFrame([("k", "강릉시", 2, 1, True, 3.9, 1.0), ("l", "강릉시", 3, 0, False, 3.0, 0.5)],
+                                   ", ".join(f"{n} {t}" for n, t in trend.KEYWORD_FIELDS.items()))
+    path = trend.export_keywords(scored, str(tmp_path), day, "run-00001")
+    assert path.endswith("aggregated_run-0000")
+    assert rows(trend.read_keywords(spark, path)) == rows(scored)

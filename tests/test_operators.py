@@ -364,3 +364,9 @@ def test_results_do_not_depend_on_partitioning(spark, parts):
         best = sorted(sorted(group, key=lambda r: r[1]), key=lambda r: r[2], reverse=True)[:3]
         want += best
     assert rows(got) == sorted(want, key=repr)
+
+
+def test_top_n_beyond_the_rank_limit(spark):
+    df = spark.range(5000).withColumn("g", F.when(F.col("id") >= 0, "a"))
+    got = ordering.top_n_per_group(df, ["g"], [F.col("id").desc()], 2000)
+    assert got.count() == 2000 and got.agg(F.min("id")).first()[0] == 3000

@@ -67,12 +67,16 @@ def top_n_per_group(
 ) -> DataFrame:
     """First `n` rows of each group.
 
-    The rank filter lets Spark cut every map task down to `n` rows per group
-    before the shuffle, so a hot group costs no more than the others.
+    Up to the threshold of Spark's rank limit every map task is cut down to `n`
+    rows per group before the shuffle, so a hot group costs no more than the
+    others. Beyond it the rows are numbered in slices.
     """
     name = rank or "_rank"
-    order = Window.partitionBy(*partition_by).orderBy(*order_by)
-    kept = df.withColumn(name, F.row_number().over(order)).where(F.col(name) <= n)
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        numbered = distributed_row_number(df, partition_by, order_by, name)
+    else:
+        numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by)))
+    kept = numbered.where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
 
 

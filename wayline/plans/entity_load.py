@@ -111,6 +111,11 @@ def _images(outcomes: DataFrame) -> DataFrame:
     return normalize_images(raw, [F.col("pos").asc()])
 
 
+def _if_typed(column: str) -> Column:
+    """The new value, unless the entity has no content type to ask details for."""
+    return F.when(F.col("t.content_type_id").isNotNull(), F.col(f"s.{column}")).otherwise(F.col(f"t.{column}"))
+
+
 def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
     entities = tables.read("entity")
     items = _items(outcomes)
@@ -120,7 +125,7 @@ def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
     elif kind == "detail_intro":
         columns = ("infocenter", "usetime", "restdate", "parking", "expguide")
         rows = normalize_detail_intro(_fields(items.where("pos = 0"), columns))
-        new = merge.update_from(entities, rows, ["content_id"], list(columns))
+        new = merge.update_from(entities, rows, ["content_id"], [], {c: _if_typed(c) for c in columns})
     elif kind == "detail_info":
         # An empty answer stores an empty list, unless the entity has no type to ask for.
         packed = detail_info_pack(
@@ -133,8 +138,7 @@ def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
         )
         done = outcomes.where("outcome = 'done'").select("content_id")
         rows = done.join(texts, "content_id", "left").withColumn("detail_info", F.coalesce("detail_info", F.lit("[]")))
-        typed = F.when(F.col("t.content_type_id").isNotNull(), F.col("s.detail_info")).otherwise(F.col("t.detail_info"))
-        new = merge.update_from(entities, rows, ["content_id"], [], {"detail_info": typed})
+        new = merge.update_from(entities, rows, ["content_id"], [], {"detail_info": _if_typed("detail_info")})
     elif kind == "image":
         images = materialize(_images(outcomes), "images")
         parents = outcomes.where("outcome = 'done'").select("content_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayline import constants as K
@@ -13,10 +15,15 @@ from wayline.operators.normalize import region_alias_expand
 from wayline.operators.popularity import accumulate_score, category_dimension, decay_scores, popularity_rank
 from wayline.operators.resolve import best_candidate, candidate_filter, dim_lookup_skip, place_match, tag_cities
 from wayline.session import constant_rows, materialize, union_rows
+from wayline.sources import trend_json
 from wayline.sources.tables import Tables
 
 _QUERY = ["city_name", "channel", "query"]
 _DOC = ["city_name", "channel", "url"]
+KEYWORD_FIELDS = {
+    "keyword": "STRING", "city_name": "STRING", "blog_frequency": "BIGINT", "cafe_frequency": "BIGINT",
+    "multi_channel": "BOOLEAN", "raw_score": "DOUBLE", "normalized_score": "DOUBLE",
+}
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:
@@ -60,6 +67,29 @@ def analyse(docs: DataFrame, stop: DataFrame, load=None, **options) -> DataFrame
     return keyword_scores(docs, text, "city_name", "channel", stop, load=load, **options)
 
 
+def export_documents(docs: DataFrame, base: str, execution_date: date, run_id: str) -> str:
+    """Collected documents as the run's nested raw snapshot; returns its path."""
+    rows = docs.withColumnRenamed("datetime", "published_at")
+    fields = ["url", "published_at", "title", "contents", "matched_queries"]
+    nested = trend_json.nest_by(rows, "city_name", "channel", [F.col("url").asc()], fields)
+    return trend_json.write_nested(nested, trend_json.snapshot_file(base, "raw", execution_date, run_id))
+
+
+def export_keywords(keywords: DataFrame, base: str, execution_date: date, run_id: str) -> str:
+    """Scored keywords as the run's nested aggregated snapshot, best first; returns its path."""
+    order = [F.col("raw_score").desc(), F.col("keyword").asc()]
+    nested = trend_json.nest_by(keywords, "city_name", None, order, list(KEYWORD_FIELDS))
+    return trend_json.write_nested(nested, trend_json.snapshot_file(base, "aggregated", execution_date, run_id))
+
+
+def read_keywords(spark: SparkSession, path: str) -> DataFrame:
+    """Keyword rows of an aggregated snapshot."""
+    item = ", ".join(f"{name}: {kind}" for name, kind in KEYWORD_FIELDS.items())
+    cities = F.from_json("value", f"STRUCT<cities: MAP<STRING, ARRAY<STRUCT<{item}>>>>")["cities"]
+    listed = trend_json.read_nested(spark, path).select(F.explode(cities).alias("city", "_items"))
+    return listed.select(F.inline("_items"))
+
+
 def match(keywords: DataFrame, candidates: DataFrame, entities: DataFrame, cities: DataFrame) -> DataFrame:
     """Keywords with the entity they stand for; NULL where verification or matching failed."""
     known, _ = dim_lookup_skip(keywords, cities, "city_name")

@@ -88,6 +88,10 @@ class Tables:
         df.write.mode("overwrite").parquet(path)
         return self._load(name, path)
 
+    def compact(self, name: str) -> DataFrame:
+        """Rewrite a table of many additions as one whole version."""
+        return self.write(name, self.read(name))
+
     def expire(self, name: str, keep: int = 2) -> int:
         """Delete versions older than the newest `keep` whole ones; returns how many went."""
         versions = self._versions(name)
