@@ -92,10 +92,8 @@ def prefix_until_seen(
     skipped and do not stop the query.
     """
     usable = required_key(docs, url)
-    seen = seen_semi_join(usable, ledger, doc_keys).select(*[F.col(k).alias(f"_k_{k}") for k in doc_keys], F.lit(True).alias("_seen"))
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in doc_keys])
-    flagged = usable.join(seen, same, "left").select(*docs.columns, F.coalesce("_seen", F.lit(False)).alias("_seen"))
-    return before_first(flagged, query_keys, position, F.col("_seen")).select(*docs.columns)
+    known = seen_semi_join(usable, ledger, doc_keys)
+    return before_first(usable, query_keys, position, usable.join(known, list(doc_keys), "left_semi"))
 
 
 def doc_dedup_collect(

@@ -85,21 +85,18 @@ def first_per_group(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
     return top_n_per_group(df, partition_by, order_by, 1)
 
 
-def before_first(
-    df: DataFrame, partition_by: Sequence[str], position: str, stop: Column, keep_stop: bool = False
-) -> DataFrame:
-    """Rows of each group placed before the first row where `stop` holds.
+def before_first(df: DataFrame, partition_by: Sequence[str], position: str, stopping: DataFrame) -> DataFrame:
+    """Rows of each group placed before the group's first `stopping` row.
 
     The stop position is one aggregated row per group joined back, not a
     window, so no group has to fit in one task.
     """
     keys = list(partition_by)
     stops = (
-        df.where(stop)
-        .groupBy(*keys)
+        stopping.groupBy(*keys)
         .agg(F.min(position).alias("_stop"))
         .select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_stop")
     )
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    reached = F.col(position) <= F.col("_stop") if keep_stop else F.col(position) < F.col("_stop")
-    return df.join(stops, same, "left").where(F.col("_stop").isNull() | reached).select(*df.columns)
+    reached = F.col("_stop").isNull() | (F.col(position) < F.col("_stop"))
+    return df.join(stops, same, "left").where(reached).select(*df.columns)

@@ -56,7 +56,7 @@ def stop_at_first_failure(responses: DataFrame, queue: Sequence[str], position:
     Up to the first exhausted quota an item is done (`ok`, `nodata`) or failed
     (it stays pending); from there on everything stays pending untouched.
     """
-    reached = before_first(responses, queue, position, F.col(status).isin(*STOP_STATUSES))
+    reached = before_first(responses, queue, position, responses.where(F.col(status).isin(*STOP_STATUSES)))
     outcome = F.when(F.col(status).isin(*DONE_STATUSES), F.lit("done")).otherwise(F.lit("failed"))
     return reached.withColumn("outcome", outcome)
 

@@ -90,14 +90,13 @@ def enrich(kind: str, responses: DataFrame, tables: Tables, now: Column, limit:
     flag = f"{kind}_pending"
     queue = pending_queue(state, flag, limit=limit)
     outcomes = _outcomes(queue, responses)
-    _apply(kind, outcomes, tables)
-    done = outcomes.where("outcome = 'done'").select("content_id", F.size("items").alias("_n"))
-    extra = {}
+    cleared = {flag: F.lit(False), "last_etl_at": now}
     if kind == "image":
-        images = _images(outcomes).select("content_id").distinct()
-        done = done.join(images.withColumn("_has", F.lit(True)), "content_id", "left")
-        extra["image_absent"] = F.col("s._has").isNull()
-    cleared = {flag: F.lit(False), "last_etl_at": now} | extra
+        done = _apply_images(outcomes, tables)
+        cleared["image_absent"] = F.col("s._has").isNull()
+    else:
+        _apply_details(kind, outcomes, tables)
+        done = outcomes.where("outcome = 'done'").select("content_id")
     tables.write("etl_state", merge.update_from(state, done, ["content_id"], [], cleared))
     return outcomes.agg(
         F.count(F.when(F.col("outcome") == "done", 1)).alias("processed"),
@@ -106,9 +105,15 @@ def enrich(kind: str, responses: DataFrame, tables: Tables, now: Column, limit:
     )
 
 
-def _images(outcomes: DataFrame) -> DataFrame:
+def _apply_images(outcomes: DataFrame, tables: Tables) -> DataFrame:
+    """Replace the images of finished entities; returns their ids, `_has` set where there is an image."""
     raw = _fields(_items(outcomes), ("originimgurl", "smallimageurl"))
-    return normalize_images(raw, [F.col("pos").asc()])
+    images = materialize(normalize_images(raw, [F.col("pos").asc()]), "images")
+    parents = outcomes.where("outcome = 'done'").select("content_id")
+    tables.write("entity_image", merge.replace_children(tables.read("entity_image"), parents, images, "content_id"))
+    first = images.where("`order` = 1").select("content_id", "image_url")
+    tables.write("entity", merge.fill_if_null(tables.read("entity"), first, "content_id", "first_image", "image_url"))
+    return parents.join(first.select("content_id", F.lit(True).alias("_has")), "content_id", "left")
 
 
 def _if_typed(column: str) -> Column:
@@ -116,7 +121,7 @@ def _if_typed(column: str) -> Column:
     return F.when(F.col("t.content_type_id").isNotNull(), F.col(f"s.{column}")).otherwise(F.col(f"t.{column}"))
 
 
-def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
+def _apply_details(kind: str, outcomes: DataFrame, tables: Tables) -> None:
     entities = tables.read("entity")
     items = _items(outcomes)
     if kind == "detail_common":
@@ -139,12 +144,6 @@ def _apply(kind: str, outcomes: DataFrame, tables: Tables) -> None:
         done = outcomes.where("outcome = 'done'").select("content_id")
         rows = done.join(texts, "content_id", "left").withColumn("detail_info", F.coalesce("detail_info", F.lit("[]")))
         new = merge.update_from(entities, rows, ["content_id"], [], {"detail_info": _if_typed("detail_info")})
-    elif kind == "image":
-        images = materialize(_images(outcomes), "images")
-        parents = outcomes.where("outcome = 'done'").select("content_id")
-        tables.write("entity_image", merge.replace_children(tables.read("entity_image"), parents, images, "content_id"))
-        first = images.where("`order` = 1").select("content_id", "image_url")
-        new = merge.fill_if_null(entities, first, "content_id", "first_image", "image_url")
     else:
         raise ValueError(f"unknown kind {kind}")
     tables.write("entity", new)
@@ -155,9 +154,7 @@ def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int
     state = tables.read("etl_state")
     targets = missing_children(tables.read("entity"), state, tables.read("entity_image"), limit=limit)
     outcomes = _outcomes(targets, responses)
-    _apply("image", outcomes, tables)
-    images = _images(outcomes).select("content_id").distinct().withColumn("_has", F.lit(True))
-    done = outcomes.where("outcome = 'done'").select("content_id").join(images, "content_id", "left")
+    done = _apply_images(outcomes, tables)
     cleared = {"image_pending": F.lit(False), "image_absent": F.col("s._has").isNull(), "last_etl_at": now}
     tables.write("etl_state", merge.update_from(state, done, ["content_id"], [], cleared))
     return outcomes.agg(
