@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayline.llm import bpe_codec, license_scan, source_mixing, token_counts, url_filter
+from wayline.llm import bpe_codec, hash_forest, license_scan, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
 from wayline.llm.checks import ORACLES
 from wayline.session import constant_rows
 
@@ -67,3 +67,27 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken")
     )
+
+
+def toxicity_categories() -> dict[str, F.Column]:
+    """The categories that the table of labels has: texts unfit for their quality, and toxic ones."""
+    return {"unfit": 1 - F.col("quality"), "toxic": F.col("toxic")}
+
+
+@query
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    scored = toxicity_chain.toxicity(table(spark, sf_dir, "documents"), labels, toxicity_categories())
+    return scored.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = quality_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
