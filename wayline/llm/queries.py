@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayline.llm import bpe_codec, hash_forest, license_scan, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
+from wayline.llm import bpe_codec, hash_forest, jaccard_join, license_scan, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
 from wayline.llm.checks import ORACLES
 from wayline.session import constant_rows
 
@@ -91,3 +91,9 @@ def op2_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return hash_forest.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
