@@ -1,19 +1,70 @@
-"""A training corpus in stages: each takes the documents that the stage before it kept."""
+"""A training corpus in stages: each takes the documents that the stage before it kept.
+
+Documents need `doc_id`, `text` and `source`; other columns travel along. The
+labels that train the first two stages are read from `sf_dir`.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from wayline.llm import bpe_codec, jaccard_join, quality_resampling, source_mixing, toxicity_chain
+from wayline.llm.queries import table, tokenizer_file, toxicity_categories
+from wayline.session import materialize
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain does not call toxic. Null and empty texts stay."""
+    labels = table(spark, sf_dir, "labels")
+    scored = toxicity_chain.toxicity(docs, labels, toxicity_categories(), keep=tuple(docs.columns))
+    return scored.filter("NOT is_toxic").select(*docs.columns)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by their ratio of target to raw text."""
+    drawn = quality_resampling.resample(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
+    return drawn.filter("selected").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of linked ones; texts without words all stay.
+
+    A row that repeats another in id and text goes; rows without an id cannot
+    be told apart by it and stay.
+    """
+    found = jaccard_join.jaccard_components(docs)
+    kept = found.filter("id = component").select(F.col("id").alias("doc_id")).distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = source_mixing.mix(docs, keep=tuple(c for c in docs.columns if c not in ("doc_id", "source")))
+    repeated = mixed.select("*", F.explode(F.array_repeat(F.lit(0), F.col("repeats").cast("int"))).alias("_copy"))
+    return repeated.withColumnRenamed("id", "doc_id").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, with their count and digests."""
+    encoded = bpe_codec.encode_decode(docs, tokenizer_file("byte_bpe_50k.json"))
+    return bpe_codec.digests(encoded, keep=("ids",))
 
-from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
 
 #: SQL can express neither the trained stages nor the tokenizer; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

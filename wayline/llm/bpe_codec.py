@@ -150,11 +150,12 @@ def encode_decode(df: DataFrame, tokenizer: bytes, id_col: str = "doc_id", text_
     return two_columns(df, id_col, text_col).mapInArrow(run, _RESULT)
 
 
-def digests(encoded: DataFrame, id_name: str = "doc_id") -> DataFrame:
-    """Token count and digests of the ids and of the decoded text."""
+def digests(encoded: DataFrame, id_name: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Token count and digests of the ids and of the decoded text, and the columns named in `keep`."""
     return encoded.select(
         F.col("id").alias(id_name),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        *keep,
     )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayline.llm import bpe_codec, hash_forest, jaccard_join, license_scan, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
+from wayline.llm import bm25_search, bpe_codec, hash_forest, jaccard_join, license_scan, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
 from wayline.llm.checks import ORACLES
 from wayline.session import constant_rows
 
@@ -97,3 +97,9 @@ def op9_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+@query
+def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25_search.search(docs, docs.filter("doc_id % 100 = 0"))
