@@ -17,8 +17,9 @@ MAX_PER_CLASS = 6_000
 MAX_TERMS = 1_000
 FOLDS = 3
 #: A category is predicted where its probability is at least this.
-THRESHOLD = 0.5
-_STARTS = (4, 5, 6)
+THRESHOLD = 0.3
+REGULARIZATION = 2e-5
+_STARTS = (4, 5, 6, 7)
 _NO_TERM = "\u0000"
 
 
@@ -96,8 +97,12 @@ def _fit(rows: DataFrame, earlier: Sequence[str], name: str) -> LogisticRegressi
     share = rows.agg(F.avg(name)).first()[0]
     if share is None or share in (0.0, 1.0):
         return float(share or 0.0)
-    learner = LogisticRegression(featuresCol="_inputs", labelCol=name, regParam=1e-4, maxIter=60, standardization=False)
-    return learner.fit(_inputs(rows, earlier))
+    # Both classes weigh the same, however rare one is.
+    weight = F.when(F.col(name) == 1, 0.5 / share).otherwise(0.5 / (1 - share))
+    learner = LogisticRegression(
+        featuresCol="_inputs", labelCol=name, weightCol="_weight", regParam=REGULARIZATION, maxIter=60, standardization=False
+    )
+    return learner.fit(_inputs(rows.withColumn("_weight", weight), earlier))
 
 
 def fit_chain(docs: DataFrame, sample: DataFrame, categories: Sequence[str], id_col: str, text_col: str) -> Chain:
