@@ -185,6 +185,10 @@ def test_listing_lands_once_and_loads(spark, tables, tmp_path):
     day = dt.date(2024, 1, 1)
     with pytest.raises(landing.ListingFailed):
         landing.land_listing(spark.createDataFrame([*rows_, page("3", 1, None, 0, "22")], ddl), str(tmp_path / "s"), day)
+    gap, open_end, changed = [rows_[1]], [rows_[0]], [rows_[0], page("1", 2, [entry(3, "c")], 4)]
+    for broken in (gap, open_end, changed, [*gap, rows_[2]]):
+        with pytest.raises(landing.ListingFailed):
+            landing.land_listing(spark.createDataFrame(broken, ddl), str(tmp_path / "s"), day)
     path = landing.land_listing(spark.createDataFrame(rows_, ddl), str(tmp_path / "s"), day)
     assert landing.land_listing(spark.createDataFrame([], ddl), str(tmp_path / "s"), day) == path
     raw = snapshots.read_snapshot(spark, path)

@@ -4,29 +4,29 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import rows
 from wayline.operators import changes, documents, keywords, merge, normalize, ordering, popularity, quality, queues, resolve, vectors
 
 
-def test_sliced_row_number_equals_the_window(spark):
+def test_row_number_equals_the_window(spark):
     random.seed(3)
     data = [(random.choice("aaaaab"), random.randrange(50), i) for i in range(3000)] + [(None, 1, -1), (None, 0, -2)]
     df = spark.createDataFrame(data, "g string, v int, id long").repartition(8)
     order = [F.col("v").desc(), F.col("id").asc()]
-    plain = ordering.distributed_row_number(df, ["g"], order, "rn")
-    sliced = ordering.distributed_row_number(df, ["g"], order, "rn", max_group_rows=10)
-    assert rows(plain) == rows(sliced)
-    assert rows(ordering.distributed_row_number(df, [], order, "rn", 10)) == rows(ordering.distributed_row_number(df, [], order, "rn"))
+    plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert rows(ordering.distributed_row_number(df, ["g"], order, "rn")) == rows(plain)
+    plain = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
+    assert rows(ordering.distributed_row_number(df, [], order, "rn")) == rows(plain)
 
 
-def test_sliced_row_number_spreads_a_hot_group(spark):
+def test_row_number_spreads_a_hot_group(spark):
     # Adaptive execution would merge slices as small as these.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.range(20000).withColumn("g", F.when(F.col("id") >= 0, "hot"))
-        numbered = ordering.distributed_row_number(df, ["g"], [F.col("id").asc()], "rn", max_group_rows=100)
+        numbered = ordering.distributed_row_number(df, ["g"], [F.col("id").asc()], "rn")
         assert numbered.select(F.spark_partition_id()).distinct().count() > 3
         assert numbered.where("rn <> id + 1").count() == 0
     finally:
@@ -62,8 +62,8 @@ def test_normalise_quarantine_and_dedup(frame):
 
 
 def test_images_without_url_take_no_number(frame):
-    raw = frame([("1", 0, " ", None), ("1", 1, "a", "x"), ("1", 2, "", "b"), ("2", 0, None, "c")], "contentid string, pos int, originimgurl string, smallimageurl string")
-    assert rows(normalize.normalize_images(raw, [F.col("pos").asc()])) == [(1, 1, "a"), (1, 2, "b"), (2, 1, "c")]
+    raw = frame([("1", 0, " ", None), ("1", 1, "a", "x"), ("1", 2, "", "b"), ("2", 0, None, "c"), ("x", 0, "d", None), (" 1", 3, "e", None), (None, 1, "f", "f")], "contentid string, pos int, originimgurl string, smallimageurl string")
+    assert rows(normalize.normalize_images(raw, [F.col("pos").asc()])) == [(1, 1, "a"), (1, 2, "b"), (1, 3, "e"), (2, 1, "c")]
 
 
 def test_detail_pack_keeps_order(frame):
@@ -180,6 +180,12 @@ def test_collection_equals_the_reading_loop(spark, seed):
     assert {r["url"]: r["matched_queries"] for r in got.collect()} == {u: [f"q{q}" for q in qs] for u, qs in want.items()}
 
 
+def test_all_landed_pages_are_read_by_default(spark):
+    docs = spark.range(1000).selectExpr("'c' AS city", "CAST(id / 10 + 1 AS INT) AS page").where("page <> 90")
+    reach = documents.reachable_pages(docs, ["city"], "page", 10)
+    assert reach.count() == 890 and reach.agg(F.max("page")).first()[0] == 89
+
+
 def test_same_url_in_both_channels_counts_twice(frame):
     docs = frame([("c", "blog", "u"), ("c", "cafe", "u"), ("c", "blog", "u")], "city string, channel string, url string")
     assert documents.except_seen(docs, docs.limit(0), ["city", "channel", "url"]).count() == 3
@@ -195,11 +201,10 @@ def test_tokens_with_an_analyser(frame, spark):
 
         return analyse
 
-    codes = frame([("이천시",), ("용인시",), ("담양군",)], "name string")
     from wayline.plans.trend import stop_list
 
     docs = frame([("테스트 문장",), ("깨진 문장",), ("",), (None,)], "t string")
-    found = keywords.token_filter(keywords.tokenize(docs, F.col("t"), [], load=load), stop_list(spark, codes))
+    found = keywords.token_filter(keywords.tokenize(docs, F.col("t"), [], load=load), stop_list(spark))
     assert rows(keywords.token_frequency(found, [])) == [("오죽헌", 1)]
 
 
@@ -294,9 +299,7 @@ def test_many_copies_of_one_place_do_not_multiply(spark):
     assert got.count() == 3000 and got.select("content_id").distinct().collect()[0][0] == 0
 
 
-@pytest.mark.parametrize("inline", [500, 0])
-def test_tag_cities(spark, inline, monkeypatch):
-    monkeypatch.setattr(resolve, "_INLINE_CITIES", inline)
+def test_tag_cities(spark):
     e = spark.createDataFrame([(1, "강원 강릉시 1"), (2, "강원 춘천 2 강릉로"), (3, None), (4, "서울")], "content_id long, addr1 string")
     cities = spark.createDataFrame([("강릉시",), ("춘천시",)], "city_name string")
     assert rows(resolve.tag_cities(e, cities).select("content_id", "city_name")) == [(1, "강릉시"), (2, "강릉시"), (2, "춘천시")]
@@ -350,8 +353,26 @@ def test_cosine_top_k(frame):
     queries = frame([(7, [2.0, 0.0])], "q int, embedding array<float>")
     got = vectors.cosine_top_k(items, queries, 2, "id", "q").orderBy("rank").collect()
     assert [(r["query_id"], r["item_id"], round(r["similarity"], 6)) for r in got] == [(7, 1, 1.0), (7, 3, 0.707107)]
-    with pytest.raises(ValueError):
-        vectors.cosine_top_k(items, queries, 2, "id", "q", max_queries=0)
+    assert vectors.cosine_top_k(items.limit(0), queries, 2, "id", "q").count() == 0
+    assert vectors.cosine_top_k(items, frame([(8, None)], "q int, embedding array<float>"), 2, "id", "q").count() == 0
+
+
+def test_cosine_top_k_over_shards_equals_all_pairs(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(vectors, "SHARD_ITEMS", 50)
+    rng = np.random.default_rng(1)
+    data = [(i, v.tolist()) for i, v in enumerate(rng.integers(-2, 3, (300, 4)).astype(float))]
+    items = spark.createDataFrame(data, "id long, embedding array<double>").repartition(4)
+    got = vectors.cosine_top_k(items, items.select(F.col("id").alias("q"), "embedding"), 7, "id", "q")
+    unit = np.array([v for _, v in data], float)
+    unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-300)
+    scores = unit @ unit.T
+    want = {q: np.lexsort((np.arange(300), -scores[q].round(12)))[:7].tolist() for q in range(300)}
+    rounded = {}
+    for r in got.collect():
+        rounded.setdefault(r["query_id"], []).append(round(r["similarity"], 9))
+    assert {q: sorted(v, reverse=True) for q, v in rounded.items()} == {q: [round(scores[q, i], 9) for i in w] for q, w in want.items()}
 
 
 @pytest.mark.parametrize("parts", [1, 8])

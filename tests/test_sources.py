@@ -103,6 +103,10 @@ def test_flatten_skips_what_is_no_document(spark, tmp_path):
     (tmp_path / "raw.json").write_text(json.dumps(whole, indent=2, ensure_ascii=False), encoding="utf-8")
     got = trend_json.flatten_trend(trend_json.read_whole(spark, str(tmp_path)))
     assert rows(got.select("city_name", "channel", "url", "matched_queries")) == [("a", "blog", "u", ["q"]), ("b", "cafe", "w", None)]
+    assert rows(trend_json.flatten_trend(trend_json.read_nested(spark, str(tmp_path)))) == rows(got)
+    (tmp_path / "raw.json").write_text(json.dumps(whole, indent=2)[:-3], encoding="utf-8")
+    with pytest.raises(Exception, match="not a JSON object"):
+        trend_json.read_nested(spark, str(tmp_path)).collect()
 
 
 def test_tables_versions_tokens_and_lost_writes(spark, tmp_path):
@@ -124,6 +128,9 @@ def test_tables_versions_tokens_and_lost_writes(spark, tmp_path):
     tables.compact("area_code")
     assert tables.expire("area_code", keep=1) == 3 and rows(tables.read("area_code")) == [("1", "a"), ("1", "b")]
     assert not files.exists(spark, str(tmp_path / "area_code" / "v00000001-run_1"))
+    assert tables.applied("area_code", "run 1") and not tables.applied("area_code", "run 2")
+    tables.append("area_code", one, token="run 1")  # an expired run does not add again
+    assert rows(tables.read("area_code")) == [("1", "a"), ("1", "b")]
 
 
 def test_outbox_counts_what_it_wrote(spark, tmp_path):

@@ -115,6 +115,28 @@ PROVINCES = (
     "제주", "제주도", "제주특별자치도",
 )
 
+# --- fixed values: cities, counties and districts, with names no longer in use -------
+DISTRICTS = tuple("""
+남구 동구 북구 서구 중구 가평군 강남구 강동구 강릉시 강북구 강서구 강진군 강화군
+거제시 거창군 경산시 경주시 계룡시 계양구 고령군 고성군 고양시 고창군 고흥군 곡성군
+공주시 과천시 관악구 광명시 광산구 광양시 광주시 광진구 괴산군 구례군 구로구 구리시
+구미시 군산시 군위군 군포시 금산군 금정구 금천구 기장군 김제시 김천시 김포시 김해시
+나주시 남동구 남원시 남해군 노원구 논산시 단양군 달서구 달성군 담양군 당진시 대덕구
+도봉구 동래구 동작구 동해시 마산시 마포구 목포시 무안군 무주군 문경시 밀양시 보령시
+보성군 보은군 봉화군 부안군 부여군 부천시 부평구 사상구 사천시 사하구 산청군 삼척시
+상주시 서산시 서천군 서초구 성남시 성동구 성북구 성주군 속초시 송파구 수성구 수영구
+수원시 순창군 순천시 시흥시 신안군 아산시 안동시 안산시 안성시 안양시 양구군 양산시
+양양군 양주시 양천구 양평군 여수시 여주시 연수구 연제구 연천군 영광군 영덕군 영도구
+영동군 영암군 영양군 영월군 영주시 영천시 예산군 예천군 오산시 옥천군 옹진군 완도군
+완주군 용산구 용인시 울릉군 울주군 울진군 원주시 유성구 은평구 음성군 의령군 의성군
+의왕시 이천시 익산시 인제군 임실군 장성군 장수군 장흥군 전주시 정선군 정읍시 제주시
+제천시 종로구 중랑구 증평군 진도군 진안군 진주시 진천군 진해시 창녕군 창원시 천안시
+철원군 청도군 청송군 청양군 청원군 청주시 춘천시 충주시 칠곡군 태백시 태안군 통영시
+파주시 평창군 평택시 포천시 포항시 하남시 하동군 함안군 함양군 함평군 합천군 해남군
+홍성군 홍천군 화성시 화순군 화천군 횡성군 남양주시 남제주군 동대문구 동두천시 미추홀구
+부산진구 북제주군 서귀포시 서대문구 영등포구 의정부시 해운대구 세종특별자치시
+""".split())
+
 # --- fixed values: travel stop words ---------------------------------------------
 STOPWORDS = (
     "여행", "관광", "추천", "후기", "리뷰", "방문", "코스",

@@ -61,25 +61,21 @@ def union_channels(channels: dict[str, DataFrame], out: str = "channel") -> Data
 
 
 def reachable_pages(docs: DataFrame, query_keys: Sequence[str], page: str = "page",
-                    page_size: int = K.PAGE_SIZE, max_pages: int = K.MAX_PAGES) -> DataFrame:
+                    page_size: int = K.PAGE_SIZE, max_pages: int | None = None) -> DataFrame:
     """Documents on pages a reader gets to: a short, empty or missing page ends a query.
 
-    Page and size settings are clamped to 1..50 as the search service does.
+    All landed pages are read unless `max_pages` says otherwise; how many a
+    request may fetch is its caller's business. The end of a query is one
+    aggregated row: its first page that is not full.
     """
-    size = min(K.PAGE_LIMIT, max(1, page_size))
-    pages = min(K.PAGE_LIMIT, max(1, max_pages))
     keys = list(query_keys)
-    capped = docs.where(F.col(page).between(1, pages))
-    # Pages 1..p-1 were all full exactly when their bits are all set; at most
-    # 50 pages, so one number per query carries the whole history.
-    full = capped.groupBy(*keys, page).agg(F.count("*").alias("_n")).where(F.col("_n") >= size)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col(page) - 1).cast("int"))
-    history = full.groupBy(*keys).agg(F.bit_or(bit).alias("_full"))
-    history = history.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_full")
+    landed = docs.where((F.col(page) >= 1) & (F.lit(True) if max_pages is None else F.col(page) <= max_pages))
+    full = landed.groupBy(*keys, page).agg(F.count("*").alias("_n")).where(F.col("_n") >= max(1, page_size))
+    # Full pages 1, 2, 3, ... stand at their own place of the sorted list up to the first gap.
+    unbroken = F.size(F.filter(F.array_sort(F.collect_set(F.col(page).cast("bigint"))), lambda p, i: p == i + 1))
+    ends = full.groupBy(*keys).agg((unbroken + 1).alias("_end")).select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_end")
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    needed = bit - 1
-    have = F.coalesce(F.col("_full"), F.lit(0).cast("bigint"))
-    return capped.join(history, same, "left").where(have.bitwiseAND(needed) == needed).select(*docs.columns)
+    return landed.join(ends, same, "left").where(F.col(page) <= F.coalesce("_end", F.lit(1))).select(*docs.columns)
 
 
 def prefix_until_seen(

@@ -105,13 +105,11 @@ def normalize_images(
     raw: DataFrame, order_by: Sequence[Column], parent: str = "contentid",
     origin: str = "originimgurl", small: str = "smallimageurl",
 ) -> DataFrame:
-    """Image rows numbered in response order; rows without any URL take no number."""
+    """Image rows numbered in response order; rows without any URL or with a malformed id take no number."""
     url = F.coalesce(clean_text(F.col(origin)), clean_text(F.col(small)))
-    usable = raw.withColumn("image_url", url).where("image_url IS NOT NULL")
-    numbered = ordinal_assign(usable, parent, order_by)
-    return numbered.select(
-        F.col(parent).cast("bigint").alias("content_id"), F.col("order").cast("int").alias("order"), "image_url"
-    )
+    usable = raw.withColumns({"image_url": url, "content_id": safe_int(F.col(parent).cast("string"))})
+    numbered = ordinal_assign(usable.where("image_url IS NOT NULL AND content_id IS NOT NULL"), "content_id", order_by)
+    return numbered.select("content_id", F.col("order").cast("int").alias("order"), "image_url")
 
 
 def detail_info_pack(items: DataFrame, key: str, order_by: Sequence[str], fields: Sequence[str]) -> DataFrame:

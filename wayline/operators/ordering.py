@@ -10,32 +10,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wayline.session import materialize
 
 
-# A window task may hold this many rows of one group; beyond it rows are sliced.
-MAX_GROUP_ROWS = 2_000_000
+def distributed_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str) -> DataFrame:
+    """`row_number()` per group that never gathers a group in one task, whatever its size.
 
-
-def distributed_row_number(
-    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """`row_number()` per group that never gathers a large group in one task.
-
-    `order_by` must be a total order within a group. The largest group is
-    counted first (a map-side combined count per key). Small groups take a plain
-    window. Otherwise rows are range-partitioned by (group, order) and stored
-    once, numbered inside each (slice, group), and shifted by the rows of the
-    same group in earlier slices, so a large group spreads over several tasks.
-    The stored copy makes the slice borders one fact for both branches.
+    Rows are range-partitioned by (group, order) and stored once, numbered
+    inside each (slice, group), and shifted by the rows of the same group in
+    earlier slices. The stored copy makes the slice borders one fact for both
+    branches. Rows of equal order get different numbers, in no stated order.
     """
-    sizes = df.groupBy(*partition_by).agg(F.count("*").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= max_group_rows:
-        window = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    return _sliced_row_number(df, partition_by, order_by, out)
-
-
-def _sliced_row_number(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column], out: str) -> DataFrame:
     keys = list(partition_by)
     sliced = df.repartitionByRange(*[F.col(k) for k in keys], *order_by).withColumn(
         "_slice", F.spark_partition_id()
@@ -67,15 +49,12 @@ def top_n_per_group(
 ) -> DataFrame:
     """First `n` rows of each group.
 
-    Up to the threshold of Spark's rank limit every map task is cut down to `n`
-    rows per group before the shuffle, so a hot group costs no more than the
-    others. Beyond it the rows are numbered in slices.
+    For the `n` of a report every map task is cut down to `n` rows per group
+    before the shuffle (Spark's rank limit), so a hot group costs no more than
+    the others.
     """
     name = rank or "_rank"
-    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        numbered = distributed_row_number(df, partition_by, order_by, name)
-    else:
-        numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by)))
+    numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*partition_by).orderBy(*order_by)))
     kept = numbered.where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
 
@@ -89,9 +68,13 @@ def before_first(df: DataFrame, partition_by: Sequence[str], position: str, stop
     """Rows of each group placed before the group's first `stopping` row.
 
     The stop position is one aggregated row per group joined back, not a
-    window, so no group has to fit in one task.
+    window, so no group has to fit in one task. Without group columns it is a
+    single value.
     """
     keys = list(partition_by)
+    if not keys:
+        stop = stopping.agg(F.min(position)).scalar()
+        return df.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(position) < F.col("_stop"))).select(*df.columns)
     stops = (
         stopping.groupBy(*keys)
         .agg(F.min(position).alias("_stop"))

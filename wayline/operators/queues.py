@@ -32,8 +32,10 @@ def ready_filter(
     return state.where(F.col(pending) & done)
 
 
-def ready_queue(state: DataFrame, key: str = "content_id", limit: int = K.NOTIFY_LIMIT, **flags) -> DataFrame:
-    return ordered_limit(ready_filter(state, **flags).select(key), [F.col(key)], limit)
+def ready_queue(state: DataFrame, key: str = "content_id", limit: int | None = K.NOTIFY_LIMIT, **flags) -> DataFrame:
+    """Ready ids: the first `limit` in id order, or all of them."""
+    due = ready_filter(state, **flags).select(key)
+    return due if limit is None else ordered_limit(due, [F.col(key)], limit)
 
 
 def missing_children(

@@ -17,7 +17,6 @@ from wayline.session import materialize, union_rows
 # in full after the join.
 _BLOCK = 8
 # City lists up to this size are carried inside each row.
-_INLINE_CITIES = 500
 
 
 def dim_lookup_skip(df: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -69,18 +68,9 @@ def _head(text: Column) -> Column:
 def tag_cities(entities: DataFrame, cities: DataFrame, address: str = "addr1", city: str = "city_name") -> DataFrame:
     """Entities once per city their address mentions (city name without suffix).
 
-    A short city list, checked by counting, rides along as one array per row;
-    a longer one is joined on the city's leading characters.
+    The cities are joined on their leading characters, then compared in full.
     """
     names = cities.select(city, strip_region_suffix(F.lower(city)).alias("_token")).where("_token <> ''").distinct()
-    if names.limit(_INLINE_CITIES + 1).count() <= _INLINE_CITIES:
-        listed = names.agg(F.collect_list(F.struct(city, "_token")).alias("_cities"))
-        hit = F.filter("_cities", lambda c: address_in_city(F.col(address), c["_token"]))
-        return (
-            entities.withColumn("_cities", listed.scalar())
-            .select(*entities.columns, F.explode(hit).alias("_city"))
-            .select(*entities.columns, F.col(f"_city.{city}").alias(city))
-        )
     blocks = entities.withColumn("_block", F.explode(_substrings(F.lower(address), 1, _BLOCK)))
     heads = names.withColumn("_head", _head(F.col("_token")))
     return (

@@ -66,8 +66,8 @@ def daily_entity_load(
 
 def _outcomes(queue: DataFrame, responses: DataFrame) -> DataFrame:
     """Queued ids with their landed response, up to the first exhausted quota."""
-    answered = queue.join(responses, "content_id").withColumn("_queue", F.lit(1))
-    return materialize(stop_at_first_failure(answered, ["_queue"], "content_id").drop("_queue"), "outcomes")
+    answered = queue.join(responses, "content_id")
+    return materialize(stop_at_first_failure(answered, [], "content_id"), "outcomes")
 
 
 def _items(outcomes: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int
     )
 
 
-def notify(tables: Tables, run_id: str, path: str, limit: int = K.NOTIFY_LIMIT, batch_size: int = K.NOTIFY_BATCH) -> DataFrame:
+def notify(tables: Tables, run_id: str, path: str, limit: int | None = K.NOTIFY_LIMIT, batch_size: int = K.NOTIFY_BATCH) -> DataFrame:
     """Put the ready ids into the outbox; the consumer clears `embed_pending` itself."""
     ready = ready_queue(tables.read("etl_state"), limit=limit)
     return write_outbox(outbox_batches(ready, run_id, limit=None, batch_size=batch_size), path)

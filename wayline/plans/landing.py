@@ -12,12 +12,13 @@ from wayline.operators.merge import merge_upsert, update_from
 from wayline.operators.normalize import normalize_codes
 from wayline.operators.popularity import feedback_rollup
 from wayline.operators.quality import parent_code
+from wayline.session import materialize
 from wayline.sources import files, pages as P, snapshots as S
 from wayline.sources.tables import Tables
 
 
 class ListingFailed(RuntimeError):
-    """A page of the listing is an error or an exhausted quota: no snapshot is made."""
+    """A page of the listing is an error, an exhausted quota or missing, or its end was not reached: no snapshot is made."""
 
 
 def land_listing(pages: DataFrame, base: str, execution_date: date, request: str = "request") -> str:
@@ -30,16 +31,29 @@ def land_listing(pages: DataFrame, base: str, execution_date: date, request: str
     path = S.snapshot_path(base, execution_date)
     if files.committed(spark, path):
         return path
-    kept = P.assemble_pages(P.parse_pages(pages), [request])
+    kept = materialize(P.assemble_pages(P.parse_pages(pages), [request]), "listing")
     broken = kept.where(F.col("status").isin("quota", "error")).select("status", "result_code").first()
     if broken:
         raise ListingFailed(f"{broken['status']} {broken['result_code']}")
+    gap = _unfinished(kept, request).first()
+    if gap:
+        raise ListingFailed(f"request {gap[request]}: pages up to {gap['last']}, {gap['n']} of them landed, total {gap['low']} to {gap['high']}")
     items = P.page_items(kept, [request]).withColumn(
         "seq", F.format_string("%s|%010d|%06d", F.col(request).cast("string"), "page_no", "item_no")
     )
     return S.write_snapshot([P.items_to_columns(items, keep=["seq"])], base, execution_date)
 
 
+def _unfinished(kept: DataFrame, request: str) -> DataFrame:
+    """Requests of which a page is missing, the end was not reached, or the total changed between pages."""
+    ended = (F.col("page_no") * F.col("num_rows") >= F.col("total_count")) | (F.size("items") == 0)
+    walked = kept.groupBy(request).agg(
+        F.max("page_no").alias("last"), F.count_distinct("page_no").alias("n"), F.min("page_no").alias("first"),
+        F.bool_or(ended).alias("ended"), F.min("total_count").alias("low"), F.max("total_count").alias("high"),
+    )
+    return walked.where(~F.col("ended") | (F.col("first") != 1) | (F.col("n") != F.col("last")) | (F.col("low") != F.col("high")))
+
+
 def sync_codes(areas: DataFrame, districts: DataFrame, categories: DataFrame, tables: Tables) -> None:
     """Upsert the code tables from listed items.
 

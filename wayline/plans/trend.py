@@ -31,18 +31,18 @@ def city_dimension(spark: SparkSession) -> DataFrame:
 
 
 def stop_list(spark: SparkSession, regions: DataFrame | None = None) -> DataFrame:
-    """Travel stop words and region names; names below province level come from the code table."""
+    """Travel stop words and region names with their short forms; `regions` (name) adds those of a code table."""
     words = constant_rows(spark, [(w,) for w in K.STOPWORDS], ["name"])
     provinces = constant_rows(spark, [(p,) for p in K.PROVINCES], ["name"])
-    names = provinces if regions is None else region_alias_expand(regions, "name", provinces)
-    return union_rows(words, names.select("name"))
+    districts = constant_rows(spark, [(d,) for d in K.DISTRICTS], ["name"])
+    named = districts if regions is None else union_rows(districts, regions.select("name"))
+    return union_rows(words, region_alias_expand(named, "name", provinces))
 
 
-def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAGE_SIZE, max_pages: int = K.MAX_PAGES) -> DataFrame:
+def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAGE_SIZE, max_pages: int | None = None) -> DataFrame:
     """New documents of this run, stored once; their URLs enter the ledger."""
-    page_bound = min(K.PAGE_LIMIT, max(1, page_size))
     pages = reachable_pages(docs, _QUERY, "page", page_size, max_pages).withColumn(
-        "pos", (F.col("page").cast("bigint") - 1) * page_bound + F.col("idx")
+        "pos", (F.col("page").cast("bigint") - 1) * max(1, page_size) + F.col("idx")
     )
     ledger = tables.read("source_document")
     seen = ledger.where(F.col("first_run_id") != run_id).select(

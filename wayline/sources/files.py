@@ -27,6 +27,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty folder that says something happened."""
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)

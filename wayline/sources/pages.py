@@ -69,15 +69,16 @@ def page_items(assembled: DataFrame, request: Sequence[str], page_no: str = "pag
     return assembled.select(*request, page_no, F.posexplode("items").alias("item_no", "item"))
 
 
-def items_to_columns(items: DataFrame, keep: Sequence[str] = (), max_fields: int = 1000) -> DataFrame:
-    """Items of dynamic keys as one text column per key.
+def items_to_columns(items: DataFrame, keep: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
+    """Items of dynamic keys as one text column per field.
 
-    The keys are the field names of an API, gathered as a distinct list.
+    `fields` are the declared field names of the API; without them the names
+    that occur are gathered, which is a schema, not data.
     """
-    names = items.select(F.explode(F.map_keys("item")).alias("name")).distinct().limit(max_fields + 1).collect()
-    if len(names) > max_fields:
-        raise ValueError(f"more than {max_fields} different field names")
-    return items.select(*keep, *[F.col("item")[r["name"]].alias(r["name"]) for r in sorted(names)])
+    if fields is None:
+        names = items.select(F.explode(F.map_keys("item")).alias("name")).distinct().collect()
+        fields = sorted(r["name"] for r in names)
+    return items.select(*keep, *[F.col("item")[name].alias(name) for name in fields])
 
 
 def first_item(parsed: DataFrame, request: Sequence[str], page_no: str = "page_no") -> DataFrame:

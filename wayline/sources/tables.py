@@ -43,7 +43,12 @@ class Tables:
         return bool(self._versions(name))
 
     def applied(self, name: str, token: str) -> bool:
-        return any(seen == _clean(token) for _, _, seen, _ in self._versions(name))
+        """Whether a run or batch has written, also when its version has expired since."""
+        token = _clean(token)
+        return any(seen == token for _, _, seen, _ in self._versions(name)) or files.exists(self.spark, self._mark(name, token))
+
+    def _mark(self, name: str, token: str) -> str:
+        return f"{self.base}/{name}/_applied/{token}"
 
     def read(self, name: str) -> DataFrame:
         """Latest version; a known table never written yet reads as empty."""
@@ -80,6 +85,8 @@ class Tables:
             for _, _, seen, path in versions:
                 if seen == token:
                     return self._load(name, path)
+            if files.exists(self.spark, self._mark(name, token)):
+                return self.read(name)
         number = versions[-1][0] + 1 if versions else 1
         path = f"{self.base}/{name}/{kind}{number:08d}" + (f"-{token}" if token else "")
         if name in TABLES:
@@ -93,11 +100,13 @@ class Tables:
         return self.write(name, self.read(name))
 
     def expire(self, name: str, keep: int = 2) -> int:
-        """Delete versions older than the newest `keep` whole ones; returns how many went."""
+        """Delete versions older than the newest `keep` whole ones, not what they applied; returns how many went."""
         versions = self._versions(name)
         whole = [i for i, v in enumerate(versions) if v[1] == "v"]
         old = versions[: whole[-keep]] if len(whole) >= max(1, keep) else []
-        for *_, path in old:
+        for _, _, token, path in old:
+            if token:
+                files.mark(self.spark, self._mark(name, token))
             files.delete(self.spark, path)
         return len(old)
 

@@ -66,8 +66,14 @@ def write_nested(nested: DataFrame, path: str, top: str = "cities") -> str:
 
 
 def read_nested(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON object; a snapshot that is one multi-line object fits too."""
-    return spark.read.text(path)
+    """One row per JSON object, which may span several lines; anything else fails the read."""
+    lines = spark.read.text(path)
+    whole = F.trim("value").startswith("{") & F.trim("value").endswith("}")
+    if lines.where((F.trim("value") != "") & ~(whole & F.expr("try_parse_json(value)").isNotNull())).isEmpty():
+        return lines.where(F.trim("value") != "")
+    texts = read_whole(spark, path)
+    broken = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 80)))
+    return texts.select(F.when(F.expr("try_parse_json(value)").isNull(), broken).otherwise(F.col("value")).alias("value"))
 
 
 def read_whole(spark: SparkSession, path: str) -> DataFrame:

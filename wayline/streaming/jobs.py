@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from wayline.operators.changes import dedup_last_wins, detect_changes
+from wayline.operators.changes import dedup_last_wins
 from wayline.operators.merge import merge_upsert
 from wayline.session import materialize
+from wayline.sources import files
 from wayline.sources.tables import Tables
 
 
@@ -99,26 +100,37 @@ def compact_scores(tables: Tables, factor: float) -> DataFrame:
 def stream_change_feed(
     arrivals: DataFrame, base: str, key: str, hash_col: str, seq: str, valid: Column, label: str
 ) -> DataFrame:
-    """Changed entities of every arriving snapshot, against the state left by the earlier ones.
+    """Changed entities of every arriving snapshot, each against the snapshot before it.
 
-    Snapshots must arrive in order and a call must work off one before the
-    next lands, as the daily schedule does. The feed of a batch is published
-    before the state and both carry the batch id.
+    Snapshots must arrive in order, but any number of them may land before a
+    call: inside a batch an entity's rows are compared in order of `seq`, the
+    first with the stored state. Of rows with equal `seq` the last by content
+    counts. The feed of a batch is published before the state and both carry
+    the batch id.
     """
     spark = arrivals.sparkSession
     tables = Tables(spark, f"{base}/tables")
     feed = f"{base}/feed"
+    columns = [key, hash_col]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         token = f"batch={batch_id}"
         if tables.applied("state", token):
             return
-        columns = [key, hash_col]
         state = tables.read("state") if tables.exists("state") else batch.select(*columns).limit(0)
-        unique = dedup_last_wins(batch.where(valid), [key], [seq])
-        changed = materialize(detect_changes(unique, state, state, key, hash_col), "feed")
+        unique = dedup_last_wins(batch.where(valid), [key, seq], [hash_col])
+        # A window per entity: one row for each snapshot it is in.
+        before = F.lag(hash_col).over(Window.partitionBy(key).orderBy(seq))
+        stored = state.select(F.col(key).alias("_key"), F.col(hash_col).alias("_stored"))
+        compared = unique.withColumn("_before", before).join(stored, F.col(key) == F.col("_key"), "left")
+        differs = ~F.col(hash_col).eqNullSafe(F.coalesce("_before", "_stored"))
+        changed = materialize(compared.where(differs).select(label, *columns, F.col(seq).alias("_seq")), "feed")
         changed.select(label, *columns).write.mode("overwrite").parquet(f"{feed}/batch={batch_id}")
-        tables.write("state", merge_upsert(state, changed.select(*columns), [key]), token)
+        latest = dedup_last_wins(changed, [key], ["_seq"])
+        tables.write("state", merge_upsert(state, latest.select(*columns), [key]), token)
 
     _run(arrivals, base, "feed", step)
-    return spark.read.option("basePath", feed).parquet(feed).drop("batch")
+    published = arrivals.select(label, *columns).schema
+    if not files.exists(spark, feed):
+        return spark.createDataFrame([], published)
+    return spark.read.option("basePath", feed).schema(published).parquet(feed).select(label, *columns)

@@ -84,12 +84,12 @@ def _(d: Data):
 @query("reachable_pages", """
 WITH p AS (SELECT event_id, user_id, CAST(day(ts) AS INTEGER) AS page FROM events),
 n AS (SELECT user_id, page, count(*) AS n FROM p GROUP BY ALL),
-f AS (SELECT a.user_id, a.page FROM (SELECT DISTINCT user_id, page FROM p WHERE page <= 20) a
+f AS (SELECT a.user_id, a.page FROM (SELECT DISTINCT user_id, page FROM p) a
   LEFT JOIN n b ON a.user_id = b.user_id AND b.page < a.page AND b.n >= 2 GROUP BY ALL HAVING count(b.page) = a.page - 1)
 SELECT event_id, user_id, page FROM p SEMI JOIN f USING (user_id, page)""")
 def _(d: Data):
     docs = d.events.select("event_id", "user_id", F.dayofmonth("ts").alias("page"))
-    return D.reachable_pages(docs, ["user_id"], "page", page_size=2, max_pages=20)
+    return D.reachable_pages(docs, ["user_id"], "page", page_size=2)
 
 
 @query("doc_dedup_collect", f"""

@@ -92,7 +92,7 @@ def _(d: Data):
 # Parts are search documents, place results and entities of their brand's city.
 WORDS = "SELECT p_partkey, p_brand, CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'SMALL') THEN 'blog' ELSE 'cafe' END AS channel, p_name, lower(p_type) AS t FROM part"
 TREND_SQL = f"""
-WITH docs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, channel ORDER BY p_partkey DESC) AS rn FROM ({WORDS})) WHERE rn <= 2500),
+WITH docs AS ({WORDS}),
 tok AS (SELECT p_brand AS city, channel, unnest(string_split(p_name, ' ')) AS kw FROM docs),
 freq AS (SELECT city, kw, count(*) FILTER (channel = 'blog') AS b, count(*) FILTER (channel = 'cafe') AS c FROM tok WHERE kw NOT IN (SELECT lower(p_type) FROM part) GROUP BY ALL),
 sc AS (SELECT *, CASE WHEN b > 0 AND c > 0 THEN (b + c) * 1.3e0 ELSE CAST(b + c AS DOUBLE) END AS raw FROM freq WHERE b + c >= 3),
@@ -147,7 +147,7 @@ def _(d: Data):
     stop = d.part.select(F.lower("p_type").alias("word")).distinct()
     T.hourly_trend(
         docs, candidates, tables, cities, stop, "run-0001", _at(DAY1), keep="a-z",
-        collect_options={"page_size": 50, "max_pages": 50},
+        collect_options={"page_size": 50},
     )
     scores = tables.read("popularity")
     return scores.select(
