@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import log2
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ MIN_FREQUENT = 8
 #: Shingles that are counted, and sent, at once, and expected in one bucket.
 _FLUSH, _PER_BUCKET = 1 << 21, 1 << 20
 _FILTER_BITS = 1 << 23
+#: Size of the filter of shingles that more than one set has: two bits are set for each, whatever their number.
+REPEAT_BITS = 1 << 27
 _ENTRY = np.dtype([("rest", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("node", "<i8")])
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -88,8 +91,40 @@ def _nodes(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, n long, node long")
 
 
-def _frequent(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, as their first `bits + 32` bits in order, with their document counts.
+class Counts(NamedTuple):
+    """What the order of shingles is built on: 0 for those of one set, 1 for repeated ones, counts of the most frequent.
+
+    It is a function of the shingle alone, the same in all tasks. A filter
+    that is too small calls more shingles repeated; results stay the same.
+    """
+
+    bits: int
+    codes: np.ndarray
+    dfs: np.ndarray
+    field: np.ndarray
+
+    def __call__(self, shingles: np.ndarray) -> np.ndarray:
+        own = shingles >> np.uint64(32 - self.bits)
+        df = np.ones(len(own), np.int64)
+        for p in _repeat_places(own, self.bits):
+            df &= self.field[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1
+        if len(self.codes):
+            at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
+            hit = self.codes[at] == own
+            df[hit] = self.dfs[at[hit]]
+        return df
+
+
+def _repeat_places(codes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Two bits of a shingle in the part of the filter that belongs to its bucket."""
+    part = np.uint64(REPEAT_BITS >> bits)
+    with np.errstate(over="ignore"):
+        mixed = codes * _P
+    return [(codes >> np.uint64(32)) * part + (mixed >> np.uint64(s)) % part for s in (11, 35)]
+
+
+def _count(rows: DataFrame, bits: int) -> Counts:
+    """Count the shingles of all sets, told apart by their first `bits + 32` bits.
 
     Every task counts its own shingles before it sends them, 4 bytes each, to
     as many buckets as the data need.
@@ -115,7 +150,8 @@ def _frequent(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         rest, times = codes.astype("<u4"), times.astype("<u4")
         return record(out, (buckets[cuts], [rest[a:b].tobytes() for a, b in zip(cuts, ends)], [times[a:b].tobytes() for a, b in zip(cuts, ends)]))
 
-    result = pa.schema([("code", pa.int64()), ("df", pa.int64())])
+    result = pa.schema([("code", pa.int64()), ("df", pa.int64()), ("part", pa.binary())])
+    size = REPEAT_BITS >> bits
 
     def fold(bucket: pa.Table) -> pa.Table:
         rest = np.frombuffer(b"".join(bucket["rest"].to_pylist()), "<u4")
@@ -123,13 +159,23 @@ def _frequent(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(rest, kind="stable")
         starts = np.flatnonzero(np.diff(rest[order].astype(np.int64), prepend=-1))
         df = np.add.reduceat(times[order].astype(np.int64), starts)
+        bucket_code = bucket["bucket"][0].as_py()
+        codes = rest[order][starts].astype(np.uint64) | np.uint64(bucket_code << 32)
+        part = np.zeros(size, bool)
+        for p in _repeat_places(codes[df > 1], bits):
+            part[p.astype(np.int64) - bucket_code * size] = True
         keep = df >= MIN_FREQUENT
-        codes = rest[order][starts][keep].astype(np.int64) | (bucket["bucket"][0].as_py() << 32)
-        return pa.table([pa.array(codes), pa.array(df[keep])], schema=result)
+        names = pa.array([*codes[keep].astype(np.int64).tolist(), bucket_code])
+        parts = pa.array([None] * int(keep.sum()) + [np.packbits(part, bitorder="little").tobytes()], pa.binary())
+        return pa.table([names, pa.array([*df[keep].tolist(), 0]), parts], schema=result)
 
     counts = rows.mapInArrow(count, "bucket int, rest binary, times binary")
-    found = materialize(counts.groupBy("bucket").applyInArrow(fold, "code long, df long"), "frequent")
+    found = materialize(counts.groupBy("bucket").applyInArrow(fold, "code long, df long, part binary"), "jaccard-counts")
+    field = np.zeros(REPEAT_BITS >> 3, np.uint8)
+    for r in found.filter("df = 0").toLocalIterator():
+        field[r["code"] * (size >> 3) : (r["code"] + 1) * (size >> 3)] = np.frombuffer(r["part"], np.uint8)
     # The least count that leaves at most MAX_FREQUENT shingles, from a histogram with a few hundred bars.
+    found = found.filter("df > 0").select("code", "df")
     level = F.floor(F.log2("df") * 8)
     bars = found.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
     least, room = None, MAX_FREQUENT
@@ -139,40 +185,32 @@ def _frequent(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
             break
         least = r["level"]
     if least is None:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return Counts(bits, np.empty(0, np.uint64), np.empty(0, np.int64), field)
     table = found.filter(level >= least).toPandas().sort_values("code")
-    return table["code"].to_numpy().astype(np.uint64), table["df"].to_numpy()
+    return Counts(bits, table["code"].to_numpy().astype(np.uint64), table["df"].to_numpy(), field)
 
 
-def _prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles of a set that any linked set must share one of, and whether each is frequent."""
+def _prefix(shingles: np.ndarray, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a set, one of which any linked set must share, and their counts."""
     n = len(shingles)
-    length = n - (3 * n + 3) // 4 + 1
-    codes, dfs = frequent
-    df = np.zeros(n, np.int64)
-    if len(codes):
-        own = shingles >> np.uint64(32 - bits)
-        at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-        hit = codes[at] == own
-        df[hit] = dfs[at[hit]]
-    if not df.any():
-        return shingles[:length], df[:length] > 0
-    order = np.argsort(df, kind="stable")[:length]  # equal counts stay in order of the code
-    return shingles[order], df[order] > 0
-
-
-def _entries(rows: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bits: int) -> DataFrame:
+    df = counts(shingles)
+    order = np.argsort(df, kind="stable")[: n - (3 * n + 3) // 4 + 1]  # equal counts stay in order of the code
+    return shingles[order], df[order]
+
+
+def _entries(rows: DataFrame, counts: Counts) -> DataFrame:
     """Inverted lists with two nodes or more: `token`, `node`, `n` (set size), `pos` (place in the set's order)."""
     packed_schema = pa.schema([("bucket", pa.int32()), ("data", pa.binary())])
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
     def prefixes(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for _, shingles, node in _sets(batches, True):
-            tokens, often = _prefix(shingles, frequent, bits)
-            at = np.flatnonzero(often == wanted)
+            tokens, df = _prefix(shingles, counts)
+            # Shingles of one set meet nothing and are not sent.
+            at = np.flatnonzero((df > 1) if wanted else (df == 1))
             if len(at):
                 rows_ = np.empty(len(at), _ENTRY)
-                codes = tokens[at] >> np.uint64(32 - bits)
+                codes = tokens[at] >> np.uint64(32 - counts.bits)
                 rows_["rest"], rows_["pos"], rows_["n"], rows_["node"] = codes & np.uint64(0xFFFFFFFF), at, len(shingles), node
                 yield (codes >> np.uint64(32)).astype(np.int32), rows_
 
@@ -285,8 +323,7 @@ def jaccard_components(
     nodes = materialize(_nodes(rows), "jaccard-nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
     bits = min(24, max(4, int(log2(max(1, total / _PER_BUCKET)) + 1)))
-    frequent = _frequent(rows, bits)
-    entries = materialize(_entries(rows, frequent, bits), "jaccard-lists")
+    entries = materialize(_entries(rows, _count(rows, bits)), "jaccard-lists")
     links, seeds = _links(rows, entries)
     roots = connected_components(links, seeds)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
