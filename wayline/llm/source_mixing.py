@@ -102,6 +102,8 @@ def mix(
     # `missing` words are still to come when the border's documents are reached: take them if that is nearer.
     ends = ends.select("source", F.col("draw").alias("end"), (F.col("missing") * 2 >= F.col("n")).alias("with_end"))
     plan = plan.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left").select("p.*", "end", "with_end")
+    # Stored, so that its real size decides how the documents meet it: no source needs to go to one task.
+    plan = materialize(plan, "mixing-plan")
     extra = (F.col("draw") < F.col("end")) | ((F.col("draw") == F.col("end")) & F.col("with_end"))
     repeats = F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long")
     return sized.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source")).select(
