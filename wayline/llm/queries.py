@@ -69,15 +69,14 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def toxicity_categories() -> dict[str, F.Column]:
-    """The categories that the table of labels has: texts unfit for their quality, and toxic ones."""
-    return {"unfit": 1 - F.col("quality"), "toxic": F.col("toxic")}
+#: The categories that the table of labels has, in chain order: texts unfit for their quality, and toxic ones.
+TOXICITY_CATEGORIES = {"unfit": "1 - quality", "toxic": "toxic"}
 
 
 @query
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
-    scored = toxicity_chain.toxicity(table(spark, sf_dir, "documents"), labels, toxicity_categories())
+    scored = toxicity_chain.toxicity(table(spark, sf_dir, "documents"), labels, TOXICITY_CATEGORIES)
     return scored.withColumnRenamed("id", "doc_id")
 
 

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayline.session import materialize
 
-#: Labelled rows that train the chain: a seeded sample, at most so many for each combination of labels.
+#: Labelled rows that train the chain: a seeded sample, about so many of each combination of labels at most.
 MAX_PER_CLASS = 6_000
 #: Terms that a model may weigh: those most associated with each category, at most so many.
 MAX_TERMS = 1_000
+#: Chi-squared that a term must reach; with tens of thousands of terms, chance alone seldom takes one there.
+MIN_ASSOCIATION = 30.0
 FOLDS = 3
 #: A category is predicted where its probability is at least this.
 THRESHOLD = 0.3
@@ -37,21 +40,27 @@ def _known(text: Column, vocabulary: Sequence[str]) -> Column:
     return F.array_intersect(F.array(*map(F.lit, vocabulary)), terms(text))
 
 
-def training_sample(labels: DataFrame, id_col: str, categories: dict[str, Column], seed: int, cap: int = MAX_PER_CLASS) -> DataFrame:
-    """`id`, one 0/1 column per category and `fold`: at most `cap` ids of each combination of labels.
+def training_sample(labels: DataFrame, id_col: str, categories: dict[str, str], seed: int, cap: int = MAX_PER_CLASS) -> DataFrame:
+    """`id`, one 0/1 column per category and `fold`: about `cap` ids of each combination of labels, all if it has fewer.
+
+    The ids are those whose seeded hash lies under the share to keep, so no
+    combination is gathered anywhere.
 
     Rows with a null id or a null label are left out. An id labelled more than
     once has a category if any of its rows has.
     """
-    rows = labels.select(labels[id_col].cast("long").alias("id"), *[c.cast("int").alias(n) for n, c in categories.items()]).dropna()
+    rows = labels.select(labels[id_col].cast("long").alias("id"), *[F.expr(c).cast("int").alias(n) for n, c in categories.items()]).dropna()
     rows = rows.groupBy("id").agg(*[F.max(n).alias(n) for n in categories])
-    order = Window.partitionBy(*categories).orderBy(F.xxhash64(F.lit(seed), "id"), "id")
-    rows = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= cap).drop("_n")
+    share = F.lit(1.0)
+    for r in rows.groupBy(*categories).count().collect():  # one row per combination of labels
+        same = reduce(lambda a, b: a & b, [F.col(c) == r[c] for c in categories])
+        share = F.when(same, F.lit(min(1.0, cap / r["count"]))).otherwise(share)
+    rows = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < share * float(1 << 30))
     return rows.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(FOLDS)))
 
 
 def choose_terms(train: DataFrame, categories: Sequence[str], limit: int = MAX_TERMS) -> list[str]:
-    """The terms most associated with any category (chi-squared on presence), in at least three training texts."""
+    """The terms most associated with any category by chi-squared on presence, at most `limit` in all."""
     totals = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
     counts = train.select(F.explode(F.array_distinct("terms")).alias("term"), *categories).groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), *[F.sum(c).alias(c) for c in categories]
@@ -63,7 +72,7 @@ def choose_terms(train: DataFrame, categories: Sequence[str], limit: int = MAX_T
         if 0 < share < 1:
             expected = F.col("df") * share
             chi = (F.col(c) - expected) ** 2 / expected + (F.col("df") - F.col(c) - F.col("df") * (1 - share)) ** 2 / (F.col("df") * (1 - share))
-            top = counts.orderBy(chi.desc(), "term").limit(limit // len(categories)).select("term").collect()
+            top = counts.filter(chi >= MIN_ASSOCIATION).orderBy(chi.desc(), "term").limit(limit // len(categories)).select("term").collect()
             chosen.update(dict.fromkeys(r["term"] for r in top))
     return list(chosen) or [_NO_TERM]
 
@@ -136,12 +145,12 @@ def _counted(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text",
     seed: int = 5, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """`id`, `p_<category>` and `is_<category>` per category, and the columns named in `keep`, for every document.
 
-    `categories` names 0/1 expressions over `labels`, in chain order. Null
+    `categories` names 0/1 SQL expressions over `labels`, in chain order. Null
     texts count as empty; null ids are unlabelled; repeated rows get equal
     probabilities; empty tables give empty results; without labels every
     probability is 0, and with one class only it is that class's share.
