@@ -9,21 +9,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayline.llm import bpe_codec, jaccard_join, quality_resampling, source_mixing, toxicity_chain
-from wayline.llm.queries import table, tokenizer_file, toxicity_categories
+from wayline.llm.queries import TOXICITY_CATEGORIES, table, tokenizer_file
 from wayline.session import materialize
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """What the operators read, and all columns in one, so that no name can clash with theirs."""
+    return docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("document"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain does not call toxic. Null and empty texts stay."""
     labels = table(spark, sf_dir, "labels")
-    scored = toxicity_chain.toxicity(docs, labels, toxicity_categories(), keep=tuple(docs.columns))
-    return scored.filter("NOT is_toxic").select(*docs.columns)
+    scored = toxicity_chain.toxicity(_packed(docs), labels, TOXICITY_CATEGORIES, keep=("document",))
+    return scored.filter("NOT is_toxic").select("document.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their ratio of target to raw text."""
-    drawn = quality_resampling.resample(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return drawn.filter("selected").select(*docs.columns)
+    drawn = quality_resampling.resample(_packed(docs), table(spark, sf_dir, "labels"), keep=("document",))
+    return drawn.filter("selected").select("document.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +45,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = source_mixing.mix(docs, keep=tuple(c for c in docs.columns if c not in ("doc_id", "source")))
-    repeated = mixed.select("*", F.explode(F.array_repeat(F.lit(0), F.col("repeats").cast("int"))).alias("_copy"))
-    return repeated.withColumnRenamed("id", "doc_id").select(*docs.columns)
+    mixed = source_mixing.mix(_packed(docs), keep=("document",))
+    return mixed.select(F.explode(F.array_repeat("document", F.col("repeats").cast("int"))).alias("document")).select("document.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

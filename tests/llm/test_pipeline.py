@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from wayline.llm import jaccard_join, source_mixing, toxicity_chain, quality_resampling
-from wayline.llm.queries import ORACLES, QUERIES, toxicity_categories
+from wayline.llm.queries import ORACLES, QUERIES, TOXICITY_CATEGORIES
 from wayline.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -47,7 +47,7 @@ def test_stages_equal_their_operators(spark):
         if name != names[-1]:
             assert docs.columns == kept[0].columns
     kept.append(docs)
-    assert ids(kept[1]) == ids(toxicity_chain.toxicity(kept[0], labels, toxicity_categories()).filter("NOT is_toxic"), "id")
+    assert ids(kept[1]) == ids(toxicity_chain.toxicity(kept[0], labels, TOXICITY_CATEGORIES).filter("NOT is_toxic"), "id")
     assert ids(kept[2]) == ids(quality_resampling.resample(kept[1], labels).filter("selected"), "id")
     assert ids(kept[3]) == ids(jaccard_join.jaccard_components(kept[2]).filter("id = component"), "id")
     repeats = {r.id: r.repeats for r in source_mixing.mix(kept[3]).collect()}
