@@ -145,6 +145,10 @@ def test_cells_hold_every_point_in_reach(spark, lat, lon):
     cells = geo.cells_within(F.col("lat"), F.col("lon"), 1000.0)
     own = F.struct(geo.lat_cell(F.col("la")).alias("lat_cell"), geo.lon_cell(F.col("lo")).alias("lon_cell"))
     assert df.where(~F.array_contains(cells, own)).count() == 0
+    wide = geo.cells_within(F.col("lat"), F.col("lon"), 150_000.0)
+    own = F.struct(geo.lat_cell(F.col("la"), 150_000.0).alias("lat_cell"), geo.lon_cell(F.col("lo"), 150_000.0).alias("lon_cell"))
+    assert df.where(~F.array_contains(wide, own)).count() == 0
+    assert abs(lat) > 60 or df.where(F.size(wide) > 9).count() == 0
 
 
 @pytest.mark.parametrize(

@@ -8,9 +8,10 @@ from pyspark.sql import Column, functions as F
 
 from wayline import constants as K
 
-# 28,800 columns of 0.0125 degrees close the circle without a remainder.
-CELL_DEGREES = 0.0125
-_COLUMNS = 28800
+
+def grid_columns(radius: float) -> int:
+    """Columns that close the circle, each a little wider than the radius: about four cells hold a circle anywhere."""
+    return max(4, int(360.0 / (1.4 * math.degrees(radius / K.EARTH_RADIUS_M))))
 
 
 def great_circle_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -26,12 +27,13 @@ def within_radius(distance: Column, lat: Column, lon: Column, radius: float = K.
     return lat.isNull() | lon.isNull() | (distance <= radius)
 
 
-def lat_cell(lat: Column) -> Column:
-    return F.floor(lat.cast("double") / CELL_DEGREES)
+def lat_cell(lat: Column, radius: float = K.MATCH_RADIUS_M) -> Column:
+    return F.floor(lat.cast("double") * (grid_columns(radius) / 360.0))
 
 
-def lon_cell(lon: Column) -> Column:
-    return F.pmod(F.floor((lon.cast("double") + 180.0) / CELL_DEGREES), F.lit(_COLUMNS))
+def lon_cell(lon: Column, radius: float = K.MATCH_RADIUS_M) -> Column:
+    columns = grid_columns(radius)
+    return F.pmod(F.floor((lon.cast("double") + 180.0) * (columns / 360.0)), F.lit(columns))
 
 
 def cells_within(lat: Column, lon: Column, radius: float = K.MATCH_RADIUS_M) -> Column:
@@ -43,10 +45,11 @@ def cells_within(lat: Column, lon: Column, radius: float = K.MATCH_RADIUS_M) ->
     span = F.when(F.abs(lat) + reach >= 90.0, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.001
     )
-    rows = F.sequence(lat_cell(lat - reach), lat_cell(lat + reach))
-    first = F.floor((lon - span + 180.0) / CELL_DEGREES)
-    last = F.least(F.floor((lon + span + 180.0) / CELL_DEGREES), first + (_COLUMNS - 1))
-    columns = F.transform(F.sequence(first, last), lambda i: F.pmod(i, F.lit(_COLUMNS)))
+    count = grid_columns(radius)
+    rows = F.sequence(lat_cell(lat - reach, radius), lat_cell(lat + reach, radius))
+    first = F.floor((lon - span + 180.0) * (count / 360.0))
+    last = F.least(F.floor((lon + span + 180.0) * (count / 360.0)), first + (count - 1))
+    columns = F.transform(F.sequence(first, last), lambda i: F.pmod(i, F.lit(count)))
     return F.flatten(
         F.transform(
             rows,

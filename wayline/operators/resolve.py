@@ -127,7 +127,7 @@ def place_match(
         ),
         "name-pairs",
     )
-    cell = F.when(F.col("_x").isNotNull(), _cell_key(lat_cell(F.col("_y")), lon_cell(F.col("_x")))).otherwise(-1)
+    cell = F.when(F.col("_x").isNotNull(), _cell_key(lat_cell(F.col("_y"), radius), lon_cell(F.col("_x"), radius))).otherwise(-1)
     spots = (
         titles.join(pairs.select("city_name", "_title").distinct(), ["city_name", "_title"], "left_semi")
         .groupBy("city_name", "_title", "_x", "_y")
