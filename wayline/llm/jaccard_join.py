@@ -35,7 +35,6 @@ _FLUSH, _PER_BUCKET = 1 << 21, 1 << 20
 _FILTER_BITS = 1 << 23
 #: Size of the filter of shingles that more than one set has: two bits are set for each, whatever their number.
 REPEAT_BITS = 1 << 27
-_ENTRY = np.dtype([("rest", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("node", "<i8")])
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -199,60 +198,27 @@ def _prefix(shingles: np.ndarray, counts: Counts) -> tuple[np.ndarray, np.ndarra
 
 
 def _entries(rows: DataFrame, counts: Counts) -> DataFrame:
-    """Inverted lists with two nodes or more: `token`, `node`, `n` (set size), `pos` (place in the set's order)."""
-    packed_schema = pa.schema([("bucket", pa.int32()), ("data", pa.binary())])
+    """Inverted lists: `token`, `node`, `n` (set size), `pos` (place in the set's order).
+
+    Shingles of one set meet nothing and are not sent.
+    """
     schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
-    def prefixes(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for _, shingles, node in _sets(batches, True):
             tokens, df = _prefix(shingles, counts)
-            # Shingles of one set meet nothing and are not sent.
-            at = np.flatnonzero((df > 1) if wanted else (df == 1))
+            at = np.flatnonzero(df)
             if len(at):
-                rows_ = np.empty(len(at), _ENTRY)
-                codes = tokens[at] >> np.uint64(32 - counts.bits)
-                rows_["rest"], rows_["pos"], rows_["n"], rows_["node"] = codes & np.uint64(0xFFFFFFFF), at, len(shingles), node
-                yield (codes >> np.uint64(32)).astype(np.int32), rows_
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for item in prefixes(batches, False):
-            held.append(item)
-            size += len(item[0])
-            if size >= _FLUSH // 4:
-                yield packed(held)
-                held, size = [], 0
-        if size:
-            yield packed(held)
+                tokens = (tokens[at] >> np.uint64(32 - counts.bits)).astype(np.int64)
+                held.append((tokens, np.full(len(at), node), np.full(len(at), len(shingles), np.int32), at.astype(np.int32)))
+            if len(held) == 256:
+                yield record(schema, [np.concatenate(c) for c in zip(*held)])
+                held = []
+        if held:
+            yield record(schema, [np.concatenate(c) for c in zip(*held)])
 
-    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        buckets, rows_ = (np.concatenate(c) for c in zip(*held))
-        order = np.argsort(buckets, kind="stable")
-        buckets, rows_ = buckets[order], rows_[order]
-        cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
-        return record(packed_schema, (buckets[cuts], [rows_[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(rows_)))]))
-
-    def lists(bucket: pa.Table) -> pa.Table:
-        rows_ = np.frombuffer(b"".join(bucket["data"].to_pylist()), _ENTRY)
-        rows_ = rows_[np.lexsort((rows_["node"], rows_["rest"]))]
-        new = np.ones(len(rows_), bool)  # equal sets met by several tasks count once
-        new[1:] = (rows_["rest"][1:] != rows_["rest"][:-1]) | (rows_["node"][1:] != rows_["node"][:-1])
-        rows_ = rows_[new]
-        same = rows_["rest"][1:] == rows_["rest"][:-1]
-        keep = np.append(same, False) | np.insert(same, 0, False)
-        rows_ = rows_[keep]
-        tokens = rows_["rest"].astype(np.int64) | (bucket["bucket"][0].as_py() << 32)
-        return pa.table([pa.array(tokens), pa.array(np.ascontiguousarray(rows_["node"])), pa.array(rows_["n"].astype(np.int32)), pa.array(rows_["pos"].astype(np.int32))], schema=schema)
-
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for buckets, rows_ in prefixes(batches, True):
-            tokens = rows_["rest"].astype(np.int64) | buckets.astype(np.int64) << 32
-            yield record(schema, (tokens, np.ascontiguousarray(rows_["node"]), rows_["n"].astype(np.int32), rows_["pos"].astype(np.int32)))
-
-    kinds = "token long, node long, n int, pos int"
-    cold = rows.mapInArrow(rare, "bucket int, data binary").groupBy("bucket").applyInArrow(lists, kinds)
-    hot = rows.mapInArrow(often, kinds).distinct()
-    return union_rows(cold, hot)
+    return rows.mapInArrow(run, "token long, node long, n int, pos int").distinct()
 
 
 def _block(n: Column) -> Column:
@@ -300,9 +266,20 @@ def _shingles_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(field).view(bool)
+        held: list[tuple] = []
         for _, shingles, node in _sets(batches, True):
             if all(known[p][0] for p in places(np.array([node]))):
-                yield record(schema, ([node], [shingles.view(np.int64)]))
+                held.append((node, shingles.view(np.int64)))
+            if len(held) == 64:
+                yield packed(held)
+                held = []
+        if held:
+            yield packed(held)
+
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(h) for _, h in held)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(ends, np.concatenate([h for _, h in held]))
+        return pa.RecordBatch.from_arrays([pa.array([n for n, _ in held], pa.int64()), lists], schema=schema)
 
     met = rows.mapInArrow(run, "node long, shingles array<long>").join(nodes, "node", "left_semi")
     return met.groupBy("node").agg(F.first("shingles").alias("shingles"))
@@ -333,6 +310,22 @@ def jaccard_components(
     return union_rows(found, named.filter("lone").select("id", "n", F.col("id").alias("component")))
 
 
+def _near(met: DataFrame) -> DataFrame:
+    """Distinct pairs of a node `a` and a pivot `b` whose sizes and positions allow a link."""
+    near = (F.col("pn") >= F.ceil(F.col("n") * 0.75 - 1e-9)) & (F.col("n") >= F.ceil(F.col("pn") * 0.75 - 1e-9))
+    near = near & (F.col("pn") <= F.col("most")) & (F.col("n") <= _most("pn", "ppos"))
+    return met.filter(near & (F.col("node") != F.col("pivot"))).select(
+        F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb")
+    ).distinct()
+
+
+def _open_lists(placed: DataFrame) -> DataFrame:
+    """`token`, `main`: lists with several components, and the one that most of their nodes are in."""
+    members = placed.filter("own = block").groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
+    lists = members.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    return lists.filter("roots > 1").select("token", "main")
+
+
 def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links enough to connect every component, and the components that the first of them give."""
     listed = entries.withColumn("block", _block(F.col("n")))
@@ -343,23 +336,28 @@ def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = F.ceil(F.col("n") * 0.75 - 1e-9).cast("int")
     visits = listed.withColumn("most", _most("n", "pos")).filter(F.col("most") >= least).withColumnRenamed("block", "own")
     visits = visits.withColumn("block", F.explode(F.sequence(_block(least), _block(F.greatest("most", least)))))
-    visits = visits.join(pivots, ["token", "block"])
-    near = (F.col("pn") >= F.ceil(F.col("n") * 0.75 - 1e-9)) & (F.col("n") >= F.ceil(F.col("pn") * 0.75 - 1e-9))
-    near = near & (F.col("pn") <= F.col("most")) & (F.col("n") <= _most("pn", "ppos"))
-    star = visits.filter(near & (F.col("node") != F.col("pivot"))).select(
-        F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb")
-    ).distinct()
+    star = _near(visits.join(pivots, ["token", "block"]))
     sets = materialize(_shingles_of(rows, entries.select("node").distinct()), "jaccard-sets")
     compared = materialize(_overlaps(star, sets), "jaccard-star")
     first = compared.filter(_LINKED).select("a", "b")
     roots = connected_components(first)
 
+    # Once more with another pivot in each list, drawn by shingle: a set that is still apart from others in its lists
+    # is compared with about as many of them as it has lists, instead of with all.
+    rooted = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = materialize(rooted(visits), "jaccard-placed")
+    placed = placed.join(_open_lists(placed), "token")
+    drawn = placed.filter("own = block").groupBy("token", "block").agg(
+        F.min_by(F.struct("n", "node", "pos", "root"), F.xxhash64("token", "node")).alias("p")
+    ).select("token", "block", "p.*").toDF("token", "block", "pn", "pivot", "ppos", "proot")
+    again = _near(placed.join(drawn, ["token", "block"]).filter("root <> proot"))
+    second = materialize(_overlaps(again, sets).filter(_LINKED).select("a", "b"), "jaccard-again")
+    roots = connected_components(second, roots)
+    first = union_rows(first, second)
+
     # Lists whose nodes are not all in one component yet. In each, the largest component needs no pairs of its own.
-    placed = visits.select("token", "block", "own", "node", "n", "pos", "most", "pivot").join(roots, "node", "left")
-    placed = materialize(placed.withColumn("root", F.coalesce("root", "node")), "jaccard-placed")
-    members = placed.filter("own = block").groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
-    open_ = members.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    placed = placed.join(open_.filter("roots > 1").select("token", "main"), "token")
+    placed = rooted(placed.drop("root", "main"))
+    placed = materialize(placed.join(_open_lists(placed), "token").join(pivots.select("token", "block", "pivot"), ["token", "block"]), "jaccard-placed")
     shared = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("far"))
     placed = placed.join(shared, ["node", "pivot"], "left").withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
     x = placed.filter("root <> main").alias("x")
