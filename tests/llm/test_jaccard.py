@@ -83,3 +83,35 @@ def test_connected_components(spark):
     more = connected_components(spark.createDataFrame([(1, 9), (40, 41)], "a long, b long"), found)
     roots = {r.node: r.root for r in more.collect()}
     assert roots[3] == roots[8] == roots[9] and roots[40] == roots[41] and roots[5] == roots[30]
+
+
+def test_longer_copies_that_meet_smaller_sets_only(spark):
+    """Copies with appended text: the longer set's own shingles come first, so its lists lie below its own block."""
+    pick = random.Random(5)
+    word = iter(range(10**6))
+    new = lambda n: [f"n{next(word)}" for _ in range(n)]
+    texts = []
+    for _ in range(40):  # each appended part is in a second text too, so that its shingles are repeated ones
+        size, added = pick.randint(60, 160), pick.uniform(0, 0.33)
+        base, tail = new(size), new(int(size * added))
+        texts += [" ".join(base), " ".join(base + tail), " ".join(new(300) + tail)]
+        texts += [" ".join(base[:k] + new(1) + base[k + 1 :]) for k in (3, size // 2)]
+    pick.shuffle(texts)
+    docs = list(enumerate(texts))
+    found = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(5))
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == components_by_hand(docs)
+
+
+def test_link_of_two_groups_through_a_larger_set(spark):
+    """u and u1 are linked, v and v0 are, and u with v: only one list has u and v where that can be seen, u1 and v0 are
+    its pivots, and v's position lets it visit no block of its own size."""
+    word = iter(range(10**6))
+    new = lambda n: [f"n{next(word)}" for _ in range(n)]
+    core, tail = new(84), new(21)  # 80 shingles; the 75 that all four have are frequent, the five of u and v more so
+    u, u1, v, v0 = core + new(5), core[5:] + new(7), core + tail, core[5:] + tail[:18] + new(7)
+    texts = [u, u1, v, v0, *(core + new(300) for _ in range(10)), *(core[:9] + new(300) for _ in range(10))]
+    docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    expected = components_by_hand(docs)
+    assert [c for _, _, c in sorted(expected)[:5]] == [0, 0, 0, 0, 4]
+    found = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == expected

@@ -332,10 +332,11 @@ def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     pivots = listed.groupBy("token", "block").agg(F.min(F.struct("n", "node", "pos")).alias("p"))
     pivots = materialize(pivots.select("token", "block", "p.*").toDF("token", "block", "pn", "pivot", "ppos"), "jaccard-pivots")
     # The blocks of a list that a set's position lets it visit: no smaller ones than its own size allows, no larger
-    # ones than its first shared shingle allows.
+    # ones than its first shared shingle allows. Its own block is always one of them, even where only smaller sets can
+    # be linked with it: there it is a member of the list that others meet.
     least = F.ceil(F.col("n") * 0.75 - 1e-9).cast("int")
     visits = listed.withColumn("most", _most("n", "pos")).filter(F.col("most") >= least).withColumnRenamed("block", "own")
-    visits = visits.withColumn("block", F.explode(F.sequence(_block(least), _block(F.greatest("most", least)))))
+    visits = visits.withColumn("block", F.explode(F.sequence(_block(least), _block(F.greatest("most", "n")))))
     star = _near(visits.join(pivots, ["token", "block"]))
     sets = materialize(_shingles_of(rows, entries.select("node").distinct()), "jaccard-sets")
     compared = materialize(_overlaps(star, sets), "jaccard-star")
