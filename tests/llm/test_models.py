@@ -122,3 +122,16 @@ def test_selection_on_odd_and_empty_tables(spark, odd_docs, empty_docs):
     assert len(rows) == odd_docs.count()
     assert {r.weight for r in rows if r.id in (2, 3, 7)} == {0.0} and len({r["noisy"] for r in rows if r.id == 4}) == 1
     assert quality_resampling.resample(empty_docs, some).collect() == []
+
+
+def test_clean_texts_without_a_label_are_kept_at_every_length(spark):
+    pick = random.Random(9)
+    text = lambda n: " ".join(f"w{int(pick.paretovariate(0.4)) % 50_000}" for _ in range(n))
+    lengths = [(10, 100)] * 6 + [(300, 1000)] * 3 + [(1000, 3000)]
+    rows = [(i, text(pick.randint(*lengths[i % 10]))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, 1) for i in range(600) if i // 10 % 2], "doc_id long, quality int")
+    kept = {r.id for r in quality_resampling.resample(docs, labels).filter("selected").collect()}
+    for low, high in set(lengths):
+        held = [i for i in range(600) if lengths[i % 10] == (low, high) and not i // 10 % 2]
+        assert sum(i in kept for i in held) >= 0.95 * len(held), (low, high)
