@@ -32,15 +32,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked ones; texts without words all stay.
+    """One row of each group of linked documents: that with the smallest id, null ids last, then by a hash of the row.
 
-    A row that repeats another in id and text goes; rows without an id cannot
-    be told apart by it and stay.
+    A row that repeats another in id and text goes. Texts without words all
+    stay, but for such repeats of a row with an id.
     """
-    found = jaccard_join.jaccard_components(docs)
-    kept = found.filter("id = component").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    # Ids may repeat or be null, so a hash of id and text names the row.
+    rows = _packed(docs).withColumn("key", F.xxhash64("doc_id", "text"))
+    found = jaccard_join.jaccard_components(rows, "key").withColumnRenamed("id", "key").distinct()
+    first = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    named = found.join(rows.select("key", "doc_id").distinct(), "key")
+    kept = named.groupBy("component").agg(first.alias("key"), F.max(F.col("n") == 0).alias("lone"))
+    rows = rows.select("key", "doc_id", "document").join(kept.select("key", "lone"), "key")
+    alone = F.when(F.col("lone") & F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return rows.withColumn("alone", alone).dropDuplicates(["key", "alone"]).select("document.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

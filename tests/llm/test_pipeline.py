@@ -71,3 +71,17 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, empty_docs, name, stage
     if name == "n-gram Jaccard join":
         assert sorted((r.doc_id for r in rows.collect() if r.doc_id), key=int) == [1, 2, 3, 4, 5, 6, 7, 8, 10]
     assert stage(spark, empty_docs, SF).count() == 0
+
+
+def test_one_row_stays_of_each_group_when_ids_are_null_or_repeat(spark):
+    text = lambda c: " ".join(f"{c}{k}" for k in range(60))
+    a, b, c, d = map(text, "abcd")
+    docs = [
+        (None, a), (None, a), (None, f"{a} more"), (1, f"{b} more"), (None, b),  # a stays once, b as 1
+        (2, c), (3, f"{c} more"), (3, d), (4, d), (5, d), (5, f"{d} more"),  # 3 names two groups
+        (6, text("e")), (6, f"{text('e')} more"), (6, text("f")), (7, text("f")), (None, ""), (None, ""), (8, None), (8, None),
+    ]
+    frame = spark.createDataFrame([(*r, "s") for r in docs], "doc_id long, text string, source string").repartition(4)
+    kept = [(r.doc_id, (r.text or "")[:2]) for r in corpus_pipeline.drop_near_copies(spark, frame, SF).collect()]
+    expected = [(None, "a0"), (1, "b0"), (2, "c0"), (3, "d0"), (6, "e0"), (6, "f0"), (None, ""), (None, ""), (8, "")]
+    assert sorted(kept, key=repr) == sorted(expected, key=repr)
