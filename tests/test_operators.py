@@ -208,6 +208,25 @@ def test_tokens_with_an_analyser(frame, spark):
     assert rows(keywords.token_frequency(found, [])) == [("오죽헌", 1)]
 
 
+def test_tokenizer_query_needs_no_python(frame, spark, capsys):
+    from types import SimpleNamespace
+
+    from wayline.suite import QUERIES, trend
+    from wayline.suite.trend import LATIN
+
+    def load():
+        return lambda text: [(word, "NNP") for word in text.split()]
+
+    docs = frame([("en", "src01", "<b>One</b> two&amp;ONE  x"), ("fr", "src20", "été"), ("fr", "src20", None)], "lang string, source string, text string")
+    d = SimpleNamespace(documents=docs, spark=spark)
+    plain = trend.tokens(d)
+    hooked = keywords.tokenize(trend.docs(d), F.col("text"), ["lang", "channel"], LATIN, load)
+    assert rows(keywords.token_filter(plain)) == rows(keywords.token_filter(hooked))
+    query = QUERIES["tokenizer_hook"](spark, "/root/testdata/sf0.001")
+    query.explain()
+    assert "EvalPython" not in capsys.readouterr().out
+
+
 def test_keyword_scores(frame):
     docs = frame(
         [("c", "blog", "경포대 경포대 오죽헌 맛집"), ("c", "cafe", "오죽헌 오죽헌 바다"), ("c", "blog", "바다 바다"), ("d", "blog", "하나")],

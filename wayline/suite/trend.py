@@ -53,13 +53,7 @@ def scored(d: Data):
 
 @query("tokenizer_hook", f"SELECT lang, channel, count(*) AS tokens, count(DISTINCT form) AS forms FROM ({TOKEN_SQL}) GROUP BY ALL")
 def _(d: Data):
-    def load():
-        def analyse(text: str):
-            return [(word, "NNP" if len(word) > 1 else "X") for word in text.split()]
-
-        return analyse
-
-    found = W.token_filter(W.tokenize(docs(d), F.col("text"), ["lang", "channel"], LATIN, load))
+    found = W.token_filter(tokens(d))
     return found.groupBy("lang", "channel").agg(F.count("*").alias("tokens"), F.count_distinct("form").alias("forms"))
 
 
