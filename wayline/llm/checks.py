@@ -99,3 +99,38 @@ SELECT doc_id, size, source_size, target,
   CAST(size * (whole + CASE WHEN end_draw IS NOT NULL AND (draw < end_draw OR (draw = end_draw AND with_end)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM docs d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN ends e ON d.source IS NOT DISTINCT FROM e.source
 """
+
+# DuckDB has no CRC-32: the sum is taken over the decimal digits, eight shifts to each.
+_CRC32 = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda r, d: list_reduce([xor(r, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+ORACLES["op13_prefix_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, length(coalesce(text, '')) AS size,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list(token ORDER BY turn NULLS FIRST, token) AS tokens, list(size ORDER BY turn NULLS FIRST, token) AS sizes FROM turns GROUP BY c
+), cut AS (SELECT *, {_CRC32} % 6 AS h FROM own),
+rebuilt AS (
+  SELECT o.c, coalesce(b.tokens[1 : o.h], []) || o.tokens[o.h + 1 :] AS tokens, coalesce(b.sizes[1 : o.h], []) || o.sizes[o.h + 1 :] AS sizes
+  FROM cut o LEFT JOIN own b ON b.c = o.c - o.c % 100
+), steps AS (
+  SELECT c, d, array_to_string(tokens[1 : d], ',') AS node, array_to_string(tokens[1 : d - 1], ',') AS up,
+    CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(tokens) AS ends
+  FROM rebuilt, LATERAL (SELECT unnest(range(0, len(tokens) + 1)) AS d)
+), nodes AS (
+  SELECT node, d, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM steps GROUP BY node, d
+), children AS (SELECT up, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up, d),
+joined AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.d = n.d AND k.up = n.node),
+above AS (
+  SELECT DISTINCT s.node, s.d, t.node AS top, t.d AS top_d FROM steps s JOIN steps t ON s.c = t.c AND t.d <= s.d
+), summed AS (
+  SELECT top, top_d, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM above JOIN joined USING (node, d) GROUP BY top, top_d
+)
+SELECT j.conv_id, j.d AS depth, p.conv_id AS parent_conv_id, j.n_convs, j.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, j.ends_sha256
+FROM joined j JOIN summed ON top = j.node AND top_d = j.d LEFT JOIN nodes p ON j.d > 0 AND p.node = j.up AND p.d = j.d - 1
+"""
