@@ -134,3 +134,30 @@ above AS (
 SELECT j.conv_id, j.d AS depth, p.conv_id AS parent_conv_id, j.n_convs, j.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, j.ends_sha256
 FROM joined j JOIN summed ON top = j.node AND top_d = j.d LEFT JOIN nodes p ON j.d > 0 AND p.node = j.up AND p.d = j.d - 1
 """
+
+ORACLES["op11_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, lang || chr(10) || phrase AS key, count(*) AS f
+  FROM words, LATERAL (SELECT unnest([1, 2, 3]) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i) GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, k, phrase, a, c, lang || chr(10) || array_to_string(w[1 : c], ' ') AS head, lang || chr(10) || array_to_string(w[c + 1 :], ' ') AS rest
+  FROM candidates, LATERAL (SELECT unnest(range(1, k)) AS c)
+), scored AS (
+  SELECT s.*, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts s JOIN grams x ON x.key = head JOIN grams y ON y.key = rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), longer AS (
+  SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS f
+  FROM candidates, LATERAL (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY ALL
+), ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM lowest s LEFT JOIN longer g ON k = 2 AND g.lang = s.lang AND g.phrase = s.phrase WHERE g.f IS NULL OR 100 * g.f < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayline.llm import bm25_search, bpe_codec, hash_forest, jaccard_join, license_scan, prefix_trie, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
+from wayline.llm import bm25_search, bpe_codec, collocations, hash_forest, jaccard_join, license_scan, prefix_trie, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
 from wayline.llm.checks import ORACLES
 from wayline.session import constant_rows
 
@@ -107,3 +107,8 @@ def op3_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
