@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Texts are handled in slices of about this many bytes, so that one very long text needs no large temporary lists.
 SLICE_BYTES = 1 << 20
+#: Rows are unpacked in slices of about this many bytes.
+BATCH_BYTES = 4 << 20
 _BLANKS = b" \t\n\r\x0b\x0c"
 
 
@@ -22,11 +26,20 @@ def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].cast("long").alias("id"), df[text_col].alias("text"))
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of few rows, which bounds what is unpacked at once."""
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of few rows and bytes, which bounds what is unpacked at once; a longer text comes alone."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        lengths = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+                lengths += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        after = np.cumsum(lengths)
+        start = 0
+        while start < batch.num_rows:
+            before = after[start - 1] if start else 0
+            end = max(start + 1, min(start + rows, int(np.searchsorted(after, before + size, "right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def texts_as_bytes(column: pa.Array) -> list[bytes]:
@@ -48,3 +61,10 @@ def word_slices(text: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
 
 def record(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def check_kept(keep: Sequence[str], *results: str) -> None:
+    """Kept columns must not have the name of a result column."""
+    clashing = sorted({c.lower() for c in keep} & {c.lower() for c in results})
+    if clashing or len({c.lower() for c in keep}) < len(keep):
+        raise ValueError(f"columns to keep clash with result columns or each other: {clashing or list(keep)}")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayline.llm import bm25_search, bpe_codec, collocations, hash_forest, jaccard_join, license_scan, prefix_trie, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
+from wayline.llm import bm25_search, bpe_codec, collocations, hash_forest, jaccard_join, language_id, license_scan, prefix_trie, quality_resampling, source_mixing, token_counts, toxicity_chain, url_filter
 from wayline.llm.checks import ORACLES
 from wayline.session import constant_rows
 
@@ -112,3 +112,12 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = language_id.fit(docs, F.col("doc_id").isNotNull() & ~held_out)
+    found = language_id.predict(docs, model).withColumnRenamed("id", "doc_id")
+    return found.withColumn("held_out", held_out)
