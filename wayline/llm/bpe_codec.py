@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -17,8 +18,8 @@ from wayline.llm.merges import byte_symbols, read_byte_level
 
 #: Fixed value: how the byte-level files split a text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: A worker remembers the ids of this many words and of as many before them.
-REMEMBERED = 300_000
+#: A worker remembers the ids of at most this many words; the older half goes when there are more.
+REMEMBERED = 200_000
 
 _RESULT = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
@@ -34,7 +35,6 @@ class Codec(dict):
 
     def __init__(self, content: bytes):
         super().__init__()
-        self._older: dict[str, bytes] = {}
         self.merges, self.special = read_byte_level(content)
         merges = self.merges
         self._symbols = byte_symbols()
@@ -81,14 +81,14 @@ class Codec(dict):
         return ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._older.get(word)
-        if ids is None:
-            found = [i for piece in self._split.findall(word) for i in self.piece_ids(piece)]
-            ids = np.array(found, np.int32).tobytes()
+        pieces = self._split.findall(word)
+        if len(pieces) > 1:  # a word with signs: its parts are met far more often than the whole
+            return b"".join(map(self.__getitem__, pieces))
+        ids = np.array(self.piece_ids(word), np.int32).tobytes()
         if len(word) <= 64:
             if len(self) >= REMEMBERED:
-                self._older = dict(self)
-                self.clear()
+                for old in list(islice(self, REMEMBERED // 2)):
+                    del self[old]
             self[word] = ids
         return ids
 
