@@ -142,3 +142,63 @@ def test_code_scan(spark):
     codes = spark.createDataFrame([("2", "b"), ("1", "a"), ("3", "x")], "code string, name string")
     got = code_table_scan(codes, ["code"], ["code"], F.col("name") != "x")
     assert [r[0] for r in got.collect()] == ["1", "2"]
+
+
+def buckets(spark, base):
+    """File names of every bucket folder."""
+    return {b: files.children(spark, f"{base}/{b}") for b in files.children(spark, base) if "=" in b}
+
+
+def test_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    from wayline.operators import merge
+
+    tables = Tables(spark, str(tmp_path), buckets=64)
+    first = spark.range(5_000).select(F.col("id").alias("content_id"), F.lit(0).alias("order"), F.lit("old").alias("image_url"))
+    tables.write("entity_image", first)
+    base = str(tmp_path / "entity_image" / "v00000001")
+    before = buckets(spark, base)
+    assert len(before) == 64
+    ids = spark.createDataFrame([(7,), (4_999,), (6_000,)], "content_id long")
+    rows_ = ids.withColumns({"order": F.lit(1), "image_url": F.lit("new")})
+    update = lambda stored: merge.merge_upsert(stored, rows_, ["content_id"])
+    touched = tables.merge("entity_image", ids, update)
+    after = buckets(spark, base)
+    assert 1 <= len(touched) <= 3
+    assert {b for b in before if before[b] != after[b]} == {f"bucket64={b}" for b in touched}
+    got = tables.read("entity_image")
+    assert got.count() == 5_001 and rows(got.where("image_url = 'new'").select("content_id")) == [(4_999,), (6_000,), (7,)]
+    tables.merge("entity_image", ids, update)  # again: the same rows
+    assert tables.read("entity_image").count() == 5_001 and tables.merge("entity_image", ids.limit(0), update) == []
+    # The scan of a merge opens the touched folders only.
+    plans = []
+    tables.merge("entity_image", ids, lambda stored: (plans.append(stored._jdf.queryExecution().sparkPlan().toString()), stored)[1])
+    assert "bucket64" in plans[0].split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_merge_empties_a_bucket_and_keeps_its_layout(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path), buckets=4)
+    rows_ = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "content_id long, `order` int, image_url string")
+    assert tables.merge("entity_image", rows_, lambda stored: rows_) == [0, 1, 2, 3]  # the first version
+    other = Tables(spark, str(tmp_path), buckets=16)  # a stored version keeps its number of buckets
+    one = rows_.where("content_id = 1")
+    touched = other.merge("entity_image", one, lambda stored: stored.where("content_id <> 1"))
+    assert len(touched) == 1 and touched[0] < 4 and rows(other.read("entity_image")) == [(2, 1, "b")]
+    with pytest.raises(ValueError):
+        other.merge("entity_image", one, lambda stored: rows_.withColumn("content_id", F.col("content_id") + 100))
+    assert rows(other.read("entity_image")) == [(2, 1, "b")]
+    other.write("entity_image", rows_)
+    assert len(buckets(spark, str(tmp_path / "entity_image" / "v00000002"))) == 2 and rows(other.read("entity_image")) == rows(rows_)
+
+
+def test_images_are_numbered_inside_their_array(spark):
+    from wayline.operators.normalize import normalize_images, number_images
+
+    answers = [(1, [{"originimgurl": " a "}, {"originimgurl": "", "smallimageurl": "b"}, {}, {"smallimageurl": "c"}]), (2, []), (3, None), (4, [{"originimgurl": "z"}])]
+    df = spark.createDataFrame(answers, "content_id long, items array<map<string,string>>")
+    got = number_images(df)
+    assert rows(got) == [(1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (4, 1, "z")]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    flat = df.select(F.col("content_id").cast("string").alias("contentid"), F.posexplode("items").alias("pos", "item")).select(
+        "contentid", "pos", *[F.col("item")[c].alias(c) for c in ("originimgurl", "smallimageurl")]
+    )
+    assert rows(normalize_images(flat, [F.col("pos").asc()])) == rows(got)

@@ -112,6 +112,20 @@ def normalize_images(
     return numbered.select("content_id", F.col("order").cast("int").alias("order"), "image_url")
 
 
+def number_images(
+    responses: DataFrame, parent: str = "content_id", items: str = "items",
+    origin: str = "originimgurl", small: str = "smallimageurl",
+) -> DataFrame:
+    """`normalize_images` for responses that hold their items as an array of maps, one response per parent.
+
+    The array is filtered and its places are the numbers, so nothing is shuffled or sorted.
+    """
+    field = lambda item, name: clean_text(item[name])
+    urls = F.filter(F.transform(items, lambda i: F.coalesce(field(i, origin), field(i, small))), lambda u: u.isNotNull())
+    kept = responses.select(safe_int(F.col(parent).cast("string")).alias("content_id"), F.posexplode(urls).alias("_place", "image_url"))
+    return kept.where("content_id IS NOT NULL").select("content_id", (F.col("_place") + 1).alias("order"), "image_url")
+
+
 def detail_info_pack(items: DataFrame, key: str, order_by: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """All detail items of an entity as one JSON array in response order.
 

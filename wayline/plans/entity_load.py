@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayline import constants as K
@@ -9,12 +11,13 @@ from wayline.operators import merge
 from wayline.operators.changes import dedup_last_wins, detect_changes
 from wayline.operators.normalize import (
     detail_info_pack, entity_rules, normalize_detail_common, normalize_detail_intro, normalize_entity,
-    normalize_images, with_reason,
+    number_images, with_reason,
 )
 from wayline.operators.queues import (
     missing_children, outbox_batches, pending_queue, ready_queue, stop_at_first_failure,
 )
-from wayline.session import materialize
+from wayline.plans.runs import recorded, run_name
+from wayline.session import materialize, union_rows
 from wayline.sources.outbox import write_outbox
 from wayline.sources.tables import Tables
 
@@ -26,9 +29,9 @@ _ENTITY_COLUMNS = (
 
 def daily_entity_load(
     raw: DataFrame, tables: Tables, now: Column, seq: str, rules=K.CATEGORY_RULES,
-    version: str = K.CONTENT_HASH_VERSION,
+    version: str = K.CONTENT_HASH_VERSION, run_id: str | None = None,
 ) -> DataFrame:
-    """Load one snapshot; returns the stage counters.
+    """Load one snapshot as a run of the ledger; returns the stage counters.
 
     Quarantine comes before the duplicate rule, so a bad later copy never
     replaces a good earlier one. Only the changed rows are stored in between,
@@ -36,6 +39,11 @@ def daily_entity_load(
     deciding columns once more. The state is published last: a run lost in
     between loads the same rows again.
     """
+    run_id = run_id or run_name(tables, now)
+    return recorded(tables, "daily_entity_load", run_id, now, lambda: _load(raw, tables, now, seq, rules, version))
+
+
+def _load(raw: DataFrame, tables: Tables, now: Column, seq: str, rules, version: str) -> DataFrame:
     judged = with_reason(normalize_entity(raw, rules, version, keep=[seq]), entity_rules())
     valid = judged.where("_reason IS NULL")
     unique = dedup_last_wins(valid, ["content_id"], [seq])
@@ -44,12 +52,11 @@ def daily_entity_load(
         detect_changes(unique, state, entities, "content_id", "content_hash").drop("_reason", seq), "changed"
     )
     rows = changed.withColumn("collected_at", now)
-    new_entities = merge.merge_upsert(
-        entities, rows, ["content_id"], update=[*_ENTITY_COLUMNS, "collected_at"],
+    tables.merge("entity", changed, lambda stored: merge.merge_upsert(
+        stored, rows, ["content_id"], update=[*_ENTITY_COLUMNS, "collected_at"],
         insert_defaults={c: F.lit(0) for c in ("like_count", "review_count", "avg_rating")},
-    )
-    tables.write("entity", new_entities)
-    tables.write("etl_state", merge.state_upsert(state, changed, now))
+    ))
+    tables.merge("etl_state", changed, lambda stored: merge.state_upsert(stored, changed, now))
 
     counts = judged.agg(
         F.count(F.when(F.col("_reason").isNull(), 1)).alias("_valid"),
@@ -81,57 +88,87 @@ def _fields(items: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return items.select(F.col("content_id").cast("string").alias("contentid"), "pos", *columns)
 
 
+KINDS = ("detail_common", "detail_intro", "detail_info", "image")
+_INTRO = ("infocenter", "usetime", "restdate", "parking", "expguide")
+
+
 def enrich(kind: str, responses: DataFrame, tables: Tables, now: Column, limit: int | None = K.DETAIL_BATCH_LIMIT) -> DataFrame:
     """Apply landed detail responses (`content_id`, `status`, `items`) of one kind to the pending queue.
 
     `kind`: detail_common, detail_intro, detail_info or image. Returns counters.
     """
+    return enrich_all({kind: responses}, tables, now, limit).drop("kind")
+
+
+def enrich_all(responses: Mapping[str, DataFrame], tables: Tables, now: Column, limit: int | None = K.DETAIL_BATCH_LIMIT) -> DataFrame:
+    """Apply the landed responses of several kinds at once; returns counters by kind.
+
+    Every kind has its own queue, flag and columns, so their changes are one
+    set: entity, images and state each rewrite the buckets they touch once. The
+    state comes last; a run lost before it is done again.
+    """
+    unknown = set(responses) - set(KINDS)
+    if unknown:
+        raise ValueError(f"unknown kinds {sorted(unknown)}")
     state = tables.read("etl_state")
-    flag = f"{kind}_pending"
-    queue = pending_queue(state, flag, limit=limit)
-    outcomes = _outcomes(queue, responses)
-    cleared = {flag: F.lit(False), "last_etl_at": now}
-    if kind == "image":
-        done = _apply_images(outcomes, tables)
-        cleared["image_absent"] = F.col("s._has").isNull()
-    else:
-        _apply_details(kind, outcomes, tables)
+    counters, details, flags = [], [], []
+    images = parents = None
+    for kind in (k for k in KINDS if k in responses):
+        queue = materialize(pending_queue(state, f"{kind}_pending", limit=limit), "queue")
+        outcomes = _outcomes(queue, responses[kind])
+        counters.append(_counters(outcomes).select(F.lit(kind).alias("kind"), "*", queue.agg(F.count("*")).scalar().alias("pending")))
         done = outcomes.where("outcome = 'done'").select("content_id")
-    tables.write("etl_state", merge.update_from(state, done, ["content_id"], [], cleared))
+        if kind == "image":
+            images, parents = _images(outcomes), done
+            done = done.join(_first_images(images).select("content_id", F.lit(True).alias("_has")), "content_id", "left")
+        else:
+            details.append(_details(kind, outcomes))
+        flags.append(done.withColumn(f"_{kind}", F.lit(True)))
+    _apply(details, images, parents, tables)
+    done = materialize(_one_per_id(flags), "done")
+    cleared = {f"{kind}_pending": F.when(F.col(f"s._{kind}"), F.lit(False)).otherwise(F.col(f"t.{kind}_pending")) for kind in responses}
+    if images is not None:
+        cleared["image_absent"] = F.when(F.col("s._image"), F.col("s._has").isNull()).otherwise(F.col("t.image_absent"))
+    cleared["last_etl_at"] = now
+    tables.merge("etl_state", done, lambda stored: merge.update_from(stored, done, ["content_id"], [], cleared))
+    return union_rows(*counters)
+
+
+def _counters(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(
         F.count(F.when(F.col("outcome") == "done", 1)).alias("processed"),
         F.count(F.when(F.col("outcome") == "failed", 1)).alias("failed"),
-        queue.agg(F.count("*")).scalar().alias("pending"),
     )
 
 
-def _apply_images(outcomes: DataFrame, tables: Tables) -> DataFrame:
-    """Replace the images of finished entities; returns their ids, `_has` set where there is an image."""
-    raw = _fields(_items(outcomes), ("originimgurl", "smallimageurl"))
-    images = materialize(normalize_images(raw, [F.col("pos").asc()]), "images")
-    parents = outcomes.where("outcome = 'done'").select("content_id")
-    tables.write("entity_image", merge.replace_children(tables.read("entity_image"), parents, images, "content_id"))
-    first = images.where("`order` = 1").select("content_id", "image_url")
-    tables.write("entity", merge.fill_if_null(tables.read("entity"), first, "content_id", "first_image", "image_url"))
-    return parents.join(first.select("content_id", F.lit(True).alias("_has")), "content_id", "left")
+def _one_per_id(parts: list[DataFrame]) -> DataFrame:
+    """The columns of all parts, each of which has an id once at most."""
+    rows = union_rows(*parts, allow_missing=True)
+    return rows.groupBy("content_id").agg(*[F.max(c).alias(c) for c in rows.columns if c != "content_id"])
 
 
-def _if_typed(column: str) -> Column:
+def _images(outcomes: DataFrame) -> DataFrame:
+    return materialize(number_images(outcomes.where("outcome = 'done'").select("content_id", "items")), "images")
+
+
+def _first_images(images: DataFrame) -> DataFrame:
+    return images.where("`order` = 1").select("content_id", "image_url")
+
+
+def _if_typed(kind: str, column: str) -> Column:
     """The new value, unless the entity has no content type to ask details for."""
-    return F.when(F.col("t.content_type_id").isNotNull(), F.col(f"s.{column}")).otherwise(F.col(f"t.{column}"))
+    fits = F.col(f"s._{kind}") & F.col("t.content_type_id").isNotNull()
+    return F.when(fits, F.col(f"s.{column}")).otherwise(F.col(f"t.{column}"))
 
 
-def _apply_details(kind: str, outcomes: DataFrame, tables: Tables) -> None:
-    entities = tables.read("entity")
+def _details(kind: str, outcomes: DataFrame) -> DataFrame:
+    """The entity columns that the finished responses of one kind bring, marked by `_kind`."""
     items = _items(outcomes)
     if kind == "detail_common":
         rows = normalize_detail_common(_fields(items.where("pos = 0"), ("homepage", "overview")))
-        new = merge.update_from(entities, rows, ["content_id"], ["homepage", "overview"])
     elif kind == "detail_intro":
-        columns = ("infocenter", "usetime", "restdate", "parking", "expguide")
-        rows = normalize_detail_intro(_fields(items.where("pos = 0"), columns))
-        new = merge.update_from(entities, rows, ["content_id"], [], {c: _if_typed(c) for c in columns})
-    elif kind == "detail_info":
+        rows = normalize_detail_intro(_fields(items.where("pos = 0"), _INTRO))
+    else:
         # An empty answer stores an empty list, unless the entity has no type to ask for.
         packed = detail_info_pack(
             items.select("content_id", "pos", F.to_json("item").alias("_json")), "content_id", ["pos"], ["_json"]
@@ -143,10 +180,28 @@ def _apply_details(kind: str, outcomes: DataFrame, tables: Tables) -> None:
         )
         done = outcomes.where("outcome = 'done'").select("content_id")
         rows = done.join(texts, "content_id", "left").withColumn("detail_info", F.coalesce("detail_info", F.lit("[]")))
-        new = merge.update_from(entities, rows, ["content_id"], [], {"detail_info": _if_typed("detail_info")})
-    else:
-        raise ValueError(f"unknown kind {kind}")
-    tables.write("entity", new)
+    return rows.withColumn(f"_{kind}", F.lit(True))
+
+
+def _apply(details: list[DataFrame], images: DataFrame | None, parents: DataFrame | None, tables: Tables) -> None:
+    """Bring new images and entity columns into their tables."""
+    parts = list(details)
+    if images is not None:
+        tables.merge("entity_image", parents, lambda stored: merge.replace_children(stored, parents, images, "content_id"))
+        parts.append(_first_images(images))
+    if not parts:
+        return
+    rows = materialize(_one_per_id(parts), "details")
+    new = {}
+    if "_detail_common" in rows.columns:
+        new |= {c: F.when(F.col("s._detail_common"), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in ("homepage", "overview")}
+    if "_detail_intro" in rows.columns:
+        new |= {c: _if_typed("detail_intro", c) for c in _INTRO}
+    if "_detail_info" in rows.columns:
+        new["detail_info"] = _if_typed("detail_info", "detail_info")
+    if images is not None:
+        new["first_image"] = F.coalesce("t.first_image", "s.image_url")
+    tables.merge("entity", rows, lambda stored: merge.update_from(stored, rows, ["content_id"], [], new))
 
 
 def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int | None = K.IMAGE_RECOVERY_LIMIT) -> DataFrame:
@@ -154,13 +209,12 @@ def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int
     state = tables.read("etl_state")
     targets = missing_children(tables.read("entity"), state, tables.read("entity_image"), limit=limit)
     outcomes = _outcomes(targets, responses)
-    done = _apply_images(outcomes, tables)
+    images, parents = _images(outcomes), outcomes.where("outcome = 'done'").select("content_id")
+    _apply([], images, parents, tables)
+    done = parents.join(_first_images(images).select("content_id", F.lit(True).alias("_has")), "content_id", "left")
     cleared = {"image_pending": F.lit(False), "image_absent": F.col("s._has").isNull(), "last_etl_at": now}
-    tables.write("etl_state", merge.update_from(state, done, ["content_id"], [], cleared))
-    return outcomes.agg(
-        F.count(F.when(F.col("outcome") == "done", 1)).alias("processed"),
-        F.count(F.when(F.col("outcome") == "failed", 1)).alias("failed"),
-    )
+    tables.merge("etl_state", done, lambda stored: merge.update_from(stored, done, ["content_id"], [], cleared))
+    return _counters(outcomes)
 
 
 def notify(tables: Tables, run_id: str, path: str, limit: int | None = K.NOTIFY_LIMIT, batch_size: int = K.NOTIFY_BATCH) -> DataFrame:

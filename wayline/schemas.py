@@ -29,6 +29,11 @@ TABLES = {
     "entity_like": "user_id BIGINT, content_id BIGINT, created_at TIMESTAMP_NTZ",
 }
 
+#: Tables stored in buckets of a key, so that a few changes rewrite a few buckets.
+KEYED = {"entity": "content_id", "etl_state": "content_id", "entity_image": "content_id"}
+#: Tables stored in folders of these columns, so that readers of a few values open those only.
+PARTITIONED = {"source_document": ["city_name", "channel"]}
+
 # Landed inputs.
 SEARCH_DOCUMENT = "city_name STRING, channel STRING, query STRING, query_no INT, page INT, idx INT, url STRING, datetime STRING, title STRING, contents STRING"
 PLACE_CANDIDATE = """city_name STRING, keyword STRING, pos INT, id STRING, place_name STRING,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from wayline.schemas import TABLES
+from wayline.schemas import KEYED, PARTITIONED, TABLES
+from wayline.session import materialize
 from wayline.sources import files
 
 _VERSION = re.compile(r"([va])(\d{8})(?:-(.+))?$")
@@ -23,11 +25,15 @@ class Tables:
     names the run or batch that made a version: writing the same token again
     changes nothing. One writer per table at a time, as the schedules allow one
     active run.
+
+    A keyed table's version is laid out in `buckets` folders by the hash of its
+    key, and `merge` rewrites the folders that hold changed keys in place.
     """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, buckets: int = 32):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.buckets = buckets
 
     def _versions(self, name: str) -> list[tuple[int, str, str | None, str]]:
         """(number, kind, token, path) of every committed version, in order."""
@@ -60,8 +66,9 @@ class Tables:
         return self.spark.createDataFrame([], TABLES[name])
 
     def _load(self, name: str, *paths: str) -> DataFrame:
-        reader = self.spark.read
-        return (reader.schema(TABLES[name]) if name in TABLES else reader).parquet(*paths)
+        if name not in TABLES:
+            return self.spark.read.parquet(*paths)
+        return self.spark.read.schema(TABLES[name]).parquet(*paths).select(*_columns(name))
 
     @staticmethod
     def _current(versions: list[tuple[int, str, str | None, str]]) -> list[str]:
@@ -89,12 +96,57 @@ class Tables:
                 return self.read(name)
         number = versions[-1][0] + 1 if versions else 1
         path = f"{self.base}/{name}/{kind}{number:08d}" + (f"-{token}" if token else "")
-        if name in TABLES:
-            fields = StructType.fromDDL(TABLES[name]).fields
-            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
-        df.write.mode("overwrite").parquet(path)
+        if name in KEYED:
+            self._write_buckets(_declared(name, df), name, path, self.buckets)
+        elif name in PARTITIONED:
+            _declared(name, df).write.mode("overwrite").partitionBy(*PARTITIONED[name]).parquet(path)
+        else:
+            _declared(name, df).write.mode("overwrite").parquet(path)
         return self._load(name, path)
 
+    def _write_buckets(self, df: DataFrame, name: str, path: str, buckets: int, mode: str = "static") -> None:
+        column = f"bucket{buckets}"
+        # One file for a small bucket, several for a large one.
+        rows = df.withColumn(column, _bucket(KEYED[name], buckets)).hint("rebalance", column)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(column).parquet(path)
+
+    def merge(self, name: str, changes: DataFrame, change: Callable[[DataFrame], DataFrame]) -> list[int]:
+        """Rewrite the buckets of a keyed table that hold keys of `changes`; returns their numbers.
+
+        `change` gets the stored rows of these buckets and returns them as they
+        shall be. Its result is stored before a bucket is replaced, so a lost
+        job leaves old or new buckets; merging the same changes again completes
+        it. Frames read from the table earlier must be stored or done with.
+        """
+        versions = self._versions(name)
+        if not versions:
+            self.write(name, change(self.read(name)))
+            return list(range(self.buckets))
+        path = self._current(versions)[-1]
+        # The folders say how many buckets the version has; an empty version has none yet.
+        found = [re.match(r"bucket(\d+)=", child) for child in files.children(self.spark, path)]
+        buckets = next((int(m.group(1)) for m in found if m), self.buckets)
+        column = f"bucket{buckets}"
+        key = _bucket(KEYED[name], buckets)
+        touched = sorted(r[0] for r in changes.select(key.alias("b")).distinct().collect())
+        if not touched:
+            return []
+        stored = self.spark.read.schema(f"{TABLES[name]}, {column} INT").parquet(path)
+        new = _declared(name, change(stored.where(F.col(column).isin(touched)).select(*_columns(name))))
+        staged = materialize(new, "merge")
+        kept = {r[0] for r in staged.select(key.alias("b")).distinct().collect()}
+        if not kept <= set(touched):
+            raise ValueError(f"{name}: rows of other keys than those of the changes")
+        if kept:
+            self._write_buckets(staged, name, path, buckets, "dynamic")
+        for b in set(touched) - kept:  # nothing is left in them
+            files.delete(self.spark, f"{path}/{column}={b}")
+        return touched
+
+    def additions(self, name: str) -> int:
+        """How many versions a reader puts together."""
+        return len(self._current(self._versions(name)))
+
     def compact(self, name: str) -> DataFrame:
         """Rewrite a table of many additions as one whole version."""
         return self.write(name, self.read(name))
@@ -111,6 +163,20 @@ class Tables:
         return len(old)
 
 
+def _columns(name: str) -> list[Column]:
+    return [F.col(f"`{f.name}`") for f in StructType.fromDDL(TABLES[name]).fields]
+
+
+def _declared(name: str, df: DataFrame) -> DataFrame:
+    if name not in TABLES:
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in StructType.fromDDL(TABLES[name]).fields])
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 def _clean(token: str) -> str:
     return re.sub(r"[^0-9A-Za-z_.=-]", "_", token)
 
