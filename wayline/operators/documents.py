@@ -39,19 +39,32 @@ def search_plan(cities: DataFrame, short_name: str = "short_name",
     return cities.select("*", F.inline(calls)).withColumn("query", F.concat(F.col(short_name), F.lit(" "), F.col("word")))
 
 
-def seen_semi_join(docs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
+def in_folders(ledger: DataFrame, docs: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """The part of a ledger that lies in the folders of the documents' own values.
+
+    `folders` are columns that the ledger is stored by. Their values in one run
+    are a few cities and channels, and as literals they keep the scan to these folders.
+    """
+    if not folders:
+        return ledger
+    found = docs.agg(*[F.collect_set(c).alias(c) for c in folders]).first()
+    return ledger.where(reduce(lambda a, b: a & b, [F.col(c).isin(sorted(found[c])) for c in folders]))
+
+
+def seen_semi_join(docs: DataFrame, ledger: DataFrame, keys: Sequence[str], folders: Sequence[str] = ()) -> DataFrame:
     """Incoming keys that an earlier run has recorded, each once.
 
     The ledger is filtered by the incoming keys, not the other way round: a
-    run's keys are few and can be broadcast, the ledger only grows.
+    run's keys are few and can be broadcast, the ledger only grows. `folders`
+    names the key columns that the ledger is stored by (see `in_folders`).
     """
     incoming = docs.select(*keys).distinct()
-    return ledger.select(*keys).join(incoming, list(keys), "left_semi").distinct()
+    return in_folders(ledger, docs, folders).select(*keys).join(incoming, list(keys), "left_semi").distinct()
 
 
-def except_seen(docs: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key no earlier run has recorded."""
-    return docs.join(seen_semi_join(docs, ledger, keys), list(keys), "left_anti").select(*docs.columns)
+def except_seen(docs: DataFrame, ledger: DataFrame, keys: Sequence[str], folders: Sequence[str] = ()) -> DataFrame:
+    """Incoming rows whose key no earlier run has recorded; of a ledger in `folders` only the rows' own are read."""
+    return docs.join(seen_semi_join(docs, ledger, keys, folders), list(keys), "left_anti").select(*docs.columns)
 
 
 def union_channels(channels: dict[str, DataFrame], out: str = "channel") -> DataFrame:

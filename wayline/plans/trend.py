@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayline import constants as K
 from wayline.functions.text import document_text
-from wayline.operators.documents import doc_dedup_collect, prefix_until_seen, reachable_pages
+from wayline.operators.documents import (
+    city_collection_stats, doc_dedup_collect, in_folders, prefix_until_seen, reachable_pages, required_key,
+)
 from wayline.operators.keywords import keyword_scores
 from wayline.operators.merge import insert_ignore
 from wayline.operators.normalize import region_alias_expand
 from wayline.operators.popularity import accumulate_score, category_dimension, decay_scores, popularity_rank
 from wayline.operators.resolve import best_candidate, candidate_filter, dim_lookup_skip, place_match, tag_cities
+from wayline.plans.runs import recorded
 from wayline.session import constant_rows, materialize, union_rows
-from wayline.sources import trend_json
+from wayline.sources import files, trend_json
 from wayline.sources.tables import Tables
 
 _QUERY = ["city_name", "channel", "query"]
@@ -40,14 +43,20 @@ def stop_list(spark: SparkSession, regions: DataFrame | None = None) -> DataFram
 
 
 def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAGE_SIZE, max_pages: int | None = None) -> DataFrame:
-    """New documents of this run, stored once; their URLs enter the ledger."""
-    pages = reachable_pages(docs, _QUERY, "page", page_size, max_pages).withColumn(
-        "pos", (F.col("page").cast("bigint") - 1) * max(1, page_size) + F.col("idx")
-    )
-    ledger = tables.read("source_document")
-    seen = ledger.where(F.col("first_run_id") != run_id).select(
-        "city_name", "channel", F.col("source_url").alias("url")
+    """New documents of this run, stored once; their URLs enter the ledger.
+
+    The landed pages are stored once and the ledger is scanned once, in the
+    folders of the run's cities and channels; what it knows of the run's URLs
+    answers both where to stop and what to add.
+    """
+    pages = materialize(
+        reachable_pages(docs, _QUERY, "page", page_size, max_pages).withColumn(
+            "pos", (F.col("page").cast("bigint") - 1) * max(1, page_size) + F.col("idx")
+        ),
+        "pages",
     )
+    known = materialize(known_urls(pages, tables.read("source_document")), "known")
+    seen = known.where(F.col("first_run_id") != run_id).withColumnRenamed("source_url", "url")
     fresh = prefix_until_seen(pages, seen, _DOC, _QUERY, "pos")
     unique = materialize(
         doc_dedup_collect(fresh, _DOC, ["query_no", "pos"], "query", ["datetime", "title", "contents"]), "documents"
@@ -56,11 +65,19 @@ def collect(docs: DataFrame, tables: Tables, run_id: str, page_size: int = K.PAG
         "city_name", "channel", F.col("url").alias("source_url"),
         F.col("datetime").try_cast("timestamp").alias("published_at"), F.lit(run_id).alias("first_run_id"),
     )
-    added = insert_ignore(ledger, rows, ["city_name", "channel", "source_url"])
+    added = insert_ignore(known, rows, ["city_name", "channel", "source_url"])
     tables.append("source_document", added, token=run_id)
     return unique
 
 
+def known_urls(pages: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Ledger rows of the pages' documents, from the folders of their cities and channels alone."""
+    incoming = required_key(pages).select("city_name", "channel", F.col("url").alias("source_url"))
+    keys = ["city_name", "channel", "source_url"]
+    part = in_folders(ledger, incoming, ["city_name", "channel"]).select(*keys, "first_run_id")
+    return part.join(incoming.distinct(), keys, "left_semi")
+
+
 def analyse(docs: DataFrame, stop: DataFrame, load=None, **options) -> DataFrame:
     """Keyword scores of the collected documents."""
     text = document_text(F.col("title"), F.col("contents"))
@@ -113,23 +130,60 @@ def match_stats(matched: DataFrame) -> DataFrame:
     )
 
 
+def documents_of(docs: DataFrame, tables: Tables, run_id: str, snapshots: tuple[str, date] | None, **options) -> DataFrame:
+    """The run's new documents: those of its raw snapshot if there is one, else collected and, if asked for, exported.
+
+    `snapshots`: base folder and logical date. A repeated run so reads what it
+    stored, and does not collect anew from pages that may have changed since.
+    Snapshots are named by date and the first 8 characters of the run id; a run
+    that has not collected yet replaces one of that name.
+    """
+    if snapshots is None:
+        return collect(docs, tables, run_id, **options)
+    base, execution_date = snapshots
+    path = trend_json.snapshot_file(base, "raw", execution_date, run_id)
+    if not (tables.applied("source_document", run_id) and files.committed(tables.spark, path)):
+        export_documents(collect(docs, tables, run_id, **options), base, execution_date, run_id)
+    return trend_json.flatten_trend(trend_json.read_nested(tables.spark, path))
+
+
 def hourly_trend(
     docs: DataFrame, candidates: DataFrame, tables: Tables, cities: DataFrame, stop: DataFrame, run_id: str,
-    now: Column, load=None, collect_options: dict | None = None, **options,
+    now: Column, load=None, collect_options: dict | None = None, snapshots: tuple[str, date] | None = None, **options,
 ) -> DataFrame:
     """One run; returns its match counters.
 
     Scores add up, so the run id is the version token of the score table: a
-    repeated run finds its version and does not add again.
+    repeated run finds its version and does not add again. The run's row in
+    the ledger also has the documents and cities collected. With `snapshots`
+    the collected documents and the scored keywords are exported, and a
+    repeated run starts from the stored documents.
     """
-    fresh = collect(docs, tables, run_id, **(collect_options or {}))
-    keywords = analyse(fresh, stop, load, **options)
-    matched = materialize(match(keywords, candidates, tables.read("entity"), cities), "matched")
-    if not tables.applied("popularity", run_id):
-        mentions = matched.where("content_id IS NOT NULL").select(
-            "content_id", F.col("normalized_score").alias("mention_score")
-        )
-        scores = decay_scores(accumulate_score(tables.read("popularity"), mentions))
-        ranked = popularity_rank(scores, tables.read("entity"), category_dimension(tables.spark), now)
-        tables.write("popularity", ranked, token=run_id)
-    return match_stats(matched)
+
+    def job() -> DataFrame:
+        fresh = documents_of(docs, tables, run_id, snapshots, **(collect_options or {}))
+        keywords = analyse(fresh, stop, load, **options)
+        if snapshots is not None:
+            keywords = materialize(keywords, "keywords")
+            export_keywords(keywords, *snapshots, run_id)
+        matched = materialize(match(keywords, candidates, tables.read("entity"), cities), "matched")
+        if not tables.applied("popularity", run_id):
+            mentions = matched.where("content_id IS NOT NULL").select(
+                "content_id", F.col("normalized_score").alias("mention_score")
+            )
+            scores = decay_scores(accumulate_score(tables.read("popularity"), mentions))
+            ranked = popularity_rank(scores, tables.read("entity"), category_dimension(tables.spark), now)
+            tables.write("popularity", ranked, token=run_id)
+        return match_stats(matched).crossJoin(collection_counters(fresh))
+
+    return recorded(tables, "hourly_trend", run_id, now, job).drop("documents", "cities")
+
+
+def collection_counters(docs: DataFrame) -> DataFrame:
+    """How many documents a run has collected, and from how many cities."""
+    total = F.col("city_name").isNull()
+    sums = city_collection_stats(docs.where("city_name IS NOT NULL"))
+    return sums.agg(
+        F.coalesce(F.max(F.when(total, F.col("documents"))), F.lit(0)).alias("documents"),
+        F.count(F.when(F.col("channel").isNull() & ~total, 1)).alias("cities"),
+    )
