@@ -253,3 +253,119 @@ def test_trend_snapshots_round_trip(spark, tmp_path):
     path = trend.export_keywords(scored, str(tmp_path), day, "run-00001")
     assert path.endswith("aggregated_run-0000")
     assert rows(trend.read_keywords(spark, path)) == rows(scored)
+
+
+def test_all_kinds_at_once_equal_one_after_the_other(spark, tmp_path):
+    one, other = (Tables(spark, str(tmp_path / n), buckets=4) for n in "ab")
+    more = items(spark, ("3", None, "바다", None, None, None, "NA", None, "", 5), ("5", "12", "산", None, None, None, "NA", None, None, 6))
+    responses = {
+        "detail_common": [(1, "ok", [{"homepage": " h ", "overview": "o"}]), (2, "error", []), (3, "quota", [])],
+        "detail_intro": [(1, "ok", [{"infocenter": "i", "parking": " "}]), (2, "nodata", []), (3, "ok", [{"infocenter": "x"}])],
+        "detail_info": [(1, "ok", [{"b": "1"}]), (2, "ok", []), (3, "ok", [{"a": "1"}])],
+        "image": [(1, "ok", [{"originimgurl": "a"}]), (2, "ok", [{"smallimageurl": "z"}]), (3, "nodata", [])],
+    }
+    frames = {k: spark.createDataFrame(v, RESPONSE) for k, v in responses.items()}
+    for t in (one, other):
+        entity_load.daily_entity_load(more, t, now(), "seq")
+    together = entity_load.enrich_all(frames, one, now())
+    apart = {k: stats(entity_load.enrich(k, f, other, now())) for k, f in frames.items()}
+    assert {r["kind"]: {c: r[c] for c in ("processed", "failed", "pending")} for r in together.collect()} == apart
+    for name in ("entity", "etl_state", "entity_image"):
+        assert rows(one.read(name)) == rows(other.read(name))
+    with pytest.raises(ValueError):
+        entity_load.enrich_all({"other": frames["image"]}, one, now())
+
+
+def test_runs_leave_a_row_also_when_they_fail(spark, tables):
+    from wayline.plans.runs import recorded
+
+    entity_load.daily_entity_load(items(spark), tables, now(), "seq", run_id="day-1")
+    with pytest.raises(Exception):
+        entity_load.daily_entity_load(items(spark).drop("title").withColumn("title", F.raise_error(F.lit("lost"))), tables, now(), "seq", run_id="day-2")
+    got = {r["run_id"]: (r["status"], json.loads(r["stats"])) for r in tables.read("etl_run").collect()}
+    assert got["day-1"] == ("success", [{"processed": 2, "changed": 2, "quarantined": 1, "duplicated": 1}])
+    assert got["day-2"][0] == "failed" and "error" in got["day-2"][1]
+    assert tables.read("etl_run").where("started_at IS NULL OR finished_at IS NULL").count() == 0
+    # Done again, a run opens and closes its own row; others stay.
+    recorded(tables, "daily_entity_load", "day-2", now(), lambda: spark.range(1).select(F.lit(7).alias("processed")))
+    got = {r["run_id"]: (r["status"], r["stats"]) for r in tables.read("etl_run").collect()}
+    assert got["day-2"] == ("success", '[{"processed":7}]') and len(got) == 2
+
+
+def trend_inputs(spark):
+    doc = lambda i, channel, text: ("강릉시", channel, "강릉 여행", 0, 1, i, f"u{i}{channel}", "2024-01-01T00:00:00+09:00", "", text)
+    ddl = "city_name string, channel string, query string, query_no int, page int, idx int, url string, datetime string, title string, contents string"
+    docs = spark.createDataFrame([doc(0, "blog", "오죽헌 오죽헌 오죽헌"), doc(1, "blog", "경포대"), doc(0, "cafe", "오죽헌 경포대 경포대")], ddl)
+    none = spark.createDataFrame([], "city_name string, keyword string, pos int, id string, place_name string, category_group_code string, category_group_name string, road_address_name string, address_name string, phone string, x string, y string")
+    return docs, none
+
+
+def test_repeated_run_reads_its_stored_documents(spark, tables, tmp_path):
+    import datetime as dt
+
+    docs, none = trend_inputs(spark)
+    where = (str(tmp_path / "snapshots"), dt.date(2024, 1, 1))
+    run = lambda d, run_id: stats(trend.hourly_trend(d, none, tables, trend.city_dimension(spark), trend.stop_list(spark), run_id, now(), snapshots=where))
+    first = run(docs, "run-0001")
+    assert first["searched"] == 2
+    assert run(docs.limit(0), "run-0001") == first  # the landed pages are gone, the snapshot is there
+    assert run(docs, "run-0002")["searched"] == 0  # another run collects anew: nothing is new
+    stored = {r["run_id"]: json.loads(r["stats"])[0] for r in tables.read("etl_run").collect()}
+    assert stored["run-0001"]["documents"] == 3 and stored["run-0001"]["cities"] == 1 and stored["run-0002"]["documents"] == 0
+    path = where[0] + "/2024-01-01/aggregated_run-0001"
+    assert rows(trend.read_keywords(spark, path).select("keyword", "blog_frequency", "cafe_frequency")) == [("경포대", 1, 2), ("오죽헌", 3, 1)]
+
+
+def test_ledger_is_scanned_once_in_the_folders_of_the_run(spark, tables):
+    ledger = [(city, channel, f"u{i}", None, "run-0") for city in "abcdef" for channel in ("blog", "cafe") for i in range(3)]
+    ddl = "city_name string, channel string, source_url string, published_at timestamp, first_run_id string"
+    tables.append("source_document", spark.createDataFrame(ledger, ddl), token="run-0")
+    pages = spark.createDataFrame([("b", "blog", "u1"), ("b", "blog", "new"), ("b", "blog", None)], "city_name string, channel string, url string")
+    known = trend.known_urls(pages, tables.read("source_document"))
+    assert rows(known) == [("b", "blog", "u1", "run-0")]
+    plan = known._jdf.queryExecution().sparkPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "source_url" in line]
+    assert len(scans) == 1
+    assert "city_name" in scans[0].split("PartitionFilters: [")[1].split("]")[0] and "channel" in scans[0].split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_new_documents_stream_keeps_no_state(spark, tmp_path):
+    path, base = str(tmp_path / "in"), str(tmp_path / "base")
+    ddl = "city string, channel string, url string"
+    want = set()
+    for part in ([("a", "x", "1"), ("a", "x", "1"), ("b", "x", "1")], [("a", "x", "1"), ("a", "y", "1")], [("b", "x", "1")], [("b", "x", "2"), ("c/d", "x", "1")]):
+        spark.createDataFrame(part, ddl).write.mode("append").parquet(path)
+        got = jobs.stream_new_documents(jobs.file_stream(spark, path, ddl), base, ["city", "channel", "url"])
+        want |= set(part)
+        assert rows(got) == sorted(want, key=repr)
+    assert not files.exists(spark, f"{base}/checkpoints/new_documents/state")
+    assert "city=a" in files.children(spark, f"{base}/new_documents")
+
+
+@pytest.mark.parametrize("per_bucket", [1_000, 3])
+def test_stream_ranks_equal_the_window(spark, tmp_path, per_bucket):
+    """Ties, zeros, one favourite score, several runs: rank by score as of the latest run, then the higher id."""
+    from pyspark.sql import Window
+
+    draws = [(i, run, score) for i in range(400) for run, score in [(1 + i % 3, [1.0, 0.5, 2.25, 0.0, 1.0, 1.0][i % 6] * (1 + i // 300))]]
+    state = jobs.fold_scores(spark.createDataFrame(draws, "content_id long, as_of long, mention_score double"), 0.5)
+    categories = spark.range(400).select(F.col("id").alias("content_id"), (F.col("id") % 4 == 0).cast("int").alias("category"))
+    got = jobs.ranked_scores(state, 0.5, categories, per_bucket)
+    valued = F.col("mention_score") * F.pow(F.lit(0.5), 3 - F.col("as_of") + 1)
+    window = Window.partitionBy("category").orderBy(valued.desc(), F.desc("content_id"))
+    want = state.join(categories, "content_id").withColumn("category_rank", F.row_number().over(window))
+    columns = ["content_id", "category", "category_rank"]
+    assert rows(got.select(*columns)) == rows(want.select(*columns))
+
+
+def test_score_table_is_folded_after_many_parts(spark, tmp_path):
+    path, base = str(tmp_path / "in"), str(tmp_path / "base")
+    ddl = "content_id long, run_no long, mention_score double"
+    categories = spark.createDataFrame([(1, 1), (2, 1)], "content_id long, category int")
+    for n in range(1, 6):
+        spark.createDataFrame([(1, n, 1.0), (2, n, 2.0)], ddl).coalesce(1).write.mode("append").parquet(path)
+        got = jobs.stream_mention_scores(jobs.file_stream(spark, path, ddl), base, 0.5, categories, max_parts=2)
+        assert rows(got.select("content_id", "category_rank")) == [(1, 2), (2, 1)]
+    tables = Tables(spark, f"{base}/tables")
+    assert tables.additions("scores") <= 2
+    assert dict(map(tuple, jobs.scores_at(got, F.lit(5), 0.5).select("content_id", "mention_score").collect())) == {1: pytest.approx(0.96875), 2: pytest.approx(1.9375)}

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wayline.operators.changes import dedup_last_wins
+from wayline.operators.documents import except_seen
 from wayline.operators.merge import merge_upsert
 from wayline.session import materialize
 from wayline.sources import files
@@ -35,24 +36,31 @@ def _run(stream: DataFrame, base: str, name: str, batch: Callable[[DataFrame, in
 
 
 def stream_new_documents(arrivals: DataFrame, base: str, keys: Sequence[str]) -> DataFrame:
-    """Each key once ever. The keys seen so far are the stream's state.
+    """Each key once ever, recorded in a ledger that is also the result.
 
-    Without a watermark that state grows with the number of keys, as the
-    ledger it stands for does; the RocksDB state store keeps it on disk.
+    The ledger lies in folders of all keys but the last (city and channel), and
+    a batch looks up its keys in the folders of its own values, so what a batch
+    reads does not grow with all that was ever seen elsewhere, and the stream
+    itself keeps no state. A batch writes under its own number: replayed, it
+    leaves its own rows out of the lookup and replaces them.
     """
-    out = f"{base}/new_documents"
+    out, folders = f"{base}/new_documents", list(keys[:-1])
     spark = arrivals.sparkSession
-    fresh = arrivals.dropDuplicates(list(keys)).select(*keys)
-    query = (
-        fresh.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", f"{base}/checkpoints/new_documents")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(fresh.schema).parquet(out)
+    schema = arrivals.select(*keys, F.lit(0).cast("long").alias("batch_no")).schema
+
+    def ledger() -> DataFrame:
+        if not files.exists(spark, out):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(out)
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        unique = batch.select(*keys).dropna().distinct()
+        fresh = except_seen(unique, ledger().where(F.col("batch_no") != batch_id), keys, folders)
+        new = materialize(fresh.withColumn("batch_no", F.lit(batch_id).cast("long")), "new-documents")
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders, "batch_no").parquet(out)
+
+    _run(arrivals, base, "new_documents", record)
+    return ledger().select(*keys)
 
 
 def fold_scores(parts: DataFrame, factor: float) -> DataFrame:
@@ -76,11 +84,21 @@ def scores_at(state: DataFrame, run_no: Column, factor: float) -> DataFrame:
     return state.withColumn("mention_score", F.col("mention_score") * F.pow(F.lit(factor), run_no - F.col("as_of") + 1))
 
 
-def stream_mention_scores(arrivals: DataFrame, base: str, factor: float) -> DataFrame:
-    """Record arriving mentions in the score table; returns the folded state.
+#: After so many additions the score table is rewritten as its fold.
+MAX_PARTS = 24
+
+
+def stream_mention_scores(
+    arrivals: DataFrame, base: str, factor: float, categories: DataFrame | None = None, max_parts: int = MAX_PARTS,
+) -> DataFrame:
+    """Record arriving mentions in the score table; returns the folded state, ranked if `categories` is given.
 
     A batch adds one row per entity and run and rewrites nothing. Its id is the
-    version token, so a replayed batch is not added twice.
+    version token, so a replayed batch is not added twice. A call folds the
+    table when it has more than `max_parts` additions, so reading it costs one
+    row per entity and a bounded number of batches. With `categories`
+    (`content_id`, `category`) the result has `category` and `category_rank`
+    by score as the latest run leaves it (see `ranked_scores`).
     """
     tables = Tables(arrivals.sparkSession, f"{base}/tables")
 
@@ -89,7 +107,50 @@ def stream_mention_scores(arrivals: DataFrame, base: str, factor: float) -> Data
         tables.append("scores", sums, f"batch={batch_id}")
 
     _run(arrivals, base, "scores", record)
-    return fold_scores(tables.read("scores"), factor)
+    if not tables.exists("scores"):
+        return arrivals.sparkSession.createDataFrame([], "content_id long, mention_score double, as_of long")
+    if tables.additions("scores") > max_parts:
+        compact_scores(tables, factor)
+    state = fold_scores(tables.read("scores"), factor)
+    return state if categories is None else ranked_scores(state, factor, categories)
+
+
+def ranked_scores(state: DataFrame, factor: float, categories: DataFrame, per_bucket: int = 1_000) -> DataFrame:
+    """The state with `category` and `category_rank`: highest decayed score first, then the higher id.
+
+    One decay for all keeps their order, so scores are compared as of one run.
+    No category is sorted: scores fall into fine logarithmic buckets whose
+    counts, a small histogram, give the rank at which a bucket begins; rows are
+    only numbered within their bucket. Buckets that hold much more than
+    `per_bucket` rows are cut again by their place on a line through the bucket,
+    by score and where that is one value by id.
+    """
+    latest = state.agg(F.max("as_of")).scalar()
+    valued = F.col("mention_score") * F.pow(F.lit(factor), latest - F.col("as_of") + 1)
+    rows = state.join(categories.select("content_id", "category"), "content_id")
+    coarse = F.when(valued > 0, F.floor(F.log2(valued) * 16)).otherwise(F.lit(-1 << 40))
+    rows = materialize(rows.withColumns({"_value": valued, "_coarse": coarse.cast("long")}), "stream-scores")
+    bounds = rows.groupBy("category", "_coarse").agg(
+        F.count("*").alias("_n"), F.min("_value").alias("_low"), F.max("_value").alias("_high"),
+        F.min("content_id").cast("double").alias("_first"), F.max("content_id").cast("double").alias("_last"),
+    )
+    # A few hundred buckets a category: stored, so that their size is known and they go to the rows.
+    bounds = materialize(bounds, "stream-bounds")
+    # As many parts as the bucket's size asks for, evenly over its values, or over its ids if it has one value.
+    along = F.when(F.col("_high") > F.col("_low"), (F.col("_value") - F.col("_low")) / (F.col("_high") - F.col("_low"))).when(
+        F.col("_last") > F.col("_first"), (F.col("content_id") - F.col("_first")) / (F.col("_last") - F.col("_first"))
+    ).otherwise(F.lit(0.0))
+    parts = F.ceil(F.col("_n") / per_bucket)
+    cut = rows.join(bounds, ["category", "_coarse"]).withColumn("_fine", F.least(F.floor(along * parts), parts - 1))
+    cut = materialize(cut.drop("_n", "_low", "_high", "_first", "_last"), "stream-buckets")
+    order = Window.partitionBy("category").orderBy(F.desc("_coarse"), F.desc("_fine")).rowsBetween(Window.unboundedPreceding, -1)
+    histogram = cut.groupBy("category", "_coarse", "_fine").agg(F.count("*").alias("_n"))
+    begins = histogram.select("category", "_coarse", "_fine", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("category", "_coarse", "_fine").orderBy(F.desc("_value"), F.desc("content_id")))
+    numbered = cut.withColumn("_inside", inside).join(begins, ["category", "_coarse", "_fine"])
+    return numbered.select(
+        "content_id", "mention_score", "as_of", "category", (F.col("_before") + F.col("_inside")).cast("bigint").alias("category_rank")
+    )
 
 
 def compact_scores(tables: Tables, factor: float) -> DataFrame:

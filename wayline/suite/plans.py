@@ -89,6 +89,62 @@ def _(d: Data):
     return tables.read("entity").select("content_id", "first_image").join(state, "content_id")
 
 
+# The ledger rows that the two days leave.
+COUNTS_SQL = "'[{{\"processed\":' || {p} || ',\"changed\":' || {c} || ',\"quarantined\":' || {q} || ',\"duplicated\":' || {d} || '}}]'"
+BAD_SQL = f"SELECT c_mktsegment = 'FURNITURE' AS twice, c_acctbal >= 0 AS day1 FROM ({NORMAL_SQL}) n JOIN customer ON c_custkey = seq WHERE content_id IS NULL OR title IS NULL OR category IS NULL"
+
+
+@query("job_runs", f"""
+WITH good AS ({LOADED_SQL}), bad AS ({BAD_SQL}),
+n AS (SELECT (SELECT count(*) FROM good WHERE day1) AS g1, (SELECT count(*) FROM bad WHERE day1) AS b1, (SELECT count(*) FROM good) AS g2,
+  (SELECT count(*) FROM good WHERE twice OR NOT day1) AS c2, (SELECT count(*) FROM good WHERE twice) AS d2, (SELECT count(*) + count(*) FILTER (twice) FROM bad) AS b2)
+SELECT 'daily_entity_load' AS dag_id, '{DAY1}' AS run_id, 'success' AS status, {COUNTS_SQL.format(p='g1', c='g1', q='b1', d='0')} AS stats FROM n
+UNION ALL SELECT 'daily_entity_load', '{DAY2}', 'success', {COUNTS_SQL.format(p='g2', c='c2', q='b2', d='d2')} FROM n""")
+def _(d: Data):
+    tables, _ = _two_days(d)
+    return tables.read("etl_run").select("dag_id", "run_id", "status", "stats")
+
+
+# Orders with work due for all four kinds of responses at once.
+@query("enrich_all", """
+SELECT o_orderkey AS content_id, CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '1-URGENT' THEN 'h' || o_custkey END AS homepage,
+  CASE WHEN o_orderstatus <> 'F' AND o_orderpriority <> '1-URGENT' THEN o_orderpriority END AS overview,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN 'i' || o_custkey END AS infocenter,
+  CASE WHEN o_totalprice > 100000 AND o_orderpriority <> '5-LOW' THEN CASE WHEN o_orderstatus = 'P' THEN '[]' ELSE '[{"a":"' || o_custkey || '"}]' END END AS detail_info,
+  CASE WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN 'http://' || o_custkey END AS first_image,
+  o_orderstatus <> 'F' AND o_orderpriority = '1-URGENT' AS detail_common_pending, false AS detail_intro_pending, false AS detail_info_pending, false AS image_pending,
+  o_orderstatus = 'O' AND o_totalprice <= 200000 AS image_absent, CASE WHEN o_orderstatus = 'O' AND o_totalprice > 200000 THEN 2 ELSE 0 END AS images
+FROM orders""")
+def _(d: Data):
+    tables = _new_tables(d)
+    low = F.col("o_orderpriority") == "5-LOW"
+    entities = d.orders.select(F.col("o_orderkey").alias("content_id"), F.when(~low, "12").alias("content_type_id"))
+    tables.write("entity", union_rows(tables.read("entity"), entities, allow_missing=True))
+    flags = d.orders.select(
+        F.col("o_orderkey").alias("content_id"), (F.col("o_orderstatus") != "F").alias("detail_common_pending"), F.lit(True).alias("detail_intro_pending"),
+        (F.col("o_totalprice") > 100000).alias("detail_info_pending"), (F.col("o_orderstatus") == "O").alias("image_pending"), F.lit(False).alias("image_absent"),
+    )
+    tables.write("etl_state", union_rows(tables.read("etl_state"), flags, allow_missing=True))
+    item = lambda **fields: F.create_map(*[c for k, v in fields.items() for c in (F.lit(k), v)])
+    none = F.array().cast("array<map<string,string>>")
+    label = lambda prefix: F.concat(F.lit(prefix), F.col("o_custkey").cast("string"))
+    answer = lambda status, items: d.orders.select(F.col("o_orderkey").alias("content_id"), status.alias("status"), items.alias("items"))
+    ok = F.lit("ok")
+    L.enrich_all({
+        "detail_common": answer(F.when(F.col("o_orderpriority") == "1-URGENT", "error").otherwise("ok"), F.array(item(homepage=label(" h"), overview=F.col("o_orderpriority")))),
+        "detail_intro": answer(ok, F.array(item(infocenter=label("i"), parking=F.lit(" ")))),
+        "detail_info": answer(ok, F.when(F.col("o_orderstatus") == "P", none).otherwise(F.array(item(a=label(""))))),
+        "image": answer(ok, F.when(F.col("o_totalprice") > 200000, F.array(item(originimgurl=label("http://")), item(originimgurl=F.lit(" ")), item(smallimageurl=label("s")))).otherwise(none)),
+    }, tables, _at(DAY2), limit=None)
+    numbers = tables.read("entity_image").groupBy("content_id").agg(F.max("order").alias("images"))
+    state = tables.read("etl_state").select("content_id", *[f"{k}_pending" for k in L.KINDS], "image_absent")
+    rows = tables.read("entity").join(state, "content_id").join(numbers, "content_id", "left")
+    return rows.select(
+        "content_id", "homepage", "overview", "infocenter", "detail_info", "first_image", *[f"{k}_pending" for k in L.KINDS], "image_absent",
+        F.coalesce("images", F.lit(0)).alias("images"),
+    )
+
+
 # Parts are search documents, place results and entities of their brand's city.
 WORDS = "SELECT p_partkey, p_brand, CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'SMALL') THEN 'blog' ELSE 'cafe' END AS channel, p_name, lower(p_type) AS t FROM part"
 TREND_SQL = f"""

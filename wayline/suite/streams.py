@@ -42,6 +42,21 @@ def _(d: Data):
     return scores.select("content_id", F.round("mention_score", 4).alias("mention_score"))
 
 
+# The same runs, ranked by users' parity; cents keep equal sums equal.
+@query("stream_mention_ranks", f"""
+SELECT user_id AS content_id, category, row_number() OVER (PARTITION BY category ORDER BY score DESC, user_id DESC) AS category_rank
+FROM (SELECT user_id, user_id % 2 AS category, sum(cents * pow({DECAY}, last - day + 1)) AS score FROM (
+  SELECT user_id, CAST(round(value * 100) AS BIGINT) AS cents, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day,
+    max(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))) OVER () AS last FROM events) GROUP BY user_id)""")
+def _(d: Data):
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).cast("bigint")
+    rows = d.events.select(F.col("user_id").alias("content_id"), day.alias("run_no"), F.round(F.col("value") * 100).cast("bigint").cast("double").alias("mention_score"))
+    categories = rows.select("content_id").distinct().withColumn("category", F.col("content_id") % 2)
+    parts = [rows.where("run_no >= 14"), rows.where("run_no < 14")]
+    run = lambda stream, base: jobs.stream_mention_scores(stream, base, DECAY, categories)
+    return _call_per_part(d, parts, "mentions", run).select("content_id", "category", "category_rank")
+
+
 # Three snapshots of customers; the latest order before a cut-off is the content.
 CUTS = ("1996-01-01", "1998-06-01", "9999-12-31")
 SNAP_SQL = " UNION ALL ".join(
