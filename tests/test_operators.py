@@ -318,6 +318,34 @@ def test_many_copies_of_one_place_do_not_multiply(spark):
     assert got.count() == 3000 and got.select("content_id").distinct().collect()[0][0] == 0
 
 
+def crowd(spark, n, probes, side=0.01):
+    """One title at n different spots of a cell, and probes between them."""
+    e = spark.range(n).selectExpr("id AS content_id", "'P' AS city_name", "'hotel sea' AS title", f"127.0 + {side} * rand(1) AS map_x", f"37.0 + {side} * rand(2) AS map_y", "1 AS category")
+    p = spark.range(probes).selectExpr("id AS probe_id", "'P' AS city_name", "'Hotel Sea' AS place_name", f"127.0 + {side} * rand(3) AS longitude", f"37.0 + {side} * rand(4) AS latitude")
+    return spark.createDataFrame(e.collect(), e.schema), spark.createDataFrame(p.collect(), p.schema)
+
+
+def test_crowded_place_is_searched_outwards(spark, monkeypatch):
+    """10,000 spots of one title in one cell: what is compared follows the probes, not probes times spots."""
+    e, p = crowd(spark, 10_000, 300)
+    met = []
+    within = resolve._within
+    monkeypatch.setattr(resolve, "_within", lambda df, radius: (met.append(df), within(df, radius))[1])
+    got = {r["probe_id"]: r["content_id"] for r in resolve.place_match(p, e).collect()}
+    assert len(met) == 4 and sum(df.count() for df in met) < 300 * 100
+    assert sorted(got.items()) == brute_match([tuple(r) for r in p.collect()], [tuple(r)[:5] for r in e.collect()])
+
+
+@pytest.mark.parametrize("side", [0.0002, 0.05])
+def test_crowds_of_any_density_equal_brute_force(spark, monkeypatch, side):
+    monkeypatch.setattr(resolve, "_CROWD", 3)
+    e, p = crowd(spark, 300, 150, side)
+    e = e.withColumn("title", F.when(F.col("content_id") % 3 == 0, "hotel sea annex").otherwise(F.col("title")))
+    e = e.withColumn("map_x", F.when(F.col("content_id") % 11 == 0, F.lit(None)).otherwise(F.col("map_x")))
+    got = sorted((r["probe_id"], r["content_id"]) for r in resolve.place_match(p, e).collect())
+    assert got == brute_match([tuple(r) for r in p.collect()], [tuple(r)[:5] for r in e.collect()])
+
+
 def test_tag_cities(spark):
     e = spark.createDataFrame([(1, "강원 강릉시 1"), (2, "강원 춘천 2 강릉로"), (3, None), (4, "서울")], "content_id long, addr1 string")
     cities = spark.createDataFrame([("강릉시",), ("춘천시",)], "city_name string")

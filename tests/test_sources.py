@@ -202,3 +202,23 @@ def test_images_are_numbered_inside_their_array(spark):
         "contentid", "pos", *[F.col("item")[c].alias(c) for c in ("originimgurl", "smallimageurl")]
     )
     assert rows(normalize_images(flat, [F.col("pos").asc()])) == rows(got)
+
+
+@pytest.mark.parametrize("inner", ["channel", None])
+def test_whole_object_snapshots(spark, tmp_path, inner):
+    docs = [(c, ch, f'u"{i}', "제목\n2") for c in ("강릉시", 'b"c', "속초시") for ch in ("blog", "cafe") for i in range(3) if (c, ch) != ("속초시", "blog")]
+    df = spark.createDataFrame([*docs, (None, "blog", "x", "y")], "city string, channel string, url string, title string")
+    path = trend_json.write_whole(df, str(tmp_path / "w"), "city", inner, [F.col("url").asc(), F.col("channel").asc()], ["url", "title"], {"collected_at": "t"})
+    files_ = list((tmp_path / "w").glob("part-*"))
+    got = json.loads("".join(f.read_text(encoding="utf-8") for f in files_))
+    assert len(files_) == 1 and got["collected_at"] == "t"
+    want = {}
+    for c, ch, u, t in sorted(docs, key=lambda d: (d[0], d[1], d[2]) if inner else (d[0], d[2], d[1])):
+        at = want.setdefault(c, {} if inner else [])
+        (at.setdefault(ch, []) if inner else at).append({"url": u, "title": t})
+    assert got["cities"] == want
+    if inner:
+        back = trend_json.flatten_trend(trend_json.read_nested(spark, path)).select("city_name", "channel", "url", "title")
+        assert rows(back) == sorted(docs, key=repr)
+    empty = trend_json.write_whole(df.limit(0), str(tmp_path / "e"), "city", inner, [F.col("url").asc()], ["url"])
+    assert json.loads((next((tmp_path / "e").glob("part-*"))).read_text()) == {"cities": {}} and empty

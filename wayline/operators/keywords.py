@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from wayline import constants as K
 from wayline.functions.scoring import diversity_score
 from wayline.functions.text import script_words, strip_markup_keep_script
+from wayline.session import materialize
 from wayline.operators.ordering import top_n_per_group
 
 TOKENS = T.ArrayType(T.StructType([T.StructField("form", T.StringType()), T.StructField("tag", T.StringType())]))
@@ -97,14 +98,15 @@ def max_normalize(
 ) -> DataFrame:
     """Score over the group's maximum, 0 when that is not positive.
 
-    The maximum is an aggregate joined back, so a group of any size stays
-    spread. Groups already cut to their first n (`small_groups`) take a window,
+    The maximum is an aggregate joined back. It is stored first, so that its
+    real size is known and the few maxima go to the rows, not the rows to a
+    handful of groups. Groups already cut to their first n (`small_groups`) take a window,
     which reads the input once.
     """
     if small_groups:
         best = F.max(score).over(Window.partitionBy(group))
         return df.withColumn(out, F.when(best > 0, F.col(score) / best).otherwise(0.0))
-    top = df.groupBy(F.col(group).alias("_group")).agg(F.max(score).alias("_max"))
+    top = materialize(df.groupBy(F.col(group).alias("_group")).agg(F.max(score).alias("_max")), "maxima")
     value = F.when(F.col("_max") > 0, F.col(score) / F.col("_max")).otherwise(0.0)
     return df.join(top, F.col(group).eqNullSafe(F.col("_group")), "left").select(*df.columns, value.alias(out))
 

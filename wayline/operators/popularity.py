@@ -40,9 +40,15 @@ def category_rank(scored: DataFrame, category: str = "category", score: str = "p
     """Rank of every entity in its category, best score first, then higher id.
 
     A handful of categories hold all rows, so the rank is computed over range
-    slices instead of one window task per category.
+    slices instead of one window task per category. Only category, score and id
+    are sliced and stored; further columns meet their rank again by id.
     """
-    return distributed_row_number(scored, [category], [F.col(score).desc(), F.col(key).desc()], out)
+    slim = [category, score, key]
+    order = [F.col(score).desc(), F.col(key).desc()]
+    if set(scored.columns) == set(slim):
+        return distributed_row_number(scored, [category], order, out)
+    ranked = distributed_row_number(scored.select(*slim), [category], order, out).select(F.col(key).alias("_ranked"), out)
+    return scored.join(ranked, F.col(key) == F.col("_ranked")).drop("_ranked")
 
 
 def popularity_rank(
@@ -54,9 +60,10 @@ def popularity_rank(
         F.col("mention_score"), F.col("like_count"), F.col("review_count"), F.col("avg_rating"), **(weights or {})
     )
     scored = popularity_join(state.select("content_id", "mention_score"), entities, categories).select(
-        "content_id", "category", "category_name", score.alias("popularity_score")
+        "content_id", "category", score.alias("popularity_score")
     )
-    ranked = category_rank(scored).select(
+    # The few names come back by category, after the ranking.
+    ranked = category_rank(scored).join(categories, "category").select(
         "content_id",
         "popularity_score",
         F.col("category_rank").cast("int").alias("category_rank"),

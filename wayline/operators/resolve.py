@@ -16,7 +16,9 @@ from wayline.session import materialize, union_rows
 # Names are blocked on at most this many characters; longer ones are checked
 # in full after the join.
 _BLOCK = 8
-# City lists up to this size are carried inside each row.
+# A grid cell with more spots of one title than this is searched from the probe outwards, in circles of these shares.
+_CROWD = 64
+_SHARES = (64, 16, 4)
 
 
 def dim_lookup_skip(df: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -100,7 +102,8 @@ def place_match(
     in the other. Only entities whose title pairs go on; they and the probes
     meet by city, title and grid cell. Copies are folded before that: one entity
     per city, title and spot, as the smallest id would win anyway, and one probe
-    per city, name and spot.
+    per city, name and spot. Where one title has many spots in a cell, a probe
+    looks for it in small circles first (see `_fitting`).
     """
     both = F.col("map_x").isNotNull() & F.col("map_y").isNotNull()
     spot = lambda name: F.when(both, F.col(name).cast("double"))
@@ -134,21 +137,7 @@ def place_match(
         .agg(F.min("content_id").alias("content_id"), F.min_by("category", "content_id").alias("category"))
         .withColumn("_cell", cell)
     )
-    near = F.transform(
-        F.coalesce(
-            cells_within(F.col("_lat"), F.col("_lon"), radius),
-            F.array().cast("array<struct<lat_cell:bigint,lon_cell:bigint>>"),
-        ),
-        lambda c: _cell_key(c["lat_cell"], c["lon_cell"]),
-    )
-    around = asks.join(pairs, ["city_name", "_name"]).withColumn(
-        "_cell", F.explode(F.array_append(near, F.lit(-1).cast("bigint")))
-    )
-    met = around.join(spots, ["city_name", "_title", "_cell"])
-    distance = great_circle_distance(F.col("_lat"), F.col("_lon"), F.col("_y"), F.col("_x"))
-    fitting = met.withColumn("_distance", distance).where(
-        within_radius(F.col("_distance"), F.col("_y"), F.col("_x"), radius)
-    )
+    fitting = _fitting(asks.join(pairs, ["city_name", "_name"]), materialize(spots, "spots"), radius)
     best = first_per_group(
         fitting,
         ["city_name", "_name", "_lon", "_lat"],
@@ -171,6 +160,54 @@ def place_match(
     return named.join(best, back).select(*probes.columns, "content_id", "category")
 
 
+_ASK = ["city_name", "_name", "_lon", "_lat", "_title"]
+
+
+def _near_cells(radius: float) -> Column:
+    """Keys of the cells within `radius` of a probe; none without a position."""
+    cells = F.coalesce(
+        cells_within(F.col("_lat"), F.col("_lon"), radius), F.array().cast("array<struct<lat_cell:bigint,lon_cell:bigint>>")
+    )
+    return F.transform(cells, lambda c: _cell_key(c["lat_cell"], c["lon_cell"]))
+
+
+def _within(met: DataFrame, radius: float) -> DataFrame:
+    distance = great_circle_distance(F.col("_lat"), F.col("_lon"), F.col("_y"), F.col("_x"))
+    return met.withColumn("_distance", distance).where(within_radius(F.col("_distance"), F.col("_y"), F.col("_x"), radius))
+
+
+def _fitting(asked: DataFrame, spots: DataFrame, radius: float) -> DataFrame:
+    """Spots within the radius of each probe and title asked for, with `_distance`; of crowded titles the nearest alone.
+
+    Probes and spots meet in grid cells as wide as the radius. For titles with
+    a crowded cell that would pair all with all, so their probes first look
+    within a small circle, then wider ones; where a circle has a hit, that is the title's
+    nearest spot and the probe is done with it. A hit must lie a metre inside
+    the circle, so that all spots at the same distance in whole metres are in it.
+    """
+    cells = spots.where("_cell <> -1").groupBy("city_name", "_title", "_cell").count().where(F.col("count") > _CROWD)
+    crowded = materialize(cells.select("city_name", "_title").distinct(), "crowded")
+    around = asked.withColumn("_cell", F.explode(F.array_append(_near_cells(radius), F.lit(-1).cast("bigint"))))
+    if crowded.isEmpty():
+        return _within(around.join(spots, ["city_name", "_title", "_cell"]), radius).drop("_cell")
+    local = spots.where("_cell <> -1").join(crowded, ["city_name", "_title"], "left_semi").drop("_cell")
+    # Towards the poles small cells would be too many in a row; no place lies there.
+    open_ = asked.where("_lon IS NOT NULL AND abs(_lat) <= 85").join(crowded, ["city_name", "_title"], "left_semi").select(*_ASK)
+    settled = []
+    for share in _SHARES:
+        circle = radius / share
+        small = local.withColumn("_cell", _cell_key(lat_cell(F.col("_y"), circle), lon_cell(F.col("_x"), circle)))
+        looked = open_.withColumn("_cell", F.explode(_near_cells(circle)))
+        hits = _within(looked.join(small, ["city_name", "_title", "_cell"]), circle).where(F.col("_distance") <= circle - 1)
+        first = F.min_by(F.struct("_x", "_y", "content_id", "category", "_distance"), F.struct(F.round("_distance"), "content_id"))
+        settled.append(materialize(hits.groupBy(*_ASK).agg(first.alias("_hit")).select(*_ASK, "_hit.*"), "settled"))
+        open_ = materialize(open_.join(settled[-1].select(*_ASK), _ASK, "left_anti"), "open")
+    nearest = union_rows(*settled)
+    rest = around.join(nearest.select(*_ASK), _ASK, "left_anti")
+    met = _within(rest.join(spots, ["city_name", "_title", "_cell"]), radius).drop("_cell")
+    return union_rows(met, nearest.select(*met.columns))
+
+
 def _name_pairs(names: DataFrame, titles: DataFrame, min_length: int) -> DataFrame:
     """(city_name, _name, _title) that are equal or contain each other; each pair from one join."""
     long_name = F.length("_name") >= min_length
@@ -196,8 +233,8 @@ def _name_pairs(names: DataFrame, titles: DataFrame, min_length: int) -> DataFra
 
 
 def _cell_key(row: Column, column: Column) -> Column:
-    """One non-negative number per grid cell; -1 stays free for 'nowhere'."""
-    return ((row + 100_000) * 100_000 + column).cast("bigint")
+    """One non-negative number per grid cell, whatever its size; -1 stays free for 'nowhere'."""
+    return F.shiftleft((row + (1 << 30)).cast("bigint"), 32) + column + (1 << 30)
 
 
 def merge_place_metrics(

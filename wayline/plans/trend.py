@@ -84,10 +84,13 @@ def analyse(docs: DataFrame, stop: DataFrame, load=None, **options) -> DataFrame
     return keyword_scores(docs, text, "city_name", "channel", stop, load=load, **options)
 
 
-def export_documents(docs: DataFrame, base: str, execution_date: date, run_id: str) -> str:
-    """Collected documents as the run's nested raw snapshot; returns its path."""
+def export_documents(docs: DataFrame, base: str, execution_date: date, run_id: str, whole: bool = False) -> str:
+    """Collected documents as the run's nested raw snapshot, JSON lines or one whole object; returns its path."""
     rows = docs.withColumnRenamed("datetime", "published_at")
     fields = ["url", "published_at", "title", "contents", "matched_queries"]
+    if whole:
+        path = trend_json.snapshot_file(base, "raw", execution_date, run_id)
+        return trend_json.write_whole(rows, path, "city_name", "channel", [F.col("url").asc()], fields, {"collected_at": str(execution_date)})
     nested = trend_json.nest_by(rows, "city_name", "channel", [F.col("url").asc()], fields)
     return trend_json.write_nested(nested, trend_json.snapshot_file(base, "raw", execution_date, run_id))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -30,10 +30,13 @@ class Tables:
     key, and `merge` rewrites the folders that hold changed keys in place.
     """
 
-    def __init__(self, spark: SparkSession, base: str, buckets: int = 32):
+    def __init__(self, spark: SparkSession, base: str, buckets: int = 32, more: Mapping[str, tuple[str, str]] | None = None):
+        """`more`: further keyed tables, each with its schema and key."""
         self.spark = spark
         self.base = base.rstrip("/")
         self.buckets = buckets
+        self.schemas = TABLES | {name: schema for name, (schema, _) in (more or {}).items()}
+        self.keys = KEYED | {name: key for name, (_, key) in (more or {}).items()}
 
     def _versions(self, name: str) -> list[tuple[int, str, str | None, str]]:
         """(number, kind, token, path) of every committed version, in order."""
@@ -61,14 +64,14 @@ class Tables:
         versions = self._versions(name)
         if versions:
             return self._load(name, *self._current(versions))
-        if name not in TABLES:
+        if name not in self.schemas:
             raise KeyError(f"no table {name}")
-        return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.createDataFrame([], self.schemas[name])
 
     def _load(self, name: str, *paths: str) -> DataFrame:
-        if name not in TABLES:
+        if name not in self.schemas:
             return self.spark.read.parquet(*paths)
-        return self.spark.read.schema(TABLES[name]).parquet(*paths).select(*_columns(name))
+        return self.spark.read.schema(self.schemas[name]).parquet(*paths).select(*self._columns(name))
 
     @staticmethod
     def _current(versions: list[tuple[int, str, str | None, str]]) -> list[str]:
@@ -85,7 +88,7 @@ class Tables:
         return self._publish("a", name, df, token)
 
     def _publish(self, kind: str, name: str, df: DataFrame, token: str | None) -> DataFrame:
-        """Write one version; a declared table gets its declared columns and types."""
+        """Write one version."""
         versions = self._versions(name)
         if token is not None:
             token = _clean(token)
@@ -96,18 +99,18 @@ class Tables:
                 return self.read(name)
         number = versions[-1][0] + 1 if versions else 1
         path = f"{self.base}/{name}/{kind}{number:08d}" + (f"-{token}" if token else "")
-        if name in KEYED:
-            self._write_buckets(_declared(name, df), name, path, self.buckets)
+        if name in self.keys:
+            self._write_buckets(self._declared(name, df), name, path, self.buckets)
         elif name in PARTITIONED:
-            _declared(name, df).write.mode("overwrite").partitionBy(*PARTITIONED[name]).parquet(path)
+            self._declared(name, df).write.mode("overwrite").partitionBy(*PARTITIONED[name]).parquet(path)
         else:
-            _declared(name, df).write.mode("overwrite").parquet(path)
+            self._declared(name, df).write.mode("overwrite").parquet(path)
         return self._load(name, path)
 
     def _write_buckets(self, df: DataFrame, name: str, path: str, buckets: int, mode: str = "static") -> None:
         column = f"bucket{buckets}"
         # One file for a small bucket, several for a large one.
-        rows = df.withColumn(column, _bucket(KEYED[name], buckets)).hint("rebalance", column)
+        rows = df.withColumn(column, _bucket(self.keys[name], buckets)).hint("rebalance", column)
         rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(column).parquet(path)
 
     def merge(self, name: str, changes: DataFrame, change: Callable[[DataFrame], DataFrame]) -> list[int]:
@@ -127,12 +130,12 @@ class Tables:
         found = [re.match(r"bucket(\d+)=", child) for child in files.children(self.spark, path)]
         buckets = next((int(m.group(1)) for m in found if m), self.buckets)
         column = f"bucket{buckets}"
-        key = _bucket(KEYED[name], buckets)
+        key = _bucket(self.keys[name], buckets)
         touched = sorted(r[0] for r in changes.select(key.alias("b")).distinct().collect())
         if not touched:
             return []
-        stored = self.spark.read.schema(f"{TABLES[name]}, {column} INT").parquet(path)
-        new = _declared(name, change(stored.where(F.col(column).isin(touched)).select(*_columns(name))))
+        stored = self.spark.read.schema(f"{self.schemas[name]}, {column} INT").parquet(path)
+        new = self._declared(name, change(stored.where(F.col(column).isin(touched)).select(*self._columns(name))))
         staged = materialize(new, "merge")
         kept = {r[0] for r in staged.select(key.alias("b")).distinct().collect()}
         if not kept <= set(touched):
@@ -143,6 +146,16 @@ class Tables:
             files.delete(self.spark, f"{path}/{column}={b}")
         return touched
 
+    def _columns(self, name: str) -> list[Column]:
+        return [F.col(f"`{f.name}`") for f in StructType.fromDDL(self.schemas[name]).fields]
+
+    def _declared(self, name: str, df: DataFrame) -> DataFrame:
+        """A declared table gets its declared columns and types."""
+        if name not in self.schemas:
+            return df
+        fields = StructType.fromDDL(self.schemas[name]).fields
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+
     def additions(self, name: str) -> int:
         """How many versions a reader puts together."""
         return len(self._current(self._versions(name)))
@@ -163,16 +176,6 @@ class Tables:
         return len(old)
 
 
-def _columns(name: str) -> list[Column]:
-    return [F.col(f"`{f.name}`") for f in StructType.fromDDL(TABLES[name]).fields]
-
-
-def _declared(name: str, df: DataFrame) -> DataFrame:
-    if name not in TABLES:
-        return df
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in StructType.fromDDL(TABLES[name]).fields])
-
-
 def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 

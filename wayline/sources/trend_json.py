@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayline import constants as K
 from wayline.operators.ordering import distributed_row_number
 from wayline.schemas import TREND_DOCUMENT
+from wayline.session import constant_rows, materialize, union_rows
 
 CHUNK = 1000
 
@@ -65,6 +68,37 @@ def write_nested(nested: DataFrame, path: str, top: str = "cities") -> str:
     return path
 
 
+def write_whole(df: DataFrame, path: str, group: str, inner: str | None, order_by: Sequence[Column], item: Sequence[str],
+                head: Mapping[str, str] | None = None, top: str = "cities") -> str:
+    """The same snapshot as one JSON object over several lines of one file: the `head` fields, then {top: {group: ...}}.
+
+    Every row is one line, with what opens before it and what closes behind the
+    row before; lines are put in order over all tasks and written one after the
+    other, so no task holds more than the rows it sorts. Groups and inner keys
+    come in order of their names. Rows without a group or an inner key are left out.
+    """
+    keys = [group, inner] if inner else [group]
+    rows = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    order = [F.col(inner).asc(), *order_by] if inner else list(order_by)
+    numbered = materialize(distributed_row_number(rows, [group], order, "_n"), "whole")
+    opens = numbered.groupBy(*keys).agg(F.min("_n").alias("_n")).withColumn("_opens", F.lit(True))
+    first = numbered.agg(F.min(group)).scalar()
+    name = lambda c: F.regexp_extract(F.to_json(F.create_map(F.col(c), F.lit(""))), r'^\{(.*):""\}$', 1)
+    begins, new = F.col("_n") == 1, F.coalesce("_opens", F.lit(False))
+    closing = F.when(begins & (F.col(group) == first), "").when(begins, "]}," if inner else "],").when(new, "],").otherwise(",")
+    opening = F.when(begins, F.concat(name(group), F.lit(":{" if inner else ":["))).otherwise("")
+    if inner:
+        opening = F.concat(opening, F.when(new, F.concat(name(inner), F.lit(":["))).otherwise(""))
+    lines = numbered.join(opens, [*keys, "_n"], "left").select(
+        F.lit(1).alias("_part"), group, "_n", F.concat(closing, opening, F.to_json(F.struct(*item))).alias("value")
+    )
+    start = "{" + "".join(f"{json.dumps(k)}:{json.dumps(v)}," for k, v in (head or {}).items()) + f"{json.dumps(top)}:{{"
+    end = "}}" if numbered.isEmpty() else "]}}}" if inner else "]}}"
+    frame = constant_rows(df.sparkSession, [(0, start), (2, end)], ["_part", "value"])
+    union_rows(lines, frame, allow_missing=True).orderBy("_part", group, "_n").select("value").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
 def read_nested(spark: SparkSession, path: str) -> DataFrame:
     """One row per JSON object, which may span several lines; anything else fails the read."""
     lines = spark.read.text(path)
