@@ -166,32 +166,35 @@ def stream_change_feed(
     Snapshots must arrive in order, but any number of them may land before a
     call: inside a batch an entity's rows are compared in order of `seq`, the
     first with the stored state. Of rows with equal `seq` the last by content
-    counts. The feed of a batch is published before the state and both carry
-    the batch id.
+    counts. The state lies in buckets of the key, and a batch rewrites those of
+    the keys that changed. The feed of a batch is published first and the state
+    brought up to it after; a batch that finds its feed published only does the
+    latter, which may be repeated.
     """
     spark = arrivals.sparkSession
-    tables = Tables(spark, f"{base}/tables")
-    feed = f"{base}/feed"
     columns = [key, hash_col]
+    schema = arrivals.select(*columns).schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    tables = Tables(spark, f"{base}/tables", more={"state": (ddl, key)})
+    feed = f"{base}/feed"
+    stored_feed = arrivals.select(label, *columns, F.col(seq).alias("_seq")).schema
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        token = f"batch={batch_id}"
-        if tables.applied("state", token):
-            return
-        state = tables.read("state") if tables.exists("state") else batch.select(*columns).limit(0)
-        unique = dedup_last_wins(batch.where(valid), [key, seq], [hash_col])
-        # A window per entity: one row for each snapshot it is in.
-        before = F.lag(hash_col).over(Window.partitionBy(key).orderBy(seq))
-        stored = state.select(F.col(key).alias("_key"), F.col(hash_col).alias("_stored"))
-        compared = unique.withColumn("_before", before).join(stored, F.col(key) == F.col("_key"), "left")
-        differs = ~F.col(hash_col).eqNullSafe(F.coalesce("_before", "_stored"))
-        changed = materialize(compared.where(differs).select(label, *columns, F.col(seq).alias("_seq")), "feed")
-        changed.select(label, *columns).write.mode("overwrite").parquet(f"{feed}/batch={batch_id}")
-        latest = dedup_last_wins(changed, [key], ["_seq"])
-        tables.write("state", merge_upsert(state, latest.select(*columns), [key]), token)
+        path = f"{feed}/batch={batch_id}"
+        if not files.committed(spark, path):
+            unique = dedup_last_wins(batch.where(valid), [key, seq], [hash_col])
+            # A window per entity: one row for each snapshot it is in.
+            before = F.lag(hash_col).over(Window.partitionBy(key).orderBy(seq))
+            stored = tables.read("state").select(F.col(key).alias("_key"), F.col(hash_col).alias("_stored"))
+            compared = unique.withColumn("_before", before).join(stored, F.col(key) == F.col("_key"), "left")
+            differs = ~F.col(hash_col).eqNullSafe(F.coalesce("_before", "_stored"))
+            changed = compared.where(differs).select(label, *columns, F.col(seq).alias("_seq"))
+            changed.write.mode("overwrite").parquet(path)
+        changed = spark.read.schema(stored_feed).parquet(path)
+        latest = dedup_last_wins(changed, [key], ["_seq"]).select(*columns)
+        tables.merge("state", latest, lambda stored: merge_upsert(stored, latest, [key]))
 
     _run(arrivals, base, "feed", step)
-    published = arrivals.select(label, *columns).schema
     if not files.exists(spark, feed):
-        return spark.createDataFrame([], published)
-    return spark.read.option("basePath", feed).schema(published).parquet(feed).select(label, *columns)
+        return spark.createDataFrame([], stored_feed).select(label, *columns)
+    return spark.read.option("basePath", feed).schema(stored_feed).parquet(feed).select(label, *columns)

@@ -9,6 +9,7 @@ from wayline.operators import keywords as W, popularity as R, resolve as E, vect
 from wayline.operators.ordering import first_per_group, top_n_per_group
 from wayline.session import constant_rows
 from wayline.suite.base import Data, query
+from wayline import constants as K
 from wayline.suite.scalars import FEEDBACK_SQL, feedback
 
 # --- keywords: language = city, source decides the channel -------------------------
@@ -192,7 +193,7 @@ def _(d: Data):
 
 # --- popularity ------------------------------------------------------------------------
 
-NAMES_SQL = "(VALUES (1,'식당'), (2,'카페'), (3,'쇼핑'), (4,'관광지'), (5,'자연'), (6,'액티비티'), (7,'숙박')) AS c(category, category_name)"
+NAMES_SQL = f"(VALUES {', '.join(f'({k}, {name!r})' for k, name in K.CATEGORY_NAMES)}) AS c(category, category_name)"
 CENTS = "CAST(round(value * 100) AS BIGINT)"
 
 
@@ -205,12 +206,12 @@ def _state(d: Data):
 
 @query("accumulate_score", f"""
 SELECT coalesce(a.user_id, b.user_id) AS content_id, round((coalesce(a.c, 0) + coalesce(b.c, 0)) / 100, 4) AS mention_score
-FROM (SELECT user_id, CAST(sum({CENTS}) AS DOUBLE) AS c FROM events WHERE event_type = 'purchase' AND value < 30 GROUP BY 1) a
-FULL JOIN (SELECT user_id, CAST(sum({CENTS}) AS DOUBLE) AS c FROM events WHERE event_type = 'click' AND value > 30 GROUP BY 1) b USING (user_id)""")
+FROM (SELECT user_id, CAST(sum({CENTS}) AS DOUBLE) AS c FROM events WHERE event_type = 'purchase' GROUP BY 1) a
+FULL JOIN (SELECT user_id, CAST(sum({CENTS}) AS DOUBLE) AS c FROM events WHERE event_type <> 'purchase' GROUP BY 1) b USING (user_id)""")
 def _(d: Data):
     part = lambda condition: d.events.where(condition).select(F.col("user_id").alias("content_id"), F.col("value").alias("mention_score"))
-    state = part("event_type = 'purchase' AND value < 30").groupBy("content_id").agg(F.sum("mention_score").alias("mention_score"))
-    merged = R.accumulate_score(state, part("event_type = 'click' AND value > 30"))
+    state = part("event_type = 'purchase'").groupBy("content_id").agg(F.sum("mention_score").alias("mention_score"))
+    merged = R.accumulate_score(state, part("event_type <> 'purchase'"))
     return merged.select("content_id", F.round("mention_score", 4).alias("mention_score"))
 
 
@@ -219,11 +220,16 @@ def _(d: Data):
     return R.decay_scores(_state(d)).select("content_id", F.round("mention_score", 4).alias("mention_score"))
 
 
+# Every fifth score belongs to an entity that is no longer there.
+def _scores(d: Data):
+    gone = F.col("content_id") % 5 == 0
+    return _state(d).withColumn("content_id", F.when(gone, -F.col("content_id")).otherwise(F.col("content_id")))
+
+
 @query("popularity_join", f"""
-SELECT content_id, category, category_name, round(mention_score, 4) AS mention_score FROM ({FEEDBACK_SQL}) JOIN {NAMES_SQL} USING (category) WHERE review_count > 10""")
+SELECT content_id, category, category_name, round(mention_score, 4) AS mention_score FROM ({FEEDBACK_SQL}) JOIN {NAMES_SQL} USING (category) WHERE content_id % 5 <> 0 OR content_id = 0""")
 def _(d: Data):
-    entities = feedback(d).where("review_count > 10")
-    joined = R.popularity_join(_state(d).select("content_id", "mention_score"), entities, R.category_dimension(d.spark))
+    joined = R.popularity_join(_scores(d).select("content_id", "mention_score"), feedback(d), R.category_dimension(d.spark))
     return joined.select("content_id", "category", "category_name", F.round("mention_score", 4).alias("mention_score"))
 
 
@@ -234,17 +240,17 @@ def _(d: Data):
     return R.category_rank(rows, "event_type", "value", "event_id").select("event_type", "event_id", "category_rank")
 
 
-POPULARITY_SQL = f"""WITH s AS (SELECT *, mention_score * 5 + like_count * 1 + review_count * 2 + avg_rating * review_count * 0.5 AS score FROM ({FEEDBACK_SQL}) WHERE review_count > 10),
+POPULARITY_SQL = f"""WITH f AS (SELECT *, CASE WHEN content_id % 5 = 0 THEN -content_id ELSE content_id END AS stored FROM ({FEEDBACK_SQL})),
+s AS (SELECT *, mention_score * 5 + like_count * 1 + review_count * 2 + avg_rating * review_count * 0.5 AS score FROM f WHERE content_id % 5 <> 0 OR content_id = 0),
 r AS (SELECT content_id, score, category, row_number() OVER (PARTITION BY category ORDER BY score DESC, content_id DESC) AS rn FROM s)
-SELECT f.content_id, round(coalesce(r.score, 0), 4) AS popularity_score, CAST(coalesce(r.rn, 0) AS INTEGER) AS category_rank,
+SELECT f.stored AS content_id, round(coalesce(r.score, 0), 4) AS popularity_score, CAST(coalesce(r.rn, 0) AS INTEGER) AS category_rank,
   CASE WHEN r.rn IS NULL THEN 'none' WHEN r.rn <= 10 THEN '인기 ' || category_name || ' ' || r.rn || '위' END AS rank_tag
-FROM ({FEEDBACK_SQL}) f LEFT JOIN r USING (content_id) LEFT JOIN {NAMES_SQL} ON c.category = r.category"""
+FROM f LEFT JOIN r ON r.content_id = f.stored LEFT JOIN {NAMES_SQL} ON c.category = r.category"""
 
 
 def popularity(d: Data):
-    """Flagship: entities with enough reviews are scored, ranked per category and tagged."""
-    entities = feedback(d).where("review_count > 10")
-    ranked = R.popularity_rank(_state(d), entities, R.category_dimension(d.spark), F.lit("2024-06-01").cast("timestamp_ntz"))
+    """Flagship: stored scores of known entities are ranked per category and tagged; the others keep what they have."""
+    ranked = R.popularity_rank(_scores(d), feedback(d), R.category_dimension(d.spark), F.lit("2024-06-01").cast("timestamp_ntz"))
     return ranked.select("content_id", F.round("popularity_score", 4).alias("popularity_score"), "category_rank", "rank_tag")
 
 
