@@ -115,3 +115,54 @@ def test_link_of_two_groups_through_a_larger_set(spark):
     assert [c for _, _, c in sorted(expected)[:5]] == [0, 0, 0, 0, 4]
     found = jaccard_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted((tuple(r) for r in found.collect()), key=repr) == expected
+
+
+def test_compared_pairs_follow_the_size_of_a_group(spark, monkeypatch):
+    """Near copies of one text, some too far from it: twice the copies, about twice the comparisons."""
+    import random
+
+    overlaps, compared = jaccard_join._overlaps, []
+
+    def counting(pairs, sets):
+        compared.append(pairs.count())
+        return overlaps(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "_overlaps", counting)
+    totals = []
+    for n in (100, 200, 400):
+        draw = random.Random(5)
+        base = [f"w{i}" for i in range(150)]
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for _ in range(draw.choice([1, 2, 3, 4, 5])):
+                words[draw.randrange(len(words))] = draw.choice("abcdefgh")
+            rows.append((i, " ".join(words)))
+        compared.clear()
+        found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        totals.append(sum(compared))
+        if n == 200:
+            assert {r.id: r.component for r in found} == plain_components(rows)
+    assert totals[1] <= 3 * totals[0] + 200 and totals[2] <= 3 * totals[1] + 200
+
+
+def plain_components(rows):
+    sets = {}
+    for i, text in rows:
+        words = text.split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                ra, rb = sorted((top(a), top(b)))
+                root[rb] = ra
+    return {i: top(i) for i in ids}

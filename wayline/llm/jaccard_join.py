@@ -31,7 +31,9 @@ SHINGLE = 5
 MAX_FREQUENT = 1 << 19
 MIN_FREQUENT = 8
 #: Shingles that are counted, and sent, at once, and expected in one bucket.
-_FLUSH, _PER_BUCKET = 1 << 21, 1 << 20
+_FLUSH, _PER_BUCKET, _BYTES_PER_WORD = 1 << 21, 1 << 20, 6
+#: How often lists that still hold several components are tried with members of their largest one, and with how many.
+ROUNDS, DRAWS = 4, 8
 _FILTER_BITS = 1 << 23
 #: Size of the filter of shingles that more than one set has: two bits are set for each, whatever their number.
 REPEAT_BITS = 1 << 27
@@ -78,18 +80,6 @@ def _sets(batches: Iterator[pa.RecordBatch], once: bool) -> Iterator[tuple[int |
             yield id_, shingles, node
 
 
-def _nodes(rows: DataFrame) -> DataFrame:
-    """`id`, `n` (shingles) and `node` of every row."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            sets = list(_sets(iter([batch]), False))
-            yield record(schema, ([s[0] for s in sets], [len(s[1]) for s in sets], [s[2] for s in sets]))
-
-    return rows.mapInArrow(run, "id long, n long, node long")
-
-
 class Counts(NamedTuple):
     """What the order of shingles is built on: 0 for those of one set, 1 for repeated ones, counts of the most frequent.
 
@@ -122,19 +112,32 @@ def _repeat_places(codes: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(codes >> np.uint64(32)) * part + (mixed >> np.uint64(s)) % part for s in (11, 35)]
 
 
-def _count(rows: DataFrame, bits: int) -> Counts:
-    """Count the shingles of all sets, told apart by their first `bits + 32` bits.
+_FIRST = "id long, n long, node long, bucket int, rest binary, times binary"
+
 
-    Every task counts its own shingles before it sends them, 4 bytes each, to
-    as many buckets as the data need.
+def _first_pass(rows: DataFrame, bits: int) -> DataFrame:
+    """Two kinds of rows from one reading: `id`, `n` (shingles) and `node` of every row; and counted shingles.
+
+    Shingles are told apart by their first `bits + 32` bits. Every task counts
+    its own, each distinct set once, before it sends them, 4 bytes each, to as
+    many buckets as the data need; `bucket` is null for the other kind.
     """
-    out = pa.schema([("bucket", pa.int32()), ("rest", pa.binary()), ("times", pa.binary())])
+    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bucket", pa.int32()), ("rest", pa.binary()), ("times", pa.binary())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for _, shingles, _ in _sets(batches, True):
-            held.append(shingles >> np.uint64(32 - bits))
-            size += len(shingles)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+        for batch in small_batches(batches):
+            ids, ns, nodes = [], [], []
+            for id_, shingles, node in _sets(iter([batch]), False):
+                ids.append(id_)
+                ns.append(len(shingles))
+                nodes.append(node)
+                if node not in seen and len(shingles):
+                    seen.add(node)
+                    held.append(shingles >> np.uint64(32 - bits))
+                    size += len(shingles)
+            none = [None] * len(ids)
+            yield record(out, (ids, ns, nodes, none, none, none))
             if size >= _FLUSH:
                 yield packed(held)
                 held, size = [], 0
@@ -147,8 +150,15 @@ def _count(rows: DataFrame, bits: int) -> Counts:
         cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
         ends = np.append(cuts[1:], len(codes))
         rest, times = codes.astype("<u4"), times.astype("<u4")
-        return record(out, (buckets[cuts], [rest[a:b].tobytes() for a, b in zip(cuts, ends)], [times[a:b].tobytes() for a, b in zip(cuts, ends)]))
+        parts = [rest[a:b].tobytes() for a, b in zip(cuts, ends)], [times[a:b].tobytes() for a, b in zip(cuts, ends)]
+        none = [None] * len(cuts)
+        return record(out, (none, none, none, buckets[cuts], *parts))
 
+    return materialize(rows.mapInArrow(run, _FIRST), "jaccard-first")
+
+
+def _count(counted: DataFrame, bits: int) -> Counts:
+    """Counts of all shingles from the counts of the tasks."""
     result = pa.schema([("code", pa.int64()), ("df", pa.int64()), ("part", pa.binary())])
     size = REPEAT_BITS >> bits
 
@@ -168,7 +178,7 @@ def _count(rows: DataFrame, bits: int) -> Counts:
         parts = pa.array([None] * int(keep.sum()) + [np.packbits(part, bitorder="little").tobytes()], pa.binary())
         return pa.table([names, pa.array([*df[keep].tolist(), 0]), parts], schema=result)
 
-    counts = rows.mapInArrow(count, "bucket int, rest binary, times binary")
+    counts = counted.filter("bucket IS NOT NULL").select("bucket", "rest", "times")
     found = materialize(counts.groupBy("bucket").applyInArrow(fold, "code long, df long, part binary"), "jaccard-counts")
     field = np.zeros(REPEAT_BITS >> 3, np.uint8)
     for r in found.filter("df = 0").toLocalIterator():
@@ -297,10 +307,12 @@ def jaccard_components(
     are ignored, whatever their names. Empty tables give empty results.
     """
     rows = two_columns(docs, id_col, text_col)
-    nodes = materialize(_nodes(rows), "jaccard-nodes")
-    total = nodes.agg(F.sum("n")).first()[0] or 0
+    # About as many shingles as words; this only sizes the buckets in which they are counted.
+    total = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / _BYTES_PER_WORD
     bits = min(24, max(4, int(log2(max(1, total / _PER_BUCKET)) + 1)))
-    entries = materialize(_entries(rows, _count(rows, bits)), "jaccard-lists")
+    first = _first_pass(rows, bits)
+    nodes = first.filter("bucket IS NULL").select("id", "n", "node")
+    entries = materialize(_entries(rows, _count(first, bits)), "jaccard-lists")
     links, seeds = _links(rows, entries)
     roots = connected_components(links, seeds)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -343,21 +355,31 @@ def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = compared.filter(_LINKED).select("a", "b")
     roots = connected_components(first)
 
-    # Once more with another pivot in each list, drawn by shingle: a set that is still apart from others in its lists
-    # is compared with about as many of them as it has lists, instead of with all.
+    # Again with other pivots, drawn by shingle: a set that is still apart from others in its lists is compared with
+    # about as many of them as it has lists, instead of with all. The first time any member is drawn, later one of the
+    # list's largest component, for the sets outside it: of a large group's many members a set at its edge is linked
+    # with some, and as soon as one of them is drawn all other pairs between the two components go.
     rooted = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = materialize(rooted(visits), "jaccard-placed")
-    placed = placed.join(_open_lists(placed), "token")
-    drawn = placed.filter("own = block").groupBy("token", "block").agg(
-        F.min_by(F.struct("n", "node", "pos", "root"), F.xxhash64("token", "node")).alias("p")
-    ).select("token", "block", "p.*").toDF("token", "block", "pn", "pivot", "ppos", "proot")
-    again = _near(placed.join(drawn, ["token", "block"]).filter("root <> proot"))
-    second = materialize(_overlaps(again, sets).filter(_LINKED).select("a", "b"), "jaccard-again")
-    roots = connected_components(second, roots)
-    first = union_rows(first, second)
+    placed = visits
+    for k in range(1 + ROUNDS):
+        placed = materialize(rooted(placed), "jaccard-placed")
+        placed = placed.join(_open_lists(placed), "token")
+        if k:  # what is open now is all that later rounds read
+            placed = materialize(placed, "jaccard-open")
+        share = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(DRAWS if k else 1))
+        drawn = placed.filter("own = block" if not k else "own = block AND root = main").groupBy("token", "block", share).agg(
+            F.min_by(F.struct("n", "node", "pos", "root"), F.xxhash64("token", "node", F.lit(k))).alias("p")
+        ).select("token", "block", "p.*").toDF("token", "block", "pn", "pivot", "ppos", "proot")
+        again = _near(placed.join(drawn, ["token", "block"]).filter("root <> proot"))
+        more = materialize(_overlaps(again, sets).filter(_LINKED).select("a", "b"), "jaccard-again")
+        placed = placed.drop("root", "main")
+        if more.isEmpty():
+            break
+        roots = connected_components(more, roots)
+        first = union_rows(first, more)
 
     # Lists whose nodes are not all in one component yet. In each, the largest component needs no pairs of its own.
-    placed = rooted(placed.drop("root", "main"))
+    placed = rooted(placed)
     placed = materialize(placed.join(_open_lists(placed), "token").join(pivots.select("token", "block", "pivot"), ["token", "block"]), "jaccard-placed")
     shared = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("far"))
     placed = placed.join(shared, ["node", "pivot"], "left").withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
