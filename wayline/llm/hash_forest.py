@@ -14,6 +14,8 @@ from wayline.llm.shards import merge_top, search_shards
 TREES, BITS, SHARD_ROWS = 32, 64, 8192
 #: A query ascends until it has met this share of a shard; on vectors without structure recall follows it closely.
 CANDIDATE_SHARE = 0.45
+#: So many square roots of the shard's size are added, which matters where a shard is small.
+ROOM = 6.0
 
 
 def usable(vector: Column) -> Column:
@@ -44,13 +46,25 @@ class Forest:
     def build(self) -> None:
         self.vectors, self.names = np.concatenate(self.rows), np.concatenate(self.ids)
         self.rows, self.ids = [], []
+        self.squares = (self.vectors**2).sum(axis=1)
         self.middle = self.vectors.mean(axis=0)
         self.planes = np.random.default_rng(self.seed).standard_normal((self.vectors.shape[1], self.trees * BITS))
         strings = self._hash(self.vectors)
         self.order = [np.argsort(strings[:, t], kind="stable") for t in range(self.trees)]
         self.keys = [strings[o, t] for t, o in enumerate(self.order)]
 
-    def candidates(self, strings: np.ndarray, wanted: int) -> np.ndarray:
+    def runs(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per query, prefix length (0 to BITS) and tree: where the run of rows with that common prefix begins and ends."""
+        bits = np.arange(BITS + 1, dtype=np.uint64)
+        free = np.where(bits == 0, np.uint64((1 << 64) - 1), (np.uint64(1) << (np.uint64(BITS) - np.maximum(bits, np.uint64(1)))) - np.uint64(1))
+        begin = np.empty((len(strings), BITS + 1, self.trees), np.int64)
+        end = np.empty_like(begin)
+        for t, keys in enumerate(self.keys):
+            begin[:, :, t] = np.searchsorted(keys, strings[:, t, None] & ~free, "left")
+            end[:, :, t] = np.searchsorted(keys, strings[:, t, None] | free, "right")
+        return begin, end
+
+    def candidates(self, begin: np.ndarray, end: np.ndarray, wanted: int) -> np.ndarray:
         """Rows that share the longest prefixes with the query's strings, at least `wanted` of them.
 
         All trees descend to their longest match, then give up one bit at a
@@ -58,28 +72,34 @@ class Forest:
         """
         wanted = min(wanted, len(self.names))
         met = np.zeros(len(self.names), bool)
-        for bits in range(BITS, -1, -1):
-            runs = []
-            for t, s in enumerate(strings):
-                low = int(s) >> (BITS - bits) << (BITS - bits)
-                high = low + (1 << (BITS - bits))
-                a = np.searchsorted(self.keys[t], np.uint64(low))
-                b = len(self.names) if high >> BITS else np.searchsorted(self.keys[t], np.uint64(high))
-                runs.append((a, b))
-            if sum(b - a for a, b in runs) < wanted:
-                continue
-            for t, (a, b) in enumerate(runs):
-                met[self.order[t][a:b]] = True
-            if met.sum() >= wanted:
+        enough = np.flatnonzero((end - begin).sum(axis=1) >= wanted)
+        for bits in range(enough[-1], -1, -1):
+            for order, a, b in zip(self.order, begin[bits].tolist(), end[bits].tolist()):
+                met[order[a:b]] = True
+            if np.count_nonzero(met) >= wanted:
                 break
         return np.flatnonzero(met)
 
-    def nearest(self, query_id: int, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.candidates(self._hash(vector[None])[0], max(4 * k, ceil(self.share * len(self.names))))
-        rows = rows[self.names[rows] != query_id]
-        far = np.sqrt(((self.vectors[rows] - vector) ** 2).sum(axis=1))
-        best = np.lexsort((self.names[rows], far))[:k]
-        return self.names[rows][best], far[best]
+    def nearest(self, query_ids: np.ndarray, vectors: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and distances of each query's nearest candidates."""
+        begin, end = self.runs(self._hash(vectors))
+        n = len(self.names)
+        wanted = max(4 * k, ceil(self.share * n + ROOM * n**0.5))
+        # Squared distances of all at once, up to rounding: they choose which candidates are measured exactly.
+        sizes = (vectors**2).sum(axis=1)
+        rough = self.squares[:, None] - 2 * (self.vectors @ vectors.T) + sizes
+        found = []
+        for i, query_id in enumerate(query_ids):
+            rows = self.candidates(begin[i], end[i], wanted)
+            rows = rows[self.names[rows] != query_id]
+            if len(rows) > k:
+                near = rough[rows, i]
+                slack = 1e-9 * (self.squares.max() + sizes[i])
+                rows = rows[near <= np.partition(near, k - 1)[k - 1] + slack]
+            far = np.sqrt(((self.vectors[rows] - vectors[i]) ** 2).sum(axis=1))
+            best = np.lexsort((self.names[rows], far))[:k]
+            found.append((self.names[rows][best], far[best]))
+        return found
 
 
 def nearest(
@@ -121,7 +141,8 @@ def nearest(
             return pa.RecordBatch.from_pylist([], schema)
         if index.keys is None:
             index.build()
-        found = [(i, *index.nearest(i, v, k)) for i, v in zip(*unpack(batch))]
+        ids, asked_vectors = unpack(batch)
+        found = [(i, *best) for i, best in zip(ids, index.nearest(ids, asked_vectors, k))]
         asked_ids = np.repeat([i for i, _, _ in found], [len(n) for _, n, _ in found]).astype(np.int64)
         return pa.RecordBatch.from_arrays([
             pa.array(asked_ids), pa.array(np.concatenate([n for _, n, _ in found])), pa.array(np.concatenate([d for _, _, d in found])),
