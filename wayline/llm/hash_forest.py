@@ -92,8 +92,8 @@ class Forest:
         for i, query_id in enumerate(query_ids):
             rows = self.candidates(begin[i], end[i], wanted)
             rows = rows[self.names[rows] != query_id]
-            if len(rows) > k:
-                near = rough[rows, i]
+            near = rough[rows, i]
+            if len(rows) > k and np.isfinite(near).all():  # squares of huge components overflow
                 slack = 1e-9 * (self.squares.max() + sizes[i])
                 rows = rows[near <= np.partition(near, k - 1)[k - 1] + slack]
             far = np.sqrt(((self.vectors[rows] - vectors[i]) ** 2).sum(axis=1))
