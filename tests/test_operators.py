@@ -346,6 +346,18 @@ def test_crowds_of_any_density_equal_brute_force(spark, monkeypatch, side):
     assert got == brute_match([tuple(r) for r in p.collect()], [tuple(r)[:5] for r in e.collect()])
 
 
+def test_names_are_looked_up_by_their_rarest_gram(spark):
+    """Titles give one substring per character; a name meets only the titles that have its rarest one."""
+    titles = spark.createDataFrame([("P", f"grandhotel{i}") for i in range(50)] + [("P", "grandhotelsea"), ("P", "seaview"), ("Q", "grandhotelsea")], "city_name string, _title string")
+    names = spark.createDataFrame([("P", "hotelsea"), ("P", "nowhere"), ("P", "grandhotel")], "city_name string, _name string")
+    substrings = resolve._substrings
+    got = resolve._containing(names, titles, 4)
+    pairs = {(r["_name"], r["_title"]) for r in got.collect()}
+    assert pairs == {("hotelsea", "grandhotelsea"), ("grandhotel", "grandhotelsea")} | {("grandhotel", f"grandhotel{i}") for i in range(50)}
+    assert {r["_block"] for r in got.where("_name = 'hotelsea'").collect()} <= {"tels", "else", "lsea"}
+    assert titles.select(F.explode(substrings(F.col("_title"), [4]))).count() <= sum(len(r["_title"]) for r in titles.collect())
+
+
 def test_tag_cities(spark):
     e = spark.createDataFrame([(1, "강원 강릉시 1"), (2, "강원 춘천 2 강릉로"), (3, None), (4, "서울")], "content_id long, addr1 string")
     cities = spark.createDataFrame([("강릉시",), ("춘천시",)], "city_name string")

@@ -50,17 +50,17 @@ def best_candidate(fitting: DataFrame) -> DataFrame:
     return first_per_group(fitting, ["city_name", "keyword"], [F.col("name_score").desc(), F.col("pos").asc()])
 
 
-def _substrings(text: Column, low: int, high: int) -> Column:
-    """Distinct substrings of `text` with low..high characters."""
+def _substrings(text: Column, lengths: Sequence[int]) -> Column:
+    """Distinct substrings of `text` of the given lengths."""
     size = F.length(text)
     by_length = [
         F.when(
             size >= n,
             F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substring(text, i, F.lit(n))),
         ).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
+        for n in lengths
     ]
-    return F.array_distinct(F.concat(*by_length))
+    return F.array_distinct(F.concat(F.array().cast("array<string>"), *by_length))
 
 
 def _head(text: Column) -> Column:
@@ -71,10 +71,13 @@ def tag_cities(entities: DataFrame, cities: DataFrame, address: str = "addr1", c
     """Entities once per city their address mentions (city name without suffix).
 
     The cities are joined on their leading characters, then compared in full.
+    An address gives only substrings as long as some city's leading characters
+    are, which mostly is two or three.
     """
     names = cities.select(city, strip_region_suffix(F.lower(city)).alias("_token")).where("_token <> ''").distinct()
-    blocks = entities.withColumn("_block", F.explode(_substrings(F.lower(address), 1, _BLOCK)))
-    heads = names.withColumn("_head", _head(F.col("_token")))
+    heads = materialize(names.withColumn("_head", _head(F.col("_token"))), "cities")
+    lengths = [r[0] for r in heads.select(F.length("_head")).distinct().collect()]  # at most _BLOCK
+    blocks = entities.withColumn("_block", F.explode(_substrings(F.lower(address), sorted(lengths))))
     return (
         blocks.join(heads, F.col("_block") == F.col("_head"))
         .where(address_in_city(F.col(address), F.col("_token")))
@@ -215,23 +218,31 @@ def _name_pairs(names: DataFrame, titles: DataFrame, min_length: int) -> DataFra
     equal = names.where(~long_name).withColumn("_block", F.col("_name")).join(
         titles.withColumn("_block", F.col("_title")), block
     )
-    inside_title = (
-        names.where(long_name)
-        .withColumn("_block", _head(F.col("_name")))
-        .join(
-            titles.withColumn("_block", F.explode(_substrings(F.col("_title"), min(min_length, _BLOCK), _BLOCK))), block
-        )
-        .where(F.contains(F.col("_title"), F.col("_name")))
-    )
+    inside_title = _containing(names.where(long_name), titles, max(1, min(min_length, _BLOCK)))
     inside_name = (
         names.where(long_name)
-        .withColumn("_block", F.explode(_substrings(F.col("_name"), 1, _BLOCK)))
+        .withColumn("_block", F.explode(_substrings(F.col("_name"), range(1, _BLOCK + 1))))
         .join(titles.withColumn("_block", _head(F.col("_title"))), block)
         .where(F.contains(F.col("_name"), F.col("_title")) & (F.length("_title") < F.length("_name")))
     )
     return union_rows(equal, inside_title, inside_name).drop("_block")
 
 
+def _containing(names: DataFrame, titles: DataFrame, size: int) -> DataFrame:
+    """(city_name, _block, _name, _title): names of at least `size` characters inside titles.
+
+    Titles are indexed by their substrings of that one length. A name is looked
+    up by the one of its own that the fewest titles have; where none has it,
+    the name is in no title.
+    """
+    block = ["city_name", "_block"]
+    index = materialize(titles.withColumn("_block", F.explode(_substrings(F.col("_title"), [size]))), "title-grams")
+    known = index.groupBy(*block).agg(F.count("*").alias("_n"))
+    grams = names.withColumn("_block", F.explode(_substrings(F.col("_name"), [size]))).join(known, block, "left")
+    rarest = grams.groupBy("city_name", "_name").agg(F.min_by("_block", F.struct(F.coalesce("_n", F.lit(0)), "_block")).alias("_block"))
+    return rarest.join(index, block).where(F.contains(F.col("_title"), F.col("_name"))).select(*block, "_name", "_title")
+
+
 def _cell_key(row: Column, column: Column) -> Column:
     """One non-negative number per grid cell, whatever its size; -1 stays free for 'nowhere'."""
     return F.shiftleft((row + (1 << 30)).cast("bigint"), 32) + column + (1 << 30)

@@ -39,6 +39,7 @@ def recorded(tables: Tables, job_id: str, run_id: str, now: Column, job: Callabl
 
 def _close(tables: Tables, result: DataFrame, now: Column) -> None:
     tables.write("etl_run", finish_runs(tables.read("etl_run"), result, now))
+    tables.expire("etl_run", keep=4)
 
 
 def run_name(tables: Tables, now: Column) -> str:

@@ -8,7 +8,7 @@ from wayline.plans import entity_load as L, trend as T
 from wayline.session import scratch_path, union_rows
 from wayline.sources.tables import Tables
 from wayline.suite.base import Data, query
-from wayline.suite.sources import NORMAL_SQL, RAW_SPARK
+from wayline.suite.sources import NORMAL_SQL, RAW_SPARK, READY_SQL, order_flags
 from wayline.suite.scalars import _split_top
 
 DAY1, DAY2 = "2024-06-01 00:05:00", "2024-06-02 00:05:00"
@@ -145,6 +145,63 @@ def _(d: Data):
     )
 
 
+# Feedback on customers: open orders are likes, filled ones reviews, some of them deleted.
+@query("refresh_feedback", """
+SELECT c_custkey AS content_id, CAST(coalesce(likes, 0) AS INTEGER) AS like_count, CAST(coalesce(reviews, 0) AS INTEGER) AS review_count,
+  coalesce(CAST((sums * 200 + reviews) // (2 * reviews) AS DOUBLE) / 100, 0) AS avg_rating FROM customer
+LEFT JOIN (SELECT o_custkey, count(*) AS likes FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) a ON a.o_custkey = c_custkey
+LEFT JOIN (SELECT o_custkey, count(*) AS reviews, CAST(sum(o_orderkey % 5 + 1) AS BIGINT) AS sums FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' GROUP BY 1) b ON b.o_custkey = c_custkey""")
+def _(d: Data):
+    from wayline.plans.landing import refresh_feedback
+
+    tables = _new_tables(d)
+    fill = lambda name, rows: tables.write(name, union_rows(tables.read(name), rows, allow_missing=True))
+    fill("entity", d.customer.select(F.col("c_custkey").alias("content_id")))
+    given = d.orders.select(F.col("o_custkey").alias("content_id"), F.col("o_orderkey").alias("user_id"), "o_orderkey", "o_orderstatus", "o_orderpriority")
+    fill("entity_like", given.where("o_orderstatus = 'O'").select("user_id", "content_id"))
+    fill("review", given.where("o_orderstatus = 'F'").select(
+        F.col("o_orderkey").alias("review_id"), "content_id", "user_id", (F.col("o_orderkey") % 5 + 1).cast("int").alias("rating"),
+        (F.col("o_orderpriority") == "5-LOW").alias("is_deleted"),
+    ))
+    refresh_feedback(tables)
+    return tables.read("entity").select("content_id", "like_count", "review_count", F.col("avg_rating").cast("double").alias("avg_rating"))
+
+
+# Listed codes with blanks and repeats, loaded twice; the second time nations have other names.
+@query("sync_codes", """
+SELECT 'area' AS kind, CAST(r_regionkey AS VARCHAR) AS code, r_name AS name, CAST(NULL AS VARCHAR) AS parent FROM region
+UNION ALL SELECT 'district', CAST(n_nationkey AS VARCHAR), n_name || '*', CAST(n_regionkey AS VARCHAR) FROM nation
+UNION ALL SELECT 'category', p_brand, max(p_type), NULL FROM part GROUP BY p_brand
+UNION ALL SELECT 'category', p_brand || '-' || p_size, max(p_name), p_brand FROM part GROUP BY p_brand, p_size""")
+def _(d: Data):
+    from wayline.plans.landing import sync_codes
+
+    tables = _new_tables(d)
+    text = lambda c: F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" "))
+    areas = d.region.select(text("r_regionkey").alias("code"), F.col("r_name").alias("name"))
+    areas = union_rows(areas, areas.limit(1).select(F.lit(" ").alias("code"), "name"))
+    none = F.lit(None).cast("string")
+    top = d.part.select(F.col("p_brand").alias("code"), F.col("p_type").alias("name"), F.lit(1).alias("depth"), none.alias("level1"), none.alias("level2"))
+    below = d.part.select(
+        F.concat_ws("-", "p_brand", F.col("p_size").cast("string")).alias("code"), F.col("p_name").alias("name"), F.lit(2).alias("depth"), F.col("p_brand").alias("level1"), none.alias("level2")
+    )
+    for mark in ("", "*"):
+        districts = d.nation.select(F.col("n_regionkey").cast("string").alias("area_code"), text("n_nationkey").alias("code"), F.concat("n_name", F.lit(mark)).alias("name"))
+        sync_codes(areas, districts, union_rows(top, below), tables)
+    row = lambda kind, table, code, parent: tables.read(table).select(F.lit(kind).alias("kind"), F.col(code).alias("code"), "name", parent.alias("parent"))
+    return union_rows(
+        row("area", "area_code", "area_code", none), row("district", "sigungu_code", "sigungu_code", F.col("area_code")),
+        row("category", "category", "code", F.col("parent_code")),
+    )
+
+
+@query("notify_ready", f"SELECT count(*) AS accepted FROM ({READY_SQL})")
+def _(d: Data):
+    tables = _new_tables(d)
+    tables.write("etl_state", union_rows(tables.read("etl_state"), order_flags(d), allow_missing=True))
+    return L.notify(tables, "run-1", scratch_path(d.spark, "outbox"), limit=None)
+
+
 # Parts are search documents, place results and entities of their brand's city.
 WORDS = "SELECT p_partkey, p_brand, CASE WHEN p_type IN ('ECONOMY', 'LARGE', 'SMALL') THEN 'blog' ELSE 'cafe' END AS channel, p_name, lower(p_type) AS t FROM part"
 TREND_SQL = f"""
