@@ -332,10 +332,10 @@ def _near(met: DataFrame) -> DataFrame:
 
 
 def _open_lists(placed: DataFrame) -> DataFrame:
-    """`token`, `main`: lists with several components, and the one that most of their nodes are in."""
+    """`token`, `main`, `size`: lists with several components, the one that most of their nodes are in, and how many those are."""
     members = placed.filter("own = block").groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
-    lists = members.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    return lists.filter("roots > 1").select("token", "main")
+    lists = members.groupBy("token").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.max("k").alias("size"), F.count(F.lit(1)).alias("roots"))
+    return lists.filter("roots > 1").select("token", "main", "size")
 
 
 def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -360,19 +360,24 @@ def _links(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     # list's largest component, for the sets outside it: of a large group's many members a set at its edge is linked
     # with some, and as soon as one of them is drawn all other pairs between the two components go.
     rooted = lambda df: df.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Short lists are left to the exact comparisons at the end, which cost no more there.
     placed = visits
     for k in range(1 + ROUNDS):
         placed = materialize(rooted(placed), "jaccard-placed")
-        placed = placed.join(_open_lists(placed), "token")
-        if k:  # what is open now is all that later rounds read
-            placed = materialize(placed, "jaccard-open")
+        open_ = placed.join(_open_lists(placed), "token")
+        members = open_.filter("own = block")
+        if k:
+            open_ = open_.filter(F.col("size") > 4 * DRAWS)
+            members = open_.filter("own = block AND root = main")
         share = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(DRAWS if k else 1))
-        drawn = placed.filter("own = block" if not k else "own = block AND root = main").groupBy("token", "block", share).agg(
+        drawn = members.groupBy("token", "block", share).agg(
             F.min_by(F.struct("n", "node", "pos", "root"), F.xxhash64("token", "node", F.lit(k))).alias("p")
         ).select("token", "block", "p.*").toDF("token", "block", "pn", "pivot", "ppos", "proot")
-        again = _near(placed.join(drawn, ["token", "block"]).filter("root <> proot"))
+        again = _near(open_.join(drawn, ["token", "block"]).filter("root <> proot"))
         more = materialize(_overlaps(again, sets).filter(_LINKED).select("a", "b"), "jaccard-again")
-        placed = placed.drop("root", "main")
+        if not k:  # lists that are closed by now stay closed
+            placed = open_.drop("main", "size")
+        placed = placed.drop("root")
         if more.isEmpty():
             break
         roots = connected_components(more, roots)
