@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from math import sqrt
+from math import log, sqrt
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,6 +25,7 @@ FALSE_DISCOVERIES = (0.05, 0.5, float("inf"))
 _BLOCK = 2_048
 _STARTS = (4, 5, 6, 7)
 _EDGE = 1e-6
+_FURTHEST = log((1 - _EDGE) / _EDGE)
 
 
 def terms(text: Column) -> Column:
@@ -165,9 +166,15 @@ class Chain:
         return list(dict.fromkeys(t for m in self.models for t in m.terms))
 
     def known(self, text: Column) -> Column:
-        """The terms of a text that any model weighs."""
+        """The terms of a text that any model weighs.
+
+        By far the dearest step. The number of the row in it, always positive,
+        keeps the optimizer from writing the step out wherever a category or a
+        filter on one refers to it, so it is taken once a row.
+        """
         words = self.vocabulary
-        return F.array_intersect(F.array(*map(F.lit, words)), terms(text)) if words else F.array().cast("array<string>")
+        found = F.array_intersect(F.array(*map(F.lit, words)), terms(text)) if words else F.array().cast("array<string>")
+        return F.when(F.monotonically_increasing_id() >= 0, found)
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Adds `p_<category>` for each category to rows with a column `_known`."""
@@ -177,8 +184,7 @@ class Chain:
                 weights = F.create_map(*[F.lit(v) for t, w in zip(model.terms, model.weights.tolist()) for v in (t, w)])
                 z = F.aggregate("_known", z, lambda total, t: total + F.coalesce(F.try_element_at(weights, t), F.lit(0.0)))
             for earlier, w in zip(self.categories[:k], model.earlier.tolist()):
-                p = F.least(F.greatest(F.col(f"p_{earlier}"), F.lit(_EDGE)), F.lit(1 - _EDGE))
-                z = z + F.log(p / (1 - p)) * w
+                z = z + F.least(F.greatest(F.col(f"_z_{earlier}"), F.lit(-_FURTHEST)), F.lit(_FURTHEST)) * w
             rows = rows.withColumn(f"_z_{name}", z).withColumn(f"p_{name}", 1 / (1 + F.exp(-F.col(f"_z_{name}"))))
         return rows
 
