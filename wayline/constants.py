@@ -56,8 +56,6 @@ PLACE_CATEGORIES = ("AT4", "FD6", "CE7", "AD5")
 MIN_FREQUENCY = 3
 TOP_N = 20
 PAGE_SIZE = 50
-MAX_PAGES = 2
-PAGE_LIMIT = 50
 DIVERSITY_BONUS = 1.3
 MENTION_WEIGHT = 5.0
 LIKE_WEIGHT = 1.0
@@ -102,8 +100,8 @@ CITIES = (
 )
 
 # --- fixed values: province names ------------------------------------------------
-# Names below province level are a parameter: they come from the code tables and
-# `operators.normalize.region_alias_expand` derives their short forms by rule.
+# Names below province level stand further down; code tables may add more, and
+# `operators.normalize.region_alias_expand` derives short forms by rule.
 PROVINCES = (
     "서울", "서울특별시", "부산", "부산광역시", "대구", "대구광역시",
     "인천", "인천광역시", "광주", "광주광역시", "대전", "대전광역시",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wayline import constants as K
 from wayline.plans import entity_load as L, trend as T
 from wayline.session import scratch_path, union_rows
 from wayline.sources.tables import Tables
@@ -220,7 +221,7 @@ pair AS (SELECT hit.*, p_partkey, row_number() OVER (PARTITION BY hit.city, kw O
 men AS (SELECT p_partkey AS content_id, sum(norm) * 0.99e0 AS m FROM pair WHERE rn = 1 GROUP BY 1),
 score AS (SELECT content_id, m, category, m * 5 + p_size * 1 + 2 * 2 + 4.5 * 2 * 0.5 AS s FROM men JOIN ent ON content_id = p_partkey)
 SELECT content_id, round(m, 6) AS mention_score, round(s, 4) AS popularity_score, CAST(rn AS INTEGER) AS category_rank,
-  CASE WHEN rn <= 10 THEN '인기 ' || ['식당', '카페', '쇼핑', '관광지', '자연', '액티비티'][category] || ' ' || rn || '위' END AS rank_tag
+  CASE WHEN rn <= 10 THEN '인기 ' || {[name for _, name in sorted(K.CATEGORY_NAMES)]}[category] || ' ' || rn || '위' END AS rank_tag
 FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY s DESC, content_id DESC) AS rn FROM score)"""
 
 
