@@ -242,7 +242,14 @@ def _most(n: str, pos: str) -> Column:
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds `shared`, the size of the intersection, to pairs of nodes `a`, `b`."""
+    """Adds `shared`, the size of the intersection, to pairs of nodes `a`, `b`.
+
+    The pairs are stored, so that their size is known: where they are few, only
+    the sets that they need leave the stored ones.
+    """
+    pairs = materialize(pairs, "jaccard-pairs")
+    wanted = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-wanted")
+    sets = sets.join(wanted, "node", "left_semi")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     return both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("shared"))
