@@ -222,3 +222,36 @@ def test_whole_object_snapshots(spark, tmp_path, inner):
         assert rows(back) == sorted(docs, key=repr)
     empty = trend_json.write_whole(df.limit(0), str(tmp_path / "e"), "city", inner, [F.col("url").asc()], ["url"])
     assert json.loads((next((tmp_path / "e").glob("part-*"))).read_text()) == {"cities": {}} and empty
+
+
+def test_many_changes_are_not_broadcast_by_the_size_of_compressed_files(spark, tmp_path):
+    from wayline.operators import changes, merge, queues
+
+    tables = Tables(spark, str(tmp_path))
+    ids = spark.range(30_000).select(F.col("id").alias("content_id"))
+    tables.write("entity_image", ids.select("content_id", F.lit(0).alias("order"), F.lit("old").alias("image_url")))
+    plans = []
+
+    def update(source):
+        def change(stored):
+            merged = merge.update_from(stored, source, ["content_id"], ["image_url"])
+            plans.append(merged._jdf.queryExecution().executedPlan().toString())
+            return merged
+
+        return change
+
+    ids.withColumn("image_url", F.lit("new")).write.parquet(str(tmp_path / "changes"))
+    many = spark.read.parquet(str(tmp_path / "changes"))
+    tables.merge("entity_image", many, update(many))
+    few = many.where("content_id < 3")
+    tables.merge("entity_image", few, update(few))
+    assert "Broadcast" not in plans[0] and "BroadcastHashJoin" in plans[1]
+    assert tables.read("entity_image").where("image_url = 'new'").count() == 30_000
+
+    state = many.select("content_id", F.lit(False).alias("image_absent"), F.col("image_url").alias("h"))
+    whole = [
+        queues.missing_children(many, state, tables.read("entity_image"), limit=None),
+        changes.detect_changes(state, state, many, "content_id", "h"),
+    ]
+    for df in whole:
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString() and df.count() == 0

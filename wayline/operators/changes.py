@@ -26,14 +26,17 @@ def source_priority(source: Column, ranked: Sequence[str]) -> Column:
 
 def known_hashes(state: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """State rows whose business row exists too, so that lost rows load again."""
-    return state.join(target.select(key).distinct(), key, "left_semi")
+    return state.hint("merge").join(target.select(key).distinct(), key, "left_semi")
 
 
 def detect_changes(source: DataFrame, state: DataFrame, target: DataFrame, key: str, hash_col: str) -> DataFrame:
-    """Source rows that are new or whose hash differs from the stored one."""
+    """Source rows that are new or whose hash differs from the stored one.
+
+    All sides are whole tables, so none is broadcast on an estimate.
+    """
     known = known_hashes(state, target, key).select(F.col(key).alias("_key"), F.col(hash_col).alias("_hash"))
     return (
-        source.join(known, F.col(key) == F.col("_key"), "left")
+        source.hint("merge").join(known, F.col(key) == F.col("_key"), "left")
         .where(~F.col(hash_col).eqNullSafe(F.col("_hash")))
         .select(*source.columns)
     )

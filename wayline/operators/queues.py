@@ -42,9 +42,13 @@ def missing_children(
     parents: DataFrame, state: DataFrame, children: DataFrame, key: str = "content_id",
     absent: str = "image_absent", limit: int | None = K.IMAGE_RECOVERY_LIMIT,
 ) -> DataFrame:
-    """Parents without a child that are not known to have none at the source."""
+    """Parents without a child that are not known to have none at the source.
+
+    All three are whole tables, so none is broadcast on an estimate.
+    """
     open_ids = state.where(~F.col(absent)).select(key)
-    due = parents.select(key).join(open_ids, key, "left_semi").join(children.select(key).distinct(), key, "left_anti")
+    due = parents.select(key).hint("merge").join(open_ids, key, "left_semi")
+    due = due.hint("merge").join(children.select(key).distinct(), key, "left_anti")
     return due if limit is None else ordered_limit(due, [F.col(key)], limit)
 
 

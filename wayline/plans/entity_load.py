@@ -71,9 +71,9 @@ def _load(raw: DataFrame, tables: Tables, now: Column, seq: str, rules, version:
     )
 
 
-def _outcomes(queue: DataFrame, responses: DataFrame) -> DataFrame:
-    """Queued ids with their landed response, up to the first exhausted quota."""
-    answered = queue.join(responses, "content_id")
+def _outcomes(queue: DataFrame, responses: DataFrame, limit: int | None) -> DataFrame:
+    """Queued ids with their landed response, up to the first exhausted quota; a queue without `limit` is never broadcast."""
+    answered = (queue.hint("merge") if limit is None else queue).join(responses, "content_id")
     return materialize(stop_at_first_failure(answered, [], "content_id"), "outcomes")
 
 
@@ -115,12 +115,12 @@ def enrich_all(responses: Mapping[str, DataFrame], tables: Tables, now: Column,
     images = parents = None
     for kind in (k for k in KINDS if k in responses):
         queue = materialize(pending_queue(state, f"{kind}_pending", limit=limit), "queue")
-        outcomes = _outcomes(queue, responses[kind])
+        outcomes = _outcomes(queue, responses[kind], limit)
         counters.append(_counters(outcomes).select(F.lit(kind).alias("kind"), "*", queue.agg(F.count("*")).scalar().alias("pending")))
         done = outcomes.where("outcome = 'done'").select("content_id")
         if kind == "image":
             images, parents = _images(outcomes), done
-            done = done.join(_first_images(images).select("content_id", F.lit(True).alias("_has")), "content_id", "left")
+            done = _with_images(done, images)
         else:
             details.append(_details(kind, outcomes))
         flags.append(done.withColumn(f"_{kind}", F.lit(True)))
@@ -155,6 +155,11 @@ def _first_images(images: DataFrame) -> DataFrame:
     return images.where("`order` = 1").select("content_id", "image_url")
 
 
+def _with_images(done: DataFrame, images: DataFrame) -> DataFrame:
+    """Finished ids, `_has` where they got images."""
+    return done.hint("merge").join(_first_images(images).select("content_id", F.lit(True).alias("_has")), "content_id", "left")
+
+
 def _if_typed(kind: str, column: str) -> Column:
     """The new value, unless the entity has no content type to ask details for."""
     fits = F.col(f"s._{kind}") & F.col("t.content_type_id").isNotNull()
@@ -208,10 +213,10 @@ def image_recovery(responses: DataFrame, tables: Tables, now: Column, limit: int
     """Ask again for entities without images; those without any at the source are marked absent."""
     state = tables.read("etl_state")
     targets = missing_children(tables.read("entity"), state, tables.read("entity_image"), limit=limit)
-    outcomes = _outcomes(targets, responses)
+    outcomes = _outcomes(targets, responses, limit)
     images, parents = _images(outcomes), outcomes.where("outcome = 'done'").select("content_id")
     _apply([], images, parents, tables)
-    done = parents.join(_first_images(images).select("content_id", F.lit(True).alias("_has")), "content_id", "left")
+    done = materialize(_with_images(parents, images), "done")
     cleared = {"image_pending": F.lit(False), "image_absent": F.col("s._has").isNull(), "last_etl_at": now}
     tables.merge("etl_state", done, lambda stored: merge.update_from(stored, done, ["content_id"], [], cleared))
     return _counters(outcomes)

@@ -12,6 +12,8 @@ from wayline.schemas import KEYED, PARTITIONED, TABLES
 from wayline.session import materialize
 from wayline.sources import files
 
+#: From this many changed rows on a merge is never left to the optimizer's size estimate.
+MANY_CHANGES = 20_000
 _VERSION = re.compile(r"([va])(\d{8})(?:-(.+))?$")
 
 
@@ -123,7 +125,7 @@ class Tables:
         """
         versions = self._versions(name)
         if not versions:
-            self.write(name, change(self.read(name)))
+            self.write(name, change(self.read(name).hint("merge")))
             return list(range(self.buckets))
         path = self._current(versions)[-1]
         # The folders say how many buckets the version has; an empty version has none yet.
@@ -131,11 +133,16 @@ class Tables:
         buckets = next((int(m.group(1)) for m in found if m), self.buckets)
         column = f"bucket{buckets}"
         key = _bucket(self.keys[name], buckets)
-        touched = sorted(r[0] for r in changes.select(key.alias("b")).distinct().collect())
+        counts = changes.groupBy(key.alias("b")).agg(F.count("*").alias("n")).collect()
+        touched = sorted(r["b"] for r in counts)
         if not touched:
             return []
         stored = self.spark.read.schema(f"{self.schemas[name]}, {column} INT").parquet(path)
-        new = self._declared(name, change(stored.where(F.col(column).isin(touched)).select(*self._columns(name))))
+        stored = stored.where(F.col(column).isin(touched)).select(*self._columns(name))
+        # The size of a stored file says little of rows read from it: most columns are compressed or empty.
+        if sum(r["n"] for r in counts) > MANY_CHANGES:
+            stored = stored.hint("merge")
+        new = self._declared(name, change(stored))
         staged = materialize(new, "merge")
         kept = {r[0] for r in staged.select(key.alias("b")).distinct().collect()}
         if not kept <= set(touched):

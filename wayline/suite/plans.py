@@ -48,7 +48,7 @@ SELECT content_id, title, CASE WHEN twice THEN 'http://new/' || seq ELSE first_i
 def _(d: Data):
     tables, _ = _two_days(d)
     state = tables.read("etl_state").select("content_id", "last_etl_at", "image_pending", "image_absent")
-    rows = tables.read("entity").join(state, "content_id")
+    rows = tables.read("entity").hint("merge").join(state, "content_id")
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return rows.select("content_id", "title", "first_image", text("collected_at"), text("last_etl_at"), "image_pending", "image_absent")
 
@@ -87,7 +87,7 @@ def _(d: Data):
     )
     L.image_recovery(answers, tables, _at(DAY2), limit=None)
     state = tables.read("etl_state").select("content_id", "image_absent")
-    return tables.read("entity").select("content_id", "first_image").join(state, "content_id")
+    return tables.read("entity").select("content_id", "first_image").hint("merge").join(state, "content_id")
 
 
 # The ledger rows that the two days leave.
@@ -139,7 +139,7 @@ def _(d: Data):
     }, tables, _at(DAY2), limit=None)
     numbers = tables.read("entity_image").groupBy("content_id").agg(F.max("order").alias("images"))
     state = tables.read("etl_state").select("content_id", *[f"{k}_pending" for k in L.KINDS], "image_absent")
-    rows = tables.read("entity").join(state, "content_id").join(numbers, "content_id", "left")
+    rows = tables.read("entity").hint("merge").join(state, "content_id").hint("merge").join(numbers, "content_id", "left")
     return rows.select(
         "content_id", "homepage", "overview", "infocenter", "detail_info", "first_image", *[f"{k}_pending" for k in L.KINDS], "image_absent",
         F.coalesce("images", F.lit(0)).alias("images"),
