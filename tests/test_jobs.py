@@ -55,6 +55,19 @@ def test_entity_load_is_incremental(spark, tables):
     assert stats(bumped)["changed"] == 2
 
 
+def test_entity_load_judges_a_snapshot_of_one_split_once_in_many_tasks(spark, tables, monkeypatch):
+    stored, materialize = {}, entity_load.materialize
+
+    def keep(df, label):
+        stored[label] = df.rdd.getNumPartitions()
+        return materialize(df, label)
+
+    monkeypatch.setattr(entity_load, "materialize", keep)
+    got = entity_load.daily_entity_load(items(spark).coalesce(1), tables, now(), "seq")
+    assert stats(got) == {"processed": 2, "changed": 2, "quarantined": 1, "duplicated": 1}
+    assert stored["judged"] >= 64
+
+
 RESPONSE = "content_id long, status string, items array<map<string,string>>"
 
 

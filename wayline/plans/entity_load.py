@@ -26,6 +26,9 @@ _ENTITY_COLUMNS = (
     "ldong_regn_code", "ldong_signgu_code", "sigungu_code", "category", "first_image", "created_time",
 )
 
+#: A snapshot is normalised in at least this many tasks, whatever its number of files.
+_MIN_TASKS = 64
+
 
 def daily_entity_load(
     raw: DataFrame, tables: Tables, now: Column, seq: str, rules=K.CATEGORY_RULES,
@@ -34,17 +37,19 @@ def daily_entity_load(
     """Load one snapshot as a run of the ledger; returns the stage counters.
 
     Quarantine comes before the duplicate rule, so a bad later copy never
-    replaces a good earlier one. Only the changed rows are stored in between,
-    as both tables are built from them; the counters read the snapshot's few
-    deciding columns once more. The state is published last: a run lost in
-    between loads the same rows again.
+    replaces a good earlier one. The judged rows are stored once, spread over
+    tasks, so that no rule is worked out again for filters or counters; the
+    changed rows are stored, as both tables are built from them. The state is
+    published last: a run lost in between loads the same rows again.
     """
     run_id = run_id or run_name(tables, now)
     return recorded(tables, "daily_entity_load", run_id, now, lambda: _load(raw, tables, now, seq, rules, version))
 
 
 def _load(raw: DataFrame, tables: Tables, now: Column, seq: str, rules, version: str) -> DataFrame:
-    judged = with_reason(normalize_entity(raw, rules, version, keep=[seq]), entity_rules())
+    # A row costs much more to normalise than to read: few input splits must not be few tasks.
+    spread = raw.repartition(max(_MIN_TASKS, raw.sparkSession.sparkContext.defaultParallelism * 3))
+    judged = materialize(with_reason(normalize_entity(spread, rules, version, keep=[seq]), entity_rules()), "judged")
     valid = judged.where("_reason IS NULL")
     unique = dedup_last_wins(valid, ["content_id"], [seq])
     state, entities = tables.read("etl_state"), tables.read("entity")
