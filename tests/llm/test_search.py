@@ -48,6 +48,36 @@ def test_bm25_equals_full_scoring(spark, monkeypatch, shard_words):
     assert [g[3] for g in got] == pytest.approx([e[3] for e in expected], abs=1e-8)
 
 
+def test_bm25_index_keeps_copies_once_and_floors_cut(monkeypatch):
+    monkeypatch.setattr(bm25_search, "LONG_LIST", 8)
+    pick = random.Random(3)
+    texts = [" ".join(f"w{int(pick.paretovariate(0.5)) % 400}" for _ in range(pick.randint(1, 60))).encode() for _ in range(300)]
+    index = bm25_search.Index(30.0, np.ones(bm25_search._FILTER_BITS, bool))
+    for id_, text in enumerate([*texts, *texts[:1] * 2000]):
+        index.add(id_, text)
+    index.build()
+    assert len(index.ids) == len({*texts}) and len(index.long) and len(index.texts) < 300 * 60
+    terms = [np.unique(bm25_search.term_codes(t)) for t in texts]
+    weights = [np.array([pick.uniform(0.1, 9) for _ in t]) for t in terms]
+    free = index.top([(t, w, 0.0) for t, w in zip(terms, weights)], 10)
+    assert free[0][0].tolist() == [0, *range(300, 309)] and len({*free[0][1]}) == 1
+    floors = [s[len(s) // 2] for _, s in free]
+    cut = index.top([(t, w, f) for t, w, f in zip(terms, weights, floors)], 10)
+    for (ids, scores), (few, best), floor in zip(free, cut, floors):
+        assert few.tolist() == ids[scores >= floor].tolist() and best.tolist() == scores[scores >= floor].tolist()
+
+
+def test_bm25_ties_of_copies_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(bm25_search, "SHARD_WORDS", 300)
+    pick = random.Random(4)
+    docs = [(i, " ".join(f"w{pick.randint(0, 80)}" for _ in range(12))) for i in range(150)]
+    docs += [(1000 - i, docs[i % 3][1]) for i in range(120)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = bm25_search.search(frame, frame.filter("doc_id < 30"), 10)
+    got = sorted((r.query_id, r["rank"], r.doc_id) for r in found.collect())
+    assert got == [e[:3] for e in bm25_by_hand(docs, docs[:30], 10)]
+
+
 def test_bm25_on_odd_and_empty_tables(odd_docs, empty_docs):
     found = bm25_search.search(odd_docs, odd_docs, 20)
     assert {(1, 1), (9, 9), (4, 9), (12, 5)} <= set(pairs(found, "query_id", "doc_id"))

@@ -1,9 +1,9 @@
-"""Exact BM25 top-k search: sharded inverted indexes with block maxima and global statistics."""
+"""Exact BM25 top-k search: sharded inverted indexes, bounds of all documents, floors from the first shards."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from wayline.llm.common import record, small_batches, texts_as_bytes, two_columns, word_slices
 from wayline.llm.shards import merge_top, search_shards
-from wayline.session import materialize
+from wayline.session import materialize, union_rows
 
 K1, B = 1.2, 0.75
-#: Words in a shard's texts, documents in a block, and the list length from which block maxima are kept.
-SHARD_WORDS, BLOCK, LONG_LIST = 8_000_000, 64, 256
+#: Words in a shard's texts, queries in a block, and the list length from which a list may be a row of the matrix.
+SHARD_WORDS, BLOCK, LONG_LIST = 8_000_000, 256, 256
+#: Size of a shard's matrix of long lists, and texts scored exactly at once.
+_MATRIX_BYTES, _SCORED = 64 << 20, 256
 _FLUSH = 1 << 22
 _FILTER_BITS = 1 << 23
 # A word is a run of letters and digits of ASCII or of bytes beyond it, A-Z lower-cased.
@@ -40,89 +42,118 @@ def _asked(codes: np.ndarray, field: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """One shard's inverted lists; documents are numbered in order of arrival."""
+    """One shard's inverted lists; texts are numbered in order of arrival, copies of a text are one."""
 
     def __init__(self, average: float, field: np.ndarray):
         self.average, self.field = average, field
-        self.ids: list[int] = []
-        self.parts: list[tuple[np.ndarray, np.ndarray, int]] = []
+        self.ids: list[list[int]] = []
+        self.seen: dict[bytes, int] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.codes: np.ndarray | None = None
 
     def add(self, id_: int, text: bytes) -> None:
+        at = self.seen.setdefault(xxhash.xxh3_128_digest(text), len(self.ids))
+        if at < len(self.ids):
+            self.ids[at].append(id_)
+            return
         codes = term_codes(text)
         terms, times = np.unique(_asked(codes, self.field), return_counts=True)
         norm = K1 * (1 - B + B * len(codes) / self.average)
-        self.parts.append((terms, (times * (K1 + 1) / (times + norm)).astype(np.float64), len(self.ids)))
-        self.ids.append(id_)
+        self.parts.append((terms, (times * (K1 + 1) / (times + norm)).astype(np.float64)))
+        self.ids.append([id_])
 
     def build(self) -> None:
-        sizes = [len(t) for t, _, _ in self.parts]
-        codes = np.concatenate([t for t, _, _ in self.parts])
-        docs = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        impacts = np.concatenate([i for _, i, _ in self.parts])
-        self.parts = []
+        sizes = [len(t) for t, _ in self.parts]
+        codes = np.concatenate([t for t, _ in self.parts])
+        # By text, for exact scores of a few; by term, in single precision, for bounds of all.
+        self.text_impacts = np.concatenate([i for _, i in self.parts])
+        self.text_starts = np.append(0, np.cumsum(sizes))
+        self.parts, self.seen = [], {}
+        n = len(self.ids)
         order = np.argsort(codes, kind="stable")
-        codes, self.docs, self.impacts = codes[order], docs[order], impacts[order]
-        first = np.flatnonzero(np.diff(codes, prepend=codes[:1] ^ np.uint64(1))) if len(codes) else np.empty(0, np.int64)
+        codes = codes[order]
+        new = np.diff(codes, prepend=codes[:1] ^ np.uint64(1)) != 0 if len(codes) else np.empty(0, bool)
+        first = np.flatnonzero(new)
         self.codes, self.starts = codes[first], np.append(first, len(codes))
-        self.tops = np.maximum.reduceat(self.impacts, first) if len(first) else np.empty(0)
-        self.names = np.array(self.ids, np.int64)
-        n_blocks = len(self.ids) // BLOCK + 1
-        self.block_tops: dict[int, np.ndarray] = {}
-        for t in np.flatnonzero(np.diff(self.starts) >= LONG_LIST):
+        self.text_terms = np.empty(len(codes), np.int32)
+        self.text_terms[order] = np.cumsum(new) - 1
+        self.texts = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
+        self.impacts = self.text_impacts[order].astype(np.float32)
+        self.first_ids = np.array([min(i) for i in self.ids], np.int64)
+        self.weight = np.zeros(len(self.codes))
+        lengths = np.diff(self.starts)
+        long = np.flatnonzero(lengths >= max(LONG_LIST, n / 16))
+        long = long[np.argsort(-lengths[long], kind="stable")][: _MATRIX_BYTES // (4 * n)]
+        self.long_at = np.full(len(self.codes), -1, np.int32)
+        self.long_at[long] = np.arange(len(long))
+        self.long = np.zeros((len(long), n), np.float32)
+        for row, t in zip(self.long, long):
             a, b = self.starts[t], self.starts[t + 1]
-            tops = np.zeros(n_blocks)
-            np.maximum.at(tops, self.docs[a:b] // BLOCK, self.impacts[a:b])
-            self.block_tops[int(t)] = tops
-
-    def _add_short(self, scores: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
-        starts, sizes = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
-        if sizes.sum():
-            at = np.arange(sizes.sum()) + np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]), sizes)
-            scores += np.bincount(self.docs[at], self.impacts[at] * np.repeat(weights, sizes), len(scores))
-
-    def top(self, codes: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best documents.
-
-        Short lists are added up first, then long ones in order of their upper
-        bounds. Once the lists still to come cannot lift a new document over
-        the k-th best score so far, only documents whose block maxima of those
-        lists could still do so are looked up in them.
+            row[self.texts[a:b]] = self.impacts[a:b]
+
+    def top(self, asked: list[tuple[np.ndarray, np.ndarray, float]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and scores of the k best documents of every query: its terms, their weights, its floor.
+
+        Long lists are rows of a matrix and added up for a block of queries at
+        once, short ones query by query. These sums are in single precision and
+        bound a score within their rounding error. Only texts whose bound
+        reaches the floor, or the k-th best sum, are scored exactly, in the
+        order of their terms, so that equal texts have equal scores in every
+        shard. Documents below a floor may be left out.
         """
-        at = np.minimum(np.searchsorted(self.codes, codes), max(len(self.codes) - 1, 0))
-        hit = self.codes[at] == codes if len(self.codes) else np.zeros(len(codes), bool)
-        terms, weights = at[hit], weights[hit]
-        scores = np.zeros(len(self.names))
-        long = self.starts[terms + 1] - self.starts[terms] >= LONG_LIST if len(terms) else np.zeros(0, bool)
-        self._add_short(scores, terms[~long], weights[~long])
-        terms, weights = terms[long], weights[long]
-        order = np.argsort(-weights * self.tops[terms], kind="stable")
-        terms, weights = terms[order], weights[order]
-        bounds = np.append(np.cumsum((weights * self.tops[terms])[::-1])[::-1], 0.0)
-        rows = None
-        for done in range(len(terms) + 1):
-            if len(scores) > k and (done % 4 == 0 or done == len(terms)):
-                floor = np.partition(scores, -k)[-k] - 1e-9
-                if bounds[done] < floor:
-                    rest = sum((w * self.block_tops[int(t)] for t, w in zip(terms[done:], weights[done:])), np.zeros(1))
-                    reach = scores + (rest[np.arange(len(scores)) // BLOCK] if done < len(terms) else 0.0)
-                    rows = np.flatnonzero((reach >= floor) & (scores > 0))
-                    if len(rows) * 8 < len(scores) or done == len(terms):
-                        break
-                    rows = None
-            if done < len(terms):
-                a, b = self.starts[terms[done]], self.starts[terms[done] + 1]
-                scores[self.docs[a:b]] += weights[done] * self.impacts[a:b]
-        if rows is None:
-            rows, done = np.flatnonzero(scores > 0), len(terms)
-        found = scores[rows]
-        for t, w in zip(terms[done:], weights[done:]):
-            a, b = self.starts[t], self.starts[t + 1]
-            place = np.minimum(a + np.searchsorted(self.docs[a:b], rows), b - 1)
-            found = found + np.where(self.docs[place] == rows, w * self.impacts[place], 0.0)
-        found = np.round(found, 9)
-        best = np.lexsort((self.names[rows], -found))[:k]
-        return self.names[rows][best], found[best]
+        found = []
+        step = max(1, min(BLOCK, _MATRIX_BYTES // (16 * len(self.ids))))
+        for start in range(0, len(asked), step):
+            block = [(*self._known(codes, weights), floor) for codes, weights, floor in asked[start : start + step]]
+            wanted = np.zeros((len(block), len(self.long)), np.float32)
+            for row, (terms, weights, _) in zip(wanted, block):
+                at = self.long_at[terms]
+                row[at[at >= 0]] = weights[at >= 0]
+            for sums, (terms, weights, floor) in zip(wanted @ self.long, block):
+                found.append(self._best(sums, terms, weights, floor, k))
+        return found
+
+    def _known(self, codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.codes):
+            return np.empty(0, np.int64), np.empty(0)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        hit = self.codes[at] == codes
+        return at[hit], weights[hit]
+
+    def _best(self, sums: np.ndarray, terms: np.ndarray, weights: np.ndarray, floor: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        short = self.long_at[terms] < 0
+        at, sizes = _ranges(self.starts, terms[short])
+        if len(at):
+            sums = sums + np.bincount(self.texts[at], self.impacts[at] * np.repeat(weights[short], sizes), len(sums))
+        # More than the rounding error of a sum of so many terms, and than that of rounded floors.
+        error = (len(terms) + 16) * 2.0**-23
+        rows = np.flatnonzero(sums > max(floor * (1 - error) - 2e-9, 0.0))
+        if len(rows) > k:
+            reached = sums[rows]
+            kth = np.partition(reached, -k)[-k] * (1 - error)
+            rows = rows[reached > kth * (1 - error) - 2e-9]
+        scores = np.zeros(len(rows))
+        self.weight[terms] = weights
+        for start in range(0, len(rows), _SCORED):
+            at, sizes = _ranges(self.text_starts, rows[start : start + _SCORED])
+            parts = self.text_impacts[at] * self.weight[self.text_terms[at]]
+            scores[start : start + _SCORED] = np.bincount(np.repeat(np.arange(len(sizes)), sizes), parts, len(sizes))
+        self.weight[terms] = 0.0
+        scores = np.round(scores, 9)
+        best = np.lexsort((self.first_ids[rows], -scores))[:k]
+        best = best[scores[best] >= floor]
+        copies = [sorted(self.ids[r])[:k] for r in rows[best]]
+        names = np.array([i for c in copies for i in c], np.int64)
+        scores = np.repeat(scores[best], [len(c) for c in copies])
+        best = np.lexsort((names, -scores))[:k]
+        return names[best], scores[best]
+
+
+def _ranges(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all entries of the given lists, one list after the other, and the lists' lengths."""
+    sizes = starts[which + 1] - starts[which]
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts[which] - before, sizes), sizes
 
 
 def _filter_of(terms: DataFrame) -> np.ndarray:
@@ -209,9 +240,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     average = n_words / n_docs
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = asked.join(stats.filter("term IS NOT NULL").select("term", idf.alias("idf")), "term").groupBy("query_id").agg(
+    weighed = materialize(asked.join(stats.filter("term IS NOT NULL").select("term", idf.alias("idf")), "term").groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("t")
-    ).select(F.col("query_id").alias("id"), F.col("t.term").alias("terms"), F.col("t.idf").alias("idf"), F.lit(None).cast("string").alias("text"))
+    ).select(F.col("query_id").alias("id"), F.col("t.term").alias("terms"), F.col("t.idf").alias("idf"), F.lit(None).cast("string").alias("text")), "search-queries")
     schema = pa.schema([("query_id", pa.int64()), ("found_id", pa.int64()), ("score", pa.float64())])
 
     def start() -> Index:
@@ -226,14 +257,23 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
             return pa.RecordBatch.from_pylist([], schema)
         if index.codes is None:
             index.build()
-        found = []
-        for id_, terms, idf_ in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4))):
-            found.append((id_, *index.top(np.array(terms, np.int64).view(np.uint64), np.array(idf_), k)))
-        ids = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
-        return record(schema, (ids, np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])))
+        ids, *asked = (batch.column(c).to_pylist() for c in (2, 3, 4, 6))
+        asked = [(np.array(terms, np.int64).view(np.uint64), np.array(idf_), floor or 0.0) for terms, idf_, floor in zip(*asked)]
+        found = index.top(asked, k)
+        sizes = [len(names) for names, _ in found]
+        return record(schema, (np.repeat(np.array(ids, np.int64), sizes), *map(np.concatenate, zip(*found))))
 
     n_shards = ceil(n_words / SHARD_WORDS)
     texts = rows.select("id", F.lit(None).cast("array<long>").alias("terms"), F.lit(None).cast("array<double>").alias("idf"), "text",
-                        F.pmod(F.xxhash64("id"), F.lit(n_shards)).alias("shard"))
-    found = search_shards(texts, weighed, n_shards, add, find, start, result)
-    return merge_top(found, k, F.col("score").desc()).select("query_id", "rank", F.col("found_id").alias("doc_id"), "score")
+                        F.lit(None).cast("double").alias("floor"), F.pmod(F.xxhash64("id"), F.lit(n_shards)).alias("shard"))
+    # The k-th best score of some shards is a floor for all others, which then send little.
+    first = ceil(sqrt(n_shards))
+    found = search_shards(texts.filter(F.col("shard") < first), weighed.withColumn("floor", F.lit(0.0)), first, add, find, start, result)
+    best = merge_top(found, k, F.col("score").desc())
+    if first < n_shards:
+        best = materialize(best, "search-first")
+        floors = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        others = texts.filter(F.col("shard") >= first).withColumn("shard", F.col("shard") - first)
+        found = search_shards(others, weighed.join(floors, "id", "left"), n_shards - first, add, find, start, result)
+        best = merge_top(union_rows(best.drop("rank"), found), k, F.col("score").desc())
+    return best.select("query_id", "rank", F.col("found_id").alias("doc_id"), "score")
