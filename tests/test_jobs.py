@@ -382,3 +382,14 @@ def test_score_table_is_folded_after_many_parts(spark, tmp_path):
     tables = Tables(spark, f"{base}/tables")
     assert tables.additions("scores") <= 2
     assert dict(map(tuple, jobs.scores_at(got, F.lit(5), 0.5).select("content_id", "mention_score").collect())) == {1: pytest.approx(0.96875), 2: pytest.approx(1.9375)}
+
+
+def test_details_are_made_without_a_shuffle_and_ids_not_read_as_text(spark):
+    answers = [(1, "ok", [{"b": "1"}, {"a": "x"}], "done"), (2, "ok", [], "done"), (3, "ok", None, "done"), (4, "ok", [{"a": "1"}], "failed")]
+    outcomes = spark.createDataFrame(answers, RESPONSE + ", outcome string")
+    for kind in ("detail_common", "detail_intro", "detail_info"):
+        plan = entity_load._details(kind, outcomes)._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Exchange", "Generate", "Join", "RLIKE"))
+    info = {r.content_id: r.detail_info for r in entity_load._details("detail_info", outcomes).collect()}
+    assert info == {1: '[{"b":"1"},{"a":"x"}]', 2: "[]", 3: "[]"}
+    assert {r.content_id for r in entity_load._details("detail_common", outcomes).collect()} == {1}

@@ -79,9 +79,17 @@ def normalize_codes(raw: DataFrame, constants: Mapping[str, Column] | None = Non
     return named.where(F.col("code").isNotNull() & F.col("name").isNotNull())
 
 
+def read_id(rows: DataFrame, column: str) -> Column:
+    """An id as a number, NULL unless it is digits only; one stored as a number is not read as text again."""
+    c = F.col(column)
+    if dict(rows.dtypes)[column] == "bigint":
+        return F.when(c >= 0, c)
+    return safe_int(c.cast("string"))
+
+
 def normalize_detail_common(raw: DataFrame) -> DataFrame:
     rows = raw.select(
-        safe_int(F.col("contentid")).alias("content_id"),
+        read_id(raw, "contentid").alias("content_id"),
         *[clean_text(_field(raw, n)).alias(n) for n in ("homepage", "overview")],
     )
     return rows.where("content_id IS NOT NULL")
@@ -89,7 +97,7 @@ def normalize_detail_common(raw: DataFrame) -> DataFrame:
 
 def normalize_detail_intro(raw: DataFrame) -> DataFrame:
     rows = raw.select(
-        safe_int(F.col("contentid")).alias("content_id"),
+        read_id(raw, "contentid").alias("content_id"),
         truncate_text(clean_text(_field(raw, "infocenter")), K.INFOCENTER_WIDTH).alias("infocenter"),
         *[clean_text(_field(raw, n)).alias(n) for n in ("usetime", "restdate", "parking", "expguide")],
     )
@@ -107,7 +115,7 @@ def normalize_images(
 ) -> DataFrame:
     """Image rows numbered in response order; rows without any URL or with a malformed id take no number."""
     url = F.coalesce(clean_text(F.col(origin)), clean_text(F.col(small)))
-    usable = raw.withColumns({"image_url": url, "content_id": safe_int(F.col(parent).cast("string"))})
+    usable = raw.withColumns({"image_url": url, "content_id": read_id(raw, parent)})
     numbered = ordinal_assign(usable.where("image_url IS NOT NULL AND content_id IS NOT NULL"), "content_id", order_by)
     return numbered.select("content_id", F.col("order").cast("int").alias("order"), "image_url")
 
@@ -122,7 +130,7 @@ def number_images(
     """
     field = lambda item, name: clean_text(item[name])
     urls = F.filter(F.transform(items, lambda i: F.coalesce(field(i, origin), field(i, small))), lambda u: u.isNotNull())
-    kept = responses.select(safe_int(F.col(parent).cast("string")).alias("content_id"), F.posexplode(urls).alias("_place", "image_url"))
+    kept = responses.select(read_id(responses, parent).alias("content_id"), F.posexplode(urls).alias("_place", "image_url"))
     return kept.where("content_id IS NOT NULL").select("content_id", (F.col("_place") + 1).alias("order"), "image_url")
 
 

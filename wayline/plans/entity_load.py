@@ -10,7 +10,7 @@ from wayline import constants as K
 from wayline.operators import merge
 from wayline.operators.changes import dedup_last_wins, detect_changes
 from wayline.operators.normalize import (
-    detail_info_pack, entity_rules, normalize_detail_common, normalize_detail_intro, normalize_entity,
+    entity_rules, normalize_detail_common, normalize_detail_intro, normalize_entity,
     number_images, with_reason,
 )
 from wayline.operators.queues import (
@@ -82,15 +82,11 @@ def _outcomes(queue: DataFrame, responses: DataFrame, limit: int | None) -> Data
     return materialize(stop_at_first_failure(answered, [], "content_id"), "outcomes")
 
 
-def _items(outcomes: DataFrame) -> DataFrame:
-    """Items of finished responses with their response position."""
-    done = outcomes.where("outcome = 'done'")
-    return done.select("content_id", F.posexplode("items").alias("pos", "item"))
-
-
-def _fields(items: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    columns = [F.col("item")[n].alias(n) for n in names]
-    return items.select(F.col("content_id").cast("string").alias("contentid"), "pos", *columns)
+def _first_item(outcomes: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Fields of the first item of finished responses that have one."""
+    found = outcomes.where("outcome = 'done' AND size(items) > 0")
+    columns = [F.get("items", F.lit(0))[n].alias(n) for n in names]
+    return found.select(F.col("content_id").alias("contentid"), *columns)
 
 
 KINDS = ("detail_common", "detail_intro", "detail_info", "image")
@@ -173,23 +169,15 @@ def _if_typed(kind: str, column: str) -> Column:
 
 def _details(kind: str, outcomes: DataFrame) -> DataFrame:
     """The entity columns that the finished responses of one kind bring, marked by `_kind`."""
-    items = _items(outcomes)
     if kind == "detail_common":
-        rows = normalize_detail_common(_fields(items.where("pos = 0"), ("homepage", "overview")))
+        rows = normalize_detail_common(_first_item(outcomes, ("homepage", "overview")))
     elif kind == "detail_intro":
-        rows = normalize_detail_intro(_fields(items.where("pos = 0"), _INTRO))
+        rows = normalize_detail_intro(_first_item(outcomes, _INTRO))
     else:
-        # An empty answer stores an empty list, unless the entity has no type to ask for.
-        packed = detail_info_pack(
-            items.select("content_id", "pos", F.to_json("item").alias("_json")), "content_id", ["pos"], ["_json"]
-        )
-        joined = F.from_json("detail_info", "ARRAY<STRUCT<_json: STRING>>")
-        texts = packed.select(
-            "content_id",
-            F.concat(F.lit("["), F.array_join(F.transform(joined, lambda x: x["_json"]), ","), F.lit("]")).alias("detail_info"),
-        )
-        done = outcomes.where("outcome = 'done'").select("content_id")
-        rows = done.join(texts, "content_id", "left").withColumn("detail_info", F.coalesce("detail_info", F.lit("[]")))
+        # The items are in response order already. An empty answer stores an empty list, unless the entity has no type to ask for.
+        joined = F.array_join(F.transform("items", lambda i: F.to_json(i)), ",")
+        text = F.concat(F.lit("["), F.coalesce(joined, F.lit("")), F.lit("]"))
+        rows = outcomes.where("outcome = 'done'").select("content_id", text.alias("detail_info"))
     return rows.withColumn(f"_{kind}", F.lit(True))
 
 
